@@ -230,7 +230,13 @@ def with_views(sql: str) -> str:
 
     visit(sql)
     body = ",\n".join(f"{name} AS ({VIEWS[name]})" for name in ordered)
-    whole = f"WITH {body}\n{sql}" if ordered else sql
+    own = sql.lstrip()
+    if not ordered:
+        whole = own
+    elif own.startswith("WITH"):
+        whole = f"WITH {body},\n{own.removeprefix('WITH').lstrip()}"
+    else:
+        whole = f"WITH {body}\n{own}"
     whole = re.sub(r"\bus\(([\w.]+)\)", r"epoch_us(\1)", whole)
     return re.sub(r"\{(\w+)\}", r"\1", whole)
 
