@@ -7,15 +7,7 @@ from pyspark.sql import functions as F
 
 from relocate import fixed
 from relocate.operators.health import replication_healthy
-from relocate.operators.ordered import (
-    HALO,
-    SPAN,
-    SPAN_ROWS,
-    span_window,
-    with_halo,
-    with_spans,
-    without_halo,
-)
+from relocate.operators.ordered import SPAN_ROWS, arrange, look_back, looked_back
 
 STATE_FIELDS = ["phase", "switched_us", "completed_us", "error"]
 
@@ -104,11 +96,11 @@ def with_previous(
     log: DataFrame, columns: dict[str, str], span_rows: int = SPAN_ROWS
 ) -> DataFrame:
     """Add columns of the row before, per run by ``seq``: ``columns`` maps new name to column."""
-    spans = with_spans(log, ["run_id"], "seq", span_rows)
-    wide = with_halo(spans, ["run_id"], "seq", 1, sorted(set(columns.values())))
-    order = span_window(["run_id"], "seq")
-    added = {new: F.lag(old).over(order) for new, old in columns.items()}
-    return without_halo(wide.withColumns(added)).drop(SPAN, HALO)
+    wide = look_back(
+        arrange(log, ["run_id"], "seq", span_rows), 1, sorted(set(columns.values()))
+    )
+    added = {new: F.lag(old).over(wide.window) for new, old in columns.items()}
+    return looked_back(wide.add(added)).done()
 
 
 def milestones(log: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:

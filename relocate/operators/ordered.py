@@ -1,28 +1,71 @@
 """Ordered computations per key that stay spread out when one key holds most rows.
 
-A window over a whole key puts all rows of that key into one task. Here each key's rows
-are cut into contiguous spans of its order column. Windows run per span, and a short
-table with one row per span carries what earlier spans contribute: a running maximum,
-or the few rows just before the span. Results are those of the plain window.
-
-The order column is an integer, and ``(keys, order)`` is unique. Spans depend only on
-exact counts and bounds, so a recomputed task sees the same spans.
+A window over a whole key puts all rows of that key into one task. That is the right plan
+as long as no key is large, and one count per key tells. When some are, their rows are cut
+into contiguous spans of the order column: windows run per span, and a short table with
+one row per span carries what earlier spans contribute, either a running maximum or the
+few rows just before the span. Results are those of the plain window in both cases.
+
+The order column is an integer and ``(keys, order)`` is unique. Spans depend only on exact
+counts and bounds, so a recomputed task sees the same spans.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from relocate.session import settle
+
 SPAN = "_span"
 HALO = "_halo"
-SPAN_ROWS = 500_000
+SPAN_ROWS = 1_000_000
+BROADCAST_KEYS = 100_000
+
+
+@dataclass(frozen=True)
+class Ordered:
+    """Rows with the keys and the order their windows use; ``split`` if spans are in use."""
+
+    rows: DataFrame
+    keys: tuple[str, ...]
+    order: str
+    split: bool
+
+    @property
+    def parts(self) -> list[str]:
+        return [*self.keys, SPAN] if self.split else list(self.keys)
+
+    @property
+    def window(self) -> WindowSpec:
+        return Window.partitionBy(*self.parts).orderBy(self.order)
+
+    def having(self, rows: DataFrame) -> Ordered:
+        return replace(self, rows=rows)
+
+    def add(self, columns: dict[str, Column]) -> Ordered:
+        return self.having(self.rows.withColumns(columns))
+
+    def settled(self) -> Ordered:
+        """Write split rows out once, so that later passes do not repeat earlier ones."""
+        if not self.split:
+            return self
+        return self.having(settle(self.rows))
 
+    def done(self) -> DataFrame:
+        return self.rows.drop(SPAN, HALO)
 
-def with_spans(
+
+def arrange(
     df: DataFrame, keys: list[str], order: str, span_rows: int = SPAN_ROWS
-) -> DataFrame:
-    """Number the spans of each key; keys with at most ``span_rows`` rows are one span."""
+) -> Ordered:
+    """Find the keys with more than ``span_rows`` rows and cut those into spans.
+
+    Only large keys come to the driver, at most one per ``span_rows`` rows; their list is
+    broadcast while it is short and joined like any table beyond that.
+    """
     at = F.col(order)
     large = (
         df.groupBy(*keys)
@@ -31,66 +74,71 @@ def with_spans(
         .withColumn("_spans", F.ceil(F.col("_n") / span_rows))
         .selectExpr(*keys, "_lo", "(_hi - _lo) div _spans + 1 AS _width")
     )
+    found = large.limit(BROADCAST_KEYS + 1).collect()
+    if not found:
+        return Ordered(df, tuple(keys), order, split=False)
+    if len(found) <= BROADCAST_KEYS:
+        large = F.broadcast(df.sparkSession.createDataFrame(found, large.schema))
     spanned = df.join(large, keys, "left").withColumn(
         SPAN, F.coalesce(F.expr(f"({order} - _lo) div _width"), F.lit(0).cast("bigint"))
     )
-    # Without this, a join by key alone would leave a large key in one task.
-    return spanned.drop("_lo", "_width").repartition(*keys, SPAN)
-
-
-def span_window(keys: list[str], order: str) -> WindowSpec:
-    return Window.partitionBy(*keys, SPAN).orderBy(order)
-
+    whole = Ordered(spanned.drop("_lo", "_width"), tuple(keys), order, split=True)
+    return whole.settled()
 
-def with_running_max(
-    df: DataFrame, keys: list[str], order: str, values: dict[str, Column], *, before: bool = False
-) -> DataFrame:
-    """Add the running maximum of each value over the key, of earlier rows only if ``before``.
 
-    ``df`` carries spans.
-    """
-    sums = df.groupBy(*keys, SPAN).agg(*[F.max(v).alias(n) for n, v in values.items()])
-    earlier = Window.partitionBy(*keys).orderBy(SPAN).rowsBetween(Window.unboundedPreceding, -1)
-    carried = sums.select(*keys, SPAN, *[F.max(n).over(earlier).alias(f"_c_{n}") for n in values])
-    within = span_window(keys, order).rowsBetween(
+def running_max(ordered: Ordered, values: dict[str, Column], *, before: bool = False) -> Ordered:
+    """Add the running maximum of each value per key, of earlier rows only if ``before``."""
+    frame = ordered.window.rowsBetween(
         Window.unboundedPreceding, -1 if before else Window.currentRow
     )
-    joined = df.join(carried, [*keys, SPAN])
-    added = {n: F.greatest(F.max(v).over(within), F.col(f"_c_{n}")) for n, v in values.items()}
-    return joined.withColumns(added).drop(*[f"_c_{n}" for n in values])
+    if not ordered.split:
+        return ordered.add({name: F.max(value).over(frame) for name, value in values.items()})
+    keys = list(ordered.keys)
+    tops = ordered.rows.groupBy(*ordered.parts).agg(*[F.max(v).alias(n) for n, v in values.items()])
+    earlier = Window.partitionBy(*keys).orderBy(SPAN).rowsBetween(Window.unboundedPreceding, -1)
+    carried = tops.select(
+        *ordered.parts, *[F.max(name).over(earlier).alias(f"_c_{name}") for name in values]
+    )
+    joined = ordered.rows.join(carried, ordered.parts).withColumns(
+        {n: F.greatest(F.max(v).over(frame), F.col(f"_c_{n}")) for n, v in values.items()}
+    )
+    return ordered.having(joined.drop(*[f"_c_{name}" for name in values]))
 
 
-def with_halo(
-    df: DataFrame, keys: list[str], order: str, rows: int, columns: list[str]
-) -> DataFrame:
-    """Put the ``rows`` rows that precede each span into it, marked by ``_halo``.
+def look_back(ordered: Ordered, rows: int, columns: list[str]) -> Ordered:
+    """Make ready for windows that look back at most ``rows`` rows at ``columns``.
 
-    Halo rows hold only ``columns``. Afterwards a window per span that looks back at most
-    ``rows`` rows gives what the window over the whole key gives.
+    Each span takes in copies of the ``rows`` rows before it, marked by ``_halo``; drop them
+    with :func:`looked_back` after the windows.
     """
-    last = Window.partitionBy(*keys, SPAN).orderBy(F.desc(order))
-    image = F.struct(order, *columns)
+    if not ordered.split:
+        return ordered
+    keys, parts, order = list(ordered.keys), ordered.parts, ordered.order
+    newest = Window.partitionBy(*parts).orderBy(F.desc(order))
     tails = (
-        df.select(*keys, SPAN, order, *columns)
-        .withColumn("_back", F.row_number().over(last))
+        ordered.rows.select(*parts, order, *columns)
+        .withColumn("_back", F.row_number().over(newest))
         .filter(F.col("_back") <= rows)
-        .groupBy(*keys, SPAN)
-        .agg(F.collect_list(image).alias("_tail"))
+        .groupBy(*parts)
+        .agg(F.collect_list(F.struct(order, *columns)).alias("_tail"))
     )
     # Every span has a row, so the needed rows lie in the ``rows`` spans before it.
     earlier = Window.partitionBy(*keys).orderBy(SPAN).rowsBetween(-rows, -1)
     gathered = F.sort_array(F.flatten(F.collect_list("_tail").over(earlier)))
     start = F.greatest(F.size("_all") - rows, F.lit(0)) + 1
     halo = (
-        tails.select(*keys, SPAN, gathered.alias("_all"))
-        .select(*keys, SPAN, F.explode(F.slice("_all", start, F.lit(rows))).alias("_row"))
-        .select(*keys, SPAN, "_row.*", F.lit(True).alias(HALO))
+        tails.select(*parts, gathered.alias("_all"))
+        .select(*parts, F.explode(F.slice("_all", start, F.lit(rows))).alias("_row"))
+        .select(*parts, "_row.*", F.lit(True).alias(HALO))
     )
-    return df.withColumn(HALO, F.lit(False)).unionByName(halo, allowMissingColumns=True)
+    own = ordered.rows.withColumn(HALO, F.lit(False))
+    return ordered.having(own.unionByName(halo, allowMissingColumns=True))
 
 
-def without_halo(df: DataFrame) -> DataFrame:
-    return df.filter(~F.col(HALO)).drop(HALO)
+def looked_back(ordered: Ordered) -> Ordered:
+    if not ordered.split:
+        return ordered
+    return ordered.having(ordered.rows.filter(~F.col(HALO)).drop(HALO))
 
 
 def latest_rows(df: DataFrame, keys: list[str], order: str, rows: int) -> DataFrame:

@@ -6,20 +6,18 @@ the looks and is unique in its run; times are epoch micros; "now" is always ``ob
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from relocate import fixed
 from relocate.operators.ordered import (
-    HALO,
-    SPAN,
     SPAN_ROWS,
+    Ordered,
+    arrange,
     latest_rows,
-    span_window,
-    with_halo,
-    with_running_max,
-    with_spans,
-    without_halo,
+    look_back,
+    looked_back,
+    running_max,
 )
 
 RUN = ["run_id"]
@@ -128,12 +126,12 @@ def percent(part: Column, total: Column) -> Column:
 # --- measures over history ---------------------------------------------------------
 
 
-def observed(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
+def observed(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> Ordered:
     """Observation rows laid out for the measures below."""
-    return with_spans(ticks, RUN, TICK, span_rows)
+    return arrange(ticks, RUN, TICK, span_rows)
 
 
-def add_copied_bytes(spans: DataFrame) -> DataFrame:
+def add_copied_bytes(looks: Ordered) -> Ordered:
     """``copied_bytes, estimate_mode``: never below the largest value seen while copying.
 
     Needs ``raw_copied_bytes, raw_mode, copy_phase``.
@@ -141,28 +139,24 @@ def add_copied_bytes(spans: DataFrame) -> DataFrame:
     raw, seen = F.col("raw_copied_bytes"), F.coalesce(F.col("_seen"), F.lit(0))
     held = F.coalesce(F.col("copy_phase") == "in-progress", F.lit(False)) & (raw < seen)
     mode = F.col("raw_mode")
-    return (
-        with_running_max(spans, RUN, TICK, {"_seen": raw}, before=True)
-        .withColumn("copied_bytes", F.when(held, seen).otherwise(raw))
-        .withColumn(
-            "estimate_mode",
-            F.when(
-                held & (mode == "target_size_estimate"), "target_size_estimate_monotonic"
-            ).otherwise(mode),
-        )
-        .drop("_seen")
+    kept = F.when(held & (mode == "target_size_estimate"), "target_size_estimate_monotonic")
+    high = running_max(looks, {"_seen": raw}, before=True).add(
+        {
+            "copied_bytes": F.when(held, seen).otherwise(raw),
+            "estimate_mode": kept.otherwise(mode),
+        }
     )
+    return high.having(high.rows.drop("_seen"))
 
 
-def add_history_measures(spans: DataFrame, which: set[str] | None = None) -> DataFrame:
+def add_history_measures(looks: Ordered, which: set[str] | None = None) -> Ordered:
     """Measures that look back a fixed number of points, all over one sorted window.
 
     ``which`` names some of ``advanced``, ``trend``, ``throughput``; all when not given.
     Needs ``tables_completed, copied_bytes, last_good_us, rows_changed, total_bytes``.
     """
     which = which or {"advanced", "trend", "throughput"}
-    back = 0
-    columns: set[str] = set()
+    back, columns = 0, set()
     if "advanced" in which:
         back = max(back, 1)
         columns |= {"tables_completed", "copied_bytes", "last_good_us"}
@@ -172,20 +166,22 @@ def add_history_measures(spans: DataFrame, which: set[str] | None = None) -> Dat
     if "throughput" in which:
         back = max(back, fixed.THROUGHPUT_POINTS - 1)
         columns |= {"copied_bytes", "obs_us"}
-    wide = with_halo(spans, RUN, TICK, back, sorted(columns))
-    order = span_window(RUN, TICK)
+    wide = look_back(looks, back, sorted(columns))
+    order = wide.window
     if "advanced" in which:
-        wide = wide.withColumn("advanced", _advanced(order))
+        wide = wide.add({"advanced": _advanced(order)})
     if "trend" in which:
         recent = order.rowsBetween(1 - fixed.TREND_POINTS, 0)
-        wide = wide.withColumn("_points", F.collect_list("rows_changed").over(recent))
-        wide = wide.withColumn("backlog_trend", _trend(F.col("_points"))).drop("_points")
+        wide = wide.add({"_points": F.collect_list("rows_changed").over(recent)})
+        wide = wide.add({"backlog_trend": _trend(F.col("_points"))})
     if "throughput" in which:
-        wide = _with_throughput(wide, order)
-    return without_halo(wide)
+        recent = order.rowsBetween(1 - fixed.THROUGHPUT_POINTS, 0)
+        wide = _add_throughput(wide, recent)
+    own = looked_back(wide)
+    return own.having(own.rows.drop("_points"))
 
 
-def _advanced(order) -> Column:
+def _advanced(order: WindowSpec) -> Column:
     """More tables, more bytes, or another last good sync than at the point before."""
     has_before = F.lag(F.lit(True)).over(order).isNotNull()
 
@@ -217,39 +213,38 @@ def _trend(points: Column) -> Column:
     )
 
 
-def _with_throughput(df: DataFrame, order) -> DataFrame:
+def _add_throughput(looks: Ordered, recent: WindowSpec) -> Ordered:
     """``bytes_per_min, mb_per_min, eta_min_minutes, eta_max_minutes``; null when unknown."""
-    recent = order.rowsBetween(1 - fixed.THROUGHPUT_POINTS, 0)
     gained = F.col("copied_bytes") - F.first("copied_bytes").over(recent)
     took = whole_seconds(F.col("obs_us")) - whole_seconds(F.first("obs_us").over(recent))
-    df = df.withColumns({"_gained": gained, "_took": took})
+    ends = looks.add({"_gained": gained, "_took": took})
     usable = (F.col("total_bytes") > 0) & (F.col("_gained") > 0) & (F.col("_took") > 0)
     rate = F.col("_gained") / F.col("_took") * 60
-    df = df.withColumn("_rate", F.when(usable, rate))
+    rated = ends.add({"_rate": F.when(usable, rate)})
     left = F.greatest(F.col("total_bytes") - F.col("copied_bytes"), F.lit(0))
     eta = left / F.col("_rate")
-    return df.withColumns(
+    told = rated.add(
         {
             "bytes_per_min": F.round("_rate").cast("bigint"),
             "mb_per_min": F.round(F.col("_rate") / 1024 / 1024, 2),
             "eta_min_minutes": F.round(eta * fixed.ETA_LOW).cast("bigint"),
             "eta_max_minutes": F.round(eta * fixed.ETA_HIGH).cast("bigint"),
         }
-    ).drop("_gained", "_took", "_rate")
+    )
+    return told.having(told.rows.drop("_gained", "_took", "_rate"))
 
 
-def add_last_progress(spans: DataFrame) -> DataFrame:
+def add_last_progress(looks: Ordered) -> Ordered:
     """``last_progress_us``: time of the latest point that advanced, else of the first point.
 
     Needs ``advanced``.
     """
-    at = F.struct(F.col(TICK), F.col("obs_us"))
-    moved = F.when(F.col("advanced"), at)
+    moved = F.when(F.col("advanced"), F.struct(F.col(TICK), F.col("obs_us")))
     opened = F.struct((-F.col(TICK)).alias(TICK), F.col("obs_us"))
-    marked = with_running_max(spans, RUN, TICK, {"_moved": moved, "_opened": opened})
-    return marked.withColumn(
-        "last_progress_us", F.coalesce(F.col("_moved.obs_us"), F.col("_opened.obs_us"))
-    ).drop("_moved", "_opened")
+    marked = running_max(looks.settled(), {"_moved": moved, "_opened": opened}).add(
+        {"last_progress_us": F.coalesce(F.col("_moved.obs_us"), F.col("_opened.obs_us"))}
+    )
+    return marked.having(marked.rows.drop("_moved", "_opened"))
 
 
 def add_stall(df: DataFrame) -> DataFrame:
@@ -275,17 +270,12 @@ def add_replication_delay(df: DataFrame) -> DataFrame:
     )
 
 
-def done(spans: DataFrame) -> DataFrame:
-    return spans.drop(SPAN, HALO)
-
-
 # --- the measures one by one -------------------------------------------------------
 
 
 def monotonic_progress(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
-    return done(add_copied_bytes(observed(ticks, span_rows))).withColumn(
-        "percent", percent(F.col("copied_bytes"), F.col("total_bytes"))
-    )
+    rows = add_copied_bytes(observed(ticks, span_rows)).done()
+    return rows.withColumn("percent", percent(F.col("copied_bytes"), F.col("total_bytes")))
 
 
 def history_retention(ticks: DataFrame, points: int = fixed.HISTORY_POINTS) -> DataFrame:
@@ -293,17 +283,17 @@ def history_retention(ticks: DataFrame, points: int = fixed.HISTORY_POINTS) -> D
 
 
 def last_progress(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
-    spans = add_copied_bytes(observed(ticks, span_rows))
-    return done(add_last_progress(add_history_measures(spans, {"advanced"})))
+    looks = add_copied_bytes(observed(ticks, span_rows))
+    return add_last_progress(add_history_measures(looks, {"advanced"})).done()
 
 
 def backlog_trend(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
-    return done(add_history_measures(observed(ticks, span_rows), {"trend"}))
+    return add_history_measures(observed(ticks, span_rows), {"trend"}).done()
 
 
 def throughput_eta(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
-    spans = add_copied_bytes(observed(ticks, span_rows))
-    return done(add_history_measures(spans, {"throughput"}))
+    looks = add_copied_bytes(observed(ticks, span_rows))
+    return add_history_measures(looks, {"throughput"}).done()
 
 
 def stall_detection(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
@@ -315,9 +305,9 @@ def replication_delay(ticks: DataFrame) -> DataFrame:
 
 
 def progress_signals(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
-    """All measures at once over the same spans."""
-    spans = add_history_measures(add_copied_bytes(observed(ticks, span_rows)))
-    rows = done(add_last_progress(spans))
+    """All measures at once; without large runs one shuffle and one sort serve them all."""
+    looks = add_history_measures(add_copied_bytes(observed(ticks, span_rows)))
+    rows = add_last_progress(looks).done()
     return add_replication_delay(add_stall(rows)).withColumn(
         "percent", percent(F.col("copied_bytes"), F.col("total_bytes"))
     )
