@@ -47,8 +47,14 @@ def apply_stream(
     )
 
 
-PHASE_SCHEMA = T.StructType.fromDDL(
-    "run_id bigint, seq bigint, op string, at_us bigint, phase string, error string"
+PHASE_SCHEMA = (
+    T.StructType()
+    .add("run_id", "long")
+    .add("seq", "long")
+    .add("op", "string")
+    .add("at_us", "long")
+    .add("phase", "string")
+    .add("error", "string")
 )
 
 
