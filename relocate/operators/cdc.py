@@ -72,6 +72,20 @@ def resume_from_snapshot(
     return apply_changes(snapshot, changes.filter(F.col(seq) > bound), keys, payload, seq, op)
 
 
+def overlay(base: DataFrame, last: DataFrame, keys: list[str]) -> DataFrame:
+    """Of two states with one row per key, the row with the larger ``seq``; ties go to ``base``.
+
+    Both joins test ``base`` against ``last``, so while ``last`` is small Spark broadcasts it
+    and the base is read in place, never shuffled.
+    """
+    old, new = base.alias("old"), last.alias("new")
+    same = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
+    newer = F.col("new.seq") > F.col("old.seq")
+    kept = old.join(new, [*same, newer], "left_anti")
+    late = old.join(new, [*same, ~newer]).select(*[F.col(f"old.{k}").alias(k) for k in keys])
+    return kept.unionByName(last.join(late, keys, "left_anti"))
+
+
 def merge_versions(
     state: DataFrame, changes: DataFrame, keys: list[str], payload: list[str]
 ) -> DataFrame:
@@ -80,16 +94,7 @@ def merge_versions(
     Deleted keys stay as tombstones, so a repeated or late change (``seq`` not above the one
     held) changes nothing, whatever order batches arrive in.
     """
-    last = latest_changes(changes, keys, payload).alias("new")
-    held = state.alias("old")
-    newer = F.col("new.seq").isNotNull() & (
-        F.col("old.seq").isNull() | (F.col("new.seq") > F.col("old.seq"))
-    )
-    picked = [
-        F.when(newer, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c)
-        for c in ["seq", "op", *payload]
-    ]
-    return held.join(last, keys, "full_outer").select(*keys, *picked)
+    return overlay(state, latest_changes(changes, keys, payload), keys)
 
 
 def live_rows(state: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:

@@ -1,9 +1,13 @@
 """A keyed table on plain Parquet that takes batches of changes exactly once.
 
-Rows live in hash buckets of their key. A batch rewrites only the buckets it touches, into
-a folder named after the batch, and then publishes a manifest that names the folder of
-every bucket. A batch that runs again finds its manifest and does nothing; one that broke
-off overwrites only its own unpublished folder. Readers keep the version they opened.
+The base holds the last change of each key in hash buckets. A batch is folded to one row
+per key and appended as a delta, so its cost follows the batch and not the table. Reading
+lays the deltas over the base. After some deltas, compaction rewrites the buckets they
+touch. Each step writes new folders and then publishes a numbered manifest that names the
+folders in use: a batch that runs again finds itself applied and does nothing, one that
+broke off overwrites only its own unpublished folder, and readers keep what they opened.
+
+One writer at a time, as a streaming query is.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relocate.operators.cdc import live_rows, merge_versions
+from relocate.operators.cdc import latest_changes, live_rows, overlay
 from relocate.sources import paths
 from relocate.sources.tables import require_schema
 
@@ -31,10 +35,11 @@ class KeyedTable:
         payload: list[str],
         schema: T.StructType,
         buckets: int = 64,
+        compact_after: int = 20,
     ) -> None:
         """``schema`` covers keys, ``seq``, ``op`` and payload, and is frozen for all batches.
 
-        Choose ``buckets`` so that one bucket is a few hundred MB: it is the unit of rewriting.
+        A bucket is the unit of rewriting; a few GB each is a good size.
         """
         self.spark = spark
         self.root = root.rstrip("/")
@@ -43,87 +48,112 @@ class KeyedTable:
         self.columns = [*keys, "seq", "op", *payload]
         self.schema = T.StructType([schema[c] for c in self.columns])
         self.buckets = buckets
+        self.compact_after = compact_after
 
-    # versions
+    # manifests
 
-    def _versions(self) -> list[int]:
+    def versions(self) -> list[int]:
         names = paths.child_names(self.spark, f"{self.root}/manifest")
         return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
 
-    def applied(self, batch_id: int) -> bool:
-        return paths.exists(self.spark, self._manifest_path(batch_id))
-
-    def _manifest_path(self, batch_id: int) -> str:
-        return f"{self.root}/manifest/{batch_id}.json"
-
-    def _manifest(self) -> dict[str, str]:
-        known = self._versions()
+    def manifest(self) -> dict:
+        """``batch`` applied last, ``base`` folder per bucket, ``deltas`` folders in order."""
+        known = self.versions()
         if not known:
-            return {}
-        text = paths.read_text(self.spark, self._manifest_path(known[-1]))
-        return json.loads(text)
+            return {"batch": -2, "base": {}, "deltas": []}
+        return json.loads(paths.read_text(self.spark, f"{self.root}/manifest/{known[-1]}.json"))
 
-    def _bucket_of(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+    def _publish(self, manifest: dict) -> None:
+        number = max(self.versions(), default=0) + 1
+        paths.write_text(
+            self.spark, f"{self.root}/manifest/{number}.json", json.dumps(manifest)
+        )
+
+    def applied(self, batch_id: int) -> bool:
+        return self.manifest()["batch"] >= batch_id
 
     # reading
 
-    def state(self, only: list[int] | None = None) -> DataFrame:
-        """Last change per key, tombstones included; of some buckets if ``only`` is given."""
-        manifest = self._manifest()
-        folders = [p for b, p in manifest.items() if only is None or int(b) in only]
+    def _scan(self, folders: list[str]) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*folders)
 
+    def _delta(self, manifest: dict) -> DataFrame:
+        return latest_changes(self._scan(manifest["deltas"]), self.keys, self.payload)
+
+    def state(self) -> DataFrame:
+        """Last change per key, tombstones included."""
+        now = self.manifest()
+        base = self._scan(list(now["base"].values()))
+        if not now["deltas"]:
+            return base
+        return overlay(base, self._delta(now), self.keys).select(*self.columns)
+
     def read(self) -> DataFrame:
         return live_rows(self.state(), self.keys, self.payload)
 
     # writing
 
     def load(self, rows: DataFrame, seq: int) -> None:
-        """Start from a snapshot that holds all changes up to ``seq``, as batch -1."""
+        """Start from a snapshot that holds all changes up to ``seq``."""
+        if self.versions():
+            raise ValueError("the table is not empty")
         first = rows.select(
             *self.keys, F.lit(seq).cast("bigint").alias("seq"), F.lit("I").alias("op"), *self.payload
         )
-        self._publish(-1, first, {})
-
-    def merge(
-        self, batch_id: int, changes: DataFrame, keep_tombstones_from: int | None = None
-    ) -> bool:
-        """Apply a batch; false if it was applied before.
+        self._publish({"batch": -1, "base": self._write_base(first), "deltas": []})
 
-        Tombstones with a lower ``seq`` than ``keep_tombstones_from`` are dropped from the
-        buckets rewritten; pass a position that no late change can lie before.
-        """
-        if self.applied(batch_id):
+    def merge(self, batch_id: int, changes: DataFrame) -> bool:
+        """Apply a batch; false if it was applied before. Batch numbers rise."""
+        now = self.manifest()
+        if now["batch"] >= batch_id:
             return False
         changes = require_schema(changes, self.schema)
+        folder = f"{self.root}/delta/batch={batch_id}"
+        last = latest_changes(changes, self.keys, self.payload).select(*self.columns)
+        last.write.mode("overwrite").parquet(folder)
+        self._publish({**now, "batch": batch_id, "deltas": [*now["deltas"], folder]})
+        if len(now["deltas"]) + 1 >= self.compact_after:
+            self.compact()
+        return True
+
+    def compact(self, keep_tombstones_from: int | None = None) -> None:
+        """Fold the deltas into the buckets they touch.
+
+        Tombstones with a lower ``seq`` than ``keep_tombstones_from`` are dropped there; pass a
+        position that no late change can lie before.
+        """
+        now = self.manifest()
+        if not now["deltas"]:
+            return
+        delta = self._delta(now)
         # At most one row per bucket comes to the driver.
-        touched = [
-            r[0] for r in changes.select(self._bucket_of().alias(BUCKET)).distinct().collect()
-        ]
-        merged = merge_versions(self.state(touched), changes, self.keys, self.payload)
+        touched = {
+            str(r[0]) for r in delta.select(self._bucket().alias(BUCKET)).distinct().collect()
+        }
+        base = self._scan([path for bucket, path in now["base"].items() if bucket in touched])
+        rows = overlay(base, delta, self.keys)
         if keep_tombstones_from is not None:
-            merged = merged.filter((F.col("op") != "D") | (F.col("seq") >= keep_tombstones_from))
-        self._publish(batch_id, merged, self._manifest())
-        return True
+            rows = rows.filter((F.col("op") != "D") | (F.col("seq") >= keep_tombstones_from))
+        kept = {bucket: path for bucket, path in now["base"].items() if bucket not in touched}
+        self._publish({**now, "base": {**kept, **self._write_base(rows)}, "deltas": []})
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def _publish(self, batch_id: int, rows: DataFrame, before: dict[str, str]) -> None:
-        folder = f"{self.root}/data/batch={batch_id}"
+    def _write_base(self, rows: DataFrame) -> dict[str, str]:
+        folder = f"{self.root}/base/{max(self.versions(), default=0) + 1}"
         # Even files per bucket: large buckets are split, small ones share a task.
-        laid_out = rows.select(*self.columns, self._bucket_of().alias(BUCKET)).hint(
+        laid_out = rows.select(*self.columns, self._bucket().alias(BUCKET)).hint(
             "rebalance", BUCKET
         )
         laid_out.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
-        written = {
+        return {
             name.removeprefix(f"{BUCKET}="): f"{folder}/{name}"
             for name in paths.child_names(self.spark, folder)
             if name.startswith(f"{BUCKET}=")
         }
-        paths.write_text(
-            self.spark, self._manifest_path(batch_id), json.dumps({**before, **written})
-        )
 
 
 def exactly_once(

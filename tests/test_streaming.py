@@ -46,9 +46,9 @@ def test_kicks_equal_batch_apply(spark, setup):
         done = cdc.apply_changes(snapshot, log.filter(f"seq < {upper}"), KEYS, PAYLOAD)
         assert rows(table.read()) == rows(done.select(*KEYS, *PAYLOAD))
     # A kick with nothing queued, as after a restart, changes nothing.
-    before = table._versions()
+    before = table.versions()
     apply_stream(stream, table, checkpoint).awaitTermination()
-    assert table._versions() == before
+    assert table.versions() == before
 
 
 def test_batch_is_applied_once_and_late_changes_are_ignored(spark, setup):
@@ -72,7 +72,7 @@ def test_broken_batch_leaves_the_table_as_it_was(spark, setup, monkeypatch):
         raise OSError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr("relocate.streaming.store.paths.write_text", lost)
+        patch.setattr("relocate.sources.paths.write_text", lost)
         with pytest.raises(OSError):
             table.merge(1, whole.filter("seq >= 500"))
     assert rows(table.read()) == before
@@ -82,15 +82,35 @@ def test_broken_batch_leaves_the_table_as_it_was(spark, setup, monkeypatch):
     assert rows(table.read()) == rows(want)
 
 
-def test_only_touched_buckets_are_rewritten(spark, setup):
+def test_compaction_rewrites_only_touched_buckets(spark, setup):
     log, table, _, _ = setup
     table.merge(0, log.select(*table.columns))
-    first = table._manifest()
+    table.compact()
+    first, before = table.manifest(), rows(table.read())
+    assert first["deltas"] == [] and len(first["base"]) > 1
     one = log.select(*table.columns).filter("seq = 0")
     table.merge(1, one.withColumn("seq", F.col("seq") + 100_000))
-    second = table._manifest()
-    assert set(first) == set(second)
-    assert sum(first[b] != second[b] for b in first) == 1
+    changed = rows(table.read())
+    assert table.manifest()["base"] == first["base"]
+    table.compact()
+    second = table.manifest()
+    assert second["deltas"] == [] and set(first["base"]) == set(second["base"])
+    assert sum(first["base"][b] != second["base"][b] for b in first["base"]) == 1
+    assert rows(table.read()) == changed
+    # Late rows lose against the compacted base.
+    table.merge(2, log.select(*table.columns))
+    assert rows(table.read()) == changed != before
+
+
+def test_table_compacts_by_itself(spark, setup):
+    log, table, _, _ = setup
+    table.compact_after = 3
+    for batch in range(7):
+        table.merge(batch, log.filter(f"seq % 7 = {batch}").select(*table.columns))
+        assert len(table.manifest()["deltas"]) < 3
+    empty = spark.createDataFrame([], table.schema)
+    want = cdc.merge_versions(empty, log.select(*table.columns), KEYS, PAYLOAD)
+    assert rows(table.state().select(*table.columns)) == rows(want.select(*table.columns))
 
 
 def test_drift_is_refused(spark, setup):
@@ -104,7 +124,7 @@ def test_old_tombstones_go_when_asked(spark, setup):
     table.merge(0, log.select(*table.columns))
     held = table.state().filter("op = 'D'").count()
     assert held > 0
-    table.merge(1, log.select(*table.columns), keep_tombstones_from=10**9)
+    table.compact(keep_tombstones_from=10**9)
     assert table.state().filter("op = 'D'").count() == 0
 
 
