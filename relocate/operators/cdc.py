@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from relocate.session import settle
+
 DELETE = "D"
 
 
@@ -35,9 +37,17 @@ def apply_changes(
     payload: list[str],
     seq: str = "seq",
     op: str = "op",
+    settle_changes: bool = False,
 ) -> DataFrame:
-    """The target after all changes: one pass over the target, one row per key from the log."""
+    """The target after all changes: one pass over the target, one row per key from the log.
+
+    Keys are not null. With ``settle_changes`` the folded log is written first; Spark then
+    knows its true size, and when it is small broadcasts it instead of shuffling the target.
+    Use it when the target is far larger than the log.
+    """
     last = latest_changes(changes, keys, payload, seq, op)
+    if settle_changes:
+        last = settle(last)
     kept = target.select(*keys, *payload).join(last.select(*keys), keys, "left_anti")
     written = last.filter(F.col(op) != DELETE).select(*keys, *payload)
     return kept.unionByName(written)

@@ -105,6 +105,26 @@ def running_max(ordered: Ordered, values: dict[str, Column], *, before: bool = F
     return ordered.having(joined.drop(*[f"_c_{name}" for name in values]))
 
 
+def running_last(ordered: Ordered, name: str, value: Column) -> Ordered:
+    """Add the latest non-null value up to each row."""
+    frame = ordered.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = F.last(value, ignorenulls=True).over(frame)
+    if not ordered.split:
+        return ordered.add({name: within})
+    at = F.when(value.isNotNull(), F.col(ordered.order))
+    ends = ordered.rows.groupBy(*ordered.parts).agg(F.max_by(value, at).alias("_end"))
+    earlier = (
+        Window.partitionBy(*ordered.keys).orderBy(SPAN).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    carried = ends.select(
+        *ordered.parts, F.last("_end", ignorenulls=True).over(earlier).alias("_carried")
+    )
+    joined = ordered.rows.join(carried, ordered.parts)
+    return ordered.having(
+        joined.withColumn(name, F.coalesce(within, F.col("_carried"))).drop("_carried")
+    )
+
+
 def look_back(ordered: Ordered, rows: int, columns: list[str]) -> Ordered:
     """Make ready for windows that look back at most ``rows`` rows at ``columns``.
 

@@ -99,19 +99,12 @@ def parse_status(blocks: DataFrame, block: str = "block") -> DataFrame:
 # --- logs --------------------------------------------------------------------------
 
 
-def first_mentions(
-    lines: DataFrame, patterns: list[str], known: DataFrame | None = None
-) -> DataFrame:
-    """First place each table is named: ``run_id, table_name, place``.
-
-    ``place`` orders by pattern first, then line, then place in the line. With ``known``
-    (``run_id, table_name``), only those tables count.
-    """
-    line = F.col("line")
+def _mentions(patterns: list[str]) -> Column:
+    """Tables a line names, each with its place: pattern first, then line, then match."""
 
     def found(number: int, pattern: str) -> Column:
         return F.transform(
-            _every(line, "(?id)" + pattern),
+            _every(F.col("line"), "(?id)" + pattern),
             lambda name, i: F.struct(
                 tx.normalize_table_name(name).alias("table_name"),
                 F.struct(
@@ -122,9 +115,18 @@ def first_mentions(
             ),
         )
 
-    named = F.flatten(F.array(*[found(n, p) for n, p in enumerate(patterns)]))
+    return F.flatten(F.array(*[found(n, p) for n, p in enumerate(patterns)]))
+
+
+def first_mentions(
+    lines: DataFrame, patterns: list[str], known: DataFrame | None = None
+) -> DataFrame:
+    """First place each table is named: ``run_id, table_name, place``.
+
+    With ``known`` (``run_id, table_name``), only those tables count.
+    """
     firsts = (
-        lines.select("run_id", F.explode(named).alias("_m"))
+        lines.select("run_id", F.explode(_mentions(patterns)).alias("_m"))
         .select("run_id", "_m.table_name", "_m.place")
         .filter(F.col("table_name").isNotNull())
         .groupBy("run_id", "table_name")
@@ -146,26 +148,58 @@ def log_current_table(lines: DataFrame, known: DataFrame | None = None) -> DataF
     """The table each run is copying, or null: one row per run in the log.
 
     The last table in the order of first mentions; failing that, the last known word of the
-    last line that has both words "table" and "copy".
+    last line that has both words "table" and "copy". One pass over the log serves both: a
+    row without a table name carries that last line.
     """
-    both = F.col("line").rlike(r"(?i)\btable\b") & F.col("line").rlike(r"(?i)\bcopy\b")
-    runs = lines.groupBy("run_id").agg(
-        F.max_by(F.when(both, F.struct("line_no", "line")), F.when(both, F.col("line_no"))).alias(
-            "_last"
+    line = F.col("line")
+    both = line.rlike(r"(?i)\btable\b") & line.rlike(r"(?i)\bcopy\b")
+    named = _mentions(fixed.CURRENT_PATTERNS)
+    place = "struct<pattern_no:int,line_no:bigint,match_no:int>"
+    hint = F.struct(F.lit(None).cast("string").alias("table_name"), F.lit(None).cast(place).alias("place"))
+    rows = (
+        lines.select(
+            "run_id",
+            F.when(both, F.struct("line_no", "line")).alias("_hint"),
+            F.explode(F.concat(F.array(hint), named)).alias("_m"),
         )
+        .withColumn("_hint", F.when(F.col("_m.table_name").isNull(), F.col("_hint")))
+        .groupBy("run_id", F.col("_m.table_name").alias("table_name"))
+        .agg(F.min("_m.place").alias("place"), F.max("_hint").alias("_hint"))
     )
-
-    def newest(mentions: DataFrame, name: str) -> DataFrame:
-        return mentions.groupBy("run_id").agg(F.max_by("table_name", "place").alias(name))
-
-    direct = newest(first_mentions(lines, fixed.CURRENT_PATTERNS, known), "_direct")
-    last_lines = runs.filter(F.col("_last").isNotNull()).select("run_id", "_last.*")
-    guessed = newest(first_mentions(last_lines, [fixed.ANY_NAME_PATTERN], known), "_guessed")
-    return (
-        runs.join(direct, "run_id", "left")
-        .join(guessed, "run_id", "left")
-        .select("run_id", F.coalesce("_direct", "_guessed").alias("current_table"))
+    # From here on there is one row per run and table named.
+    words = F.array_distinct(
+        F.array_compact(
+            F.transform(
+                _every(F.col("_hint.line"), fixed.ANY_NAME_PATTERN), tx.normalize_table_name
+            )
+        )
+    )
+    guesses = F.transform(
+        words,
+        lambda word, i: F.struct(
+            word.alias("table_name"),
+            F.struct(
+                F.lit(-1).alias("pattern_no"),
+                F.lit(0).cast("bigint").alias("line_no"),
+                i.cast("int").alias("match_no"),
+            ).alias("place"),
+        ),
     )
+    candidates = rows.select(
+        "run_id",
+        F.explode(
+            F.when(F.col("table_name").isNotNull(), F.array(F.struct("table_name", "place")))
+            .when(F.col("_hint").isNotNull(), F.concat(F.array(hint), guesses))
+            .otherwise(F.array(hint))
+        ).alias("_c"),
+    ).select("run_id", "_c.*")
+    counts = F.col("place").isNotNull()
+    if known is not None:
+        marked = known.select("run_id", "table_name").distinct().withColumn("_known", F.lit(True))
+        candidates = candidates.join(marked, ["run_id", "table_name"], "left")
+        counts = F.col("_known")
+    chosen = F.max_by(F.when(counts, F.col("table_name")), F.when(counts, F.col("place")))
+    return candidates.groupBy("run_id").agg(chosen.alias("current_table"))
 
 
 def filter_warnings(lines: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ the looks and is unique in its run; times are epoch micros; "now" is always ``ob
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from relocate import fixed
@@ -17,6 +17,7 @@ from relocate.operators.ordered import (
     latest_rows,
     look_back,
     looked_back,
+    running_last,
     running_max,
 )
 
@@ -168,20 +169,25 @@ def add_history_measures(looks: Ordered, which: set[str] | None = None) -> Order
         columns |= {"copied_bytes", "obs_us"}
     wide = look_back(looks, back, sorted(columns))
     order = wide.window
+    added: dict[str, Column] = {}
     if "advanced" in which:
-        wide = wide.add({"advanced": _advanced(order)})
+        added |= _advanced(order)
     if "trend" in which:
-        recent = order.rowsBetween(1 - fixed.TREND_POINTS, 0)
-        wide = wide.add({"_points": F.collect_list("rows_changed").over(recent)})
-        wide = wide.add({"backlog_trend": _trend(F.col("_points"))})
+        for k in range(1, fixed.TREND_POINTS):
+            added[f"_p{k}"] = F.lag("rows_changed", k).over(order)
     if "throughput" in which:
-        recent = order.rowsBetween(1 - fixed.THROUGHPUT_POINTS, 0)
-        wide = _add_throughput(wide, recent)
-    own = looked_back(wide)
-    return own.having(own.rows.drop("_points"))
+        added |= _ends(order)
+    wide = looked_back(wide.add(added))
+    if "trend" in which:
+        before = [f"_p{k}" for k in range(1, fixed.TREND_POINTS)]
+        wide = wide.add({"backlog_trend": _trend(["rows_changed", *before])})
+        wide = wide.having(wide.rows.drop(*before))
+    if "throughput" in which:
+        wide = _add_throughput(wide)
+    return wide
 
 
-def _advanced(order: WindowSpec) -> Column:
+def _advanced(order: WindowSpec) -> dict[str, Column]:
     """More tables, more bytes, or another last good sync than at the point before."""
     has_before = F.lag(F.lit(True)).over(order).isNotNull()
 
@@ -193,30 +199,43 @@ def _advanced(order: WindowSpec) -> Column:
         for name in ("tables_completed", "copied_bytes")
     ]
     good = ~F.col("last_good_us").eqNullSafe(before("last_good_us"))
-    return F.coalesce(has_before & (rose[0] | rose[1] | good), F.lit(False))
-
-
-def _trend(points: Column) -> Column:
-    """growing, shrinking, stable or unknown over the last points that have a value."""
-    size = F.size(points)
-    steps = F.zip_with(
-        F.slice(points, 2, F.greatest(size - 1, F.lit(0))),
-        F.slice(points, 1, F.greatest(size - 1, F.lit(0))),
-        lambda later, earlier: later - earlier,
-    )
-    rises, falls = F.exists(steps, lambda d: d > 0), F.exists(steps, lambda d: d < 0)
+    moved = F.coalesce(has_before & (rose[0] | rose[1] | good), F.lit(False))
+    return {"advanced": moved, "_opening": ~has_before}
+
+
+def _trend(names: list[str]) -> Column:
+    """growing, shrinking, stable or unknown; ``names`` run from the newest point back."""
+    points = F.lit(0)
+    rises, falls = F.lit(False), F.lit(False)
+    for i, name in enumerate(names):
+        point = F.col(name)
+        points = points + point.isNotNull().cast("int")
+        if i + 1 < len(names):
+            earlier = F.coalesce(*names[i + 1 :])
+            rises = rises | F.coalesce(point > earlier, F.lit(False))
+            falls = falls | F.coalesce(point < earlier, F.lit(False))
     return (
-        F.when(size < 3, "unknown")
+        F.when(points < 3, "unknown")
         .when(rises & ~falls, "growing")
         .when(falls & ~rises, "shrinking")
         .otherwise("stable")
     )
 
 
-def _add_throughput(looks: Ordered, recent: WindowSpec) -> Ordered:
+def _ends(order: WindowSpec) -> dict[str, Column]:
+    """The oldest of the last points: a fixed way back, or the first point of the run."""
+    back = fixed.THROUGHPUT_POINTS - 1
+    growing = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return {
+        f"_{name}0": F.coalesce(F.lag(name, back).over(order), F.first(name).over(growing))
+        for name in ("copied_bytes", "obs_us")
+    }
+
+
+def _add_throughput(looks: Ordered) -> Ordered:
     """``bytes_per_min, mb_per_min, eta_min_minutes, eta_max_minutes``; null when unknown."""
-    gained = F.col("copied_bytes") - F.first("copied_bytes").over(recent)
-    took = whole_seconds(F.col("obs_us")) - whole_seconds(F.first("obs_us").over(recent))
+    gained = F.col("copied_bytes") - F.col("_copied_bytes0")
+    took = whole_seconds(F.col("obs_us")) - whole_seconds(F.col("_obs_us0"))
     ends = looks.add({"_gained": gained, "_took": took})
     usable = (F.col("total_bytes") > 0) & (F.col("_gained") > 0) & (F.col("_took") > 0)
     rate = F.col("_gained") / F.col("_took") * 60
@@ -231,20 +250,17 @@ def _add_throughput(looks: Ordered, recent: WindowSpec) -> Ordered:
             "eta_max_minutes": F.round(eta * fixed.ETA_HIGH).cast("bigint"),
         }
     )
-    return told.having(told.rows.drop("_gained", "_took", "_rate"))
+    return told.having(told.rows.drop("_gained", "_took", "_rate", "_copied_bytes0", "_obs_us0"))
 
 
 def add_last_progress(looks: Ordered) -> Ordered:
     """``last_progress_us``: time of the latest point that advanced, else of the first point.
 
-    Needs ``advanced``.
+    Needs ``advanced`` with its helper column.
     """
-    moved = F.when(F.col("advanced"), F.struct(F.col(TICK), F.col("obs_us")))
-    opened = F.struct((-F.col(TICK)).alias(TICK), F.col("obs_us"))
-    marked = running_max(looks.settled(), {"_moved": moved, "_opened": opened}).add(
-        {"last_progress_us": F.coalesce(F.col("_moved.obs_us"), F.col("_opened.obs_us"))}
-    )
-    return marked.having(marked.rows.drop("_moved", "_opened"))
+    at = F.when(F.col("advanced") | F.col("_opening"), F.col("obs_us"))
+    marked = running_last(looks.settled(), "last_progress_us", at)
+    return marked.having(marked.rows.drop("_opening"))
 
 
 def add_stall(df: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ VIEWS = {
                c.c_mktsegment,
                CASE e.event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op
         FROM {events} e JOIN {customer} c ON c.c_custkey = e.user_id""",
-    # One observation per run and hour.
+    # One observation per run and hour: few rows, however many events they come from.
     "ticks": """
         WITH a AS (
           SELECT user_id % 10 AS run_id, date_trunc('hour', ts) AS h, max(event_id) AS last_id,

@@ -64,6 +64,16 @@ def read_jdbc(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 
 
+def jdbc_bounds(
+    spark: SparkSession, options: Mapping[str, str], split_column: str
+) -> tuple[int, int] | None:
+    """Smallest and largest value of a split column, asked of the database; none when empty."""
+    rest = {k: v for k, v in options.items() if k != "dbtable"}
+    ask = f"SELECT min({split_column}) AS lo, max({split_column}) AS hi FROM {options['dbtable']}"
+    row = spark.read.format("jdbc").options(**rest).option("query", ask).load().first()
+    return None if row[0] is None else (int(row[0]), int(row[1]))
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).parquet(path)
 

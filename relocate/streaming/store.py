@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relocate.operators.cdc import latest_changes, live_rows, overlay
+from relocate.session import settle
 from relocate.sources import paths
 from relocate.sources.tables import require_schema
 
@@ -127,7 +128,7 @@ class KeyedTable:
         now = self.manifest()
         if not now["deltas"]:
             return
-        delta = self._delta(now)
+        delta = settle(self._delta(now))
         # At most one row per bucket comes to the driver.
         touched = {
             str(r[0]) for r in delta.select(self._bucket().alias(BUCKET)).distinct().collect()

@@ -55,6 +55,8 @@ def test_apply_equals_replay(spark, target, seed):
     log = changes(seed)
     df = spark.createDataFrame(log, CHANGE)
     assert as_dict(cdc.apply_changes(target, df, KEYS, PAYLOAD)) == replay(START, log)
+    settled = cdc.apply_changes(target, df, KEYS, PAYLOAD, settle_changes=True)
+    assert as_dict(settled) == replay(START, log)
 
 
 def test_apply_in_batches_equals_apply_at_once(spark, target):
