@@ -8,17 +8,19 @@ from pyspark.sql import types as T
 
 
 def canonical(df: DataFrame, column: str) -> Column:
-    """Text of a value that does not depend on an engine's number or time printing.
+    """Exact text of a value: unequal values never share one.
 
-    Fractions become hundredths, timestamps become epoch micros, strings carry their
-    length so that neighbouring columns cannot run together, null becomes ``~``.
+    Timestamps become epoch micros, strings carry their length so that neighbouring columns
+    cannot run together, bytes become hex, nested values JSON, null becomes ``~``.
     """
     kind = df.schema[column].dataType
     value = F.col(column)
-    if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
-        value = F.round(value * 100).cast("bigint")
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         value = F.unix_micros(value.cast("timestamp"))
+    elif isinstance(kind, T.BinaryType):
+        value = F.hex(value)
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        value = F.to_json(value, {"ignoreNullFields": "false"})
     elif isinstance(kind, T.StringType):
         value = F.concat(F.length(value).cast("string"), F.lit(":"), value)
     return F.coalesce(value.cast("string"), F.lit("~"))

@@ -11,7 +11,7 @@ ORDER_TEXT = """concat_ws('|',
     COALESCE(CAST(o_orderkey AS VARCHAR), '~'),
     COALESCE(length(o_orderpriority) || ':' || o_orderpriority, '~'),
     COALESCE(length(o_orderstatus) || ':' || o_orderstatus, '~'),
-    COALESCE(CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR), '~'))"""
+    COALESCE(CAST(o_totalprice AS VARCHAR), '~'))"""
 ORDER_KEY_HASH = (
     "CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT)"
 )
@@ -26,7 +26,7 @@ ORDER_DIFF = """
     WHERE s.o_orderkey IS NULL OR t.o_orderkey IS NULL
        OR s.o_custkey <> t.o_custkey OR s.o_orderstatus <> t.o_orderstatus
        OR s.o_orderdate <> t.o_orderdate OR s.o_orderpriority <> t.o_orderpriority
-       OR round(s.o_totalprice * 100) <> round(t.o_totalprice * 100)"""
+       OR s.o_totalprice <> t.o_totalprice"""
 
 # What a change log leaves behind, step by step: the newest change decides.
 APPLIED = """
@@ -59,10 +59,6 @@ def _n(column: str) -> str:
     return f"CAST({column} AS VARCHAR)"
 
 
-def _d(column: str) -> str:
-    return f"CAST(CAST(round({column} * 100) AS BIGINT) AS VARCHAR)"
-
-
 def _t(column: str) -> str:
     return f"CAST(epoch_us({column}) AS VARCHAR)"
 
@@ -73,26 +69,26 @@ SNAPSHOT_COPY = "\nUNION ALL\n".join(
         _fingerprint("nation", [_s("n_name"), _n("n_nationkey"), _n("n_regionkey")]),
         _fingerprint(
             "customer",
-            [_d("c_acctbal"), _n("c_custkey"), _s("c_mktsegment"), _s("c_name"), _n("c_nationkey")],
+            [_n("c_acctbal"), _n("c_custkey"), _s("c_mktsegment"), _s("c_name"), _n("c_nationkey")],
         ),
         _fingerprint(
-            "supplier", [_d("s_acctbal"), _s("s_name"), _n("s_nationkey"), _n("s_suppkey")]
+            "supplier", [_n("s_acctbal"), _s("s_name"), _n("s_nationkey"), _n("s_suppkey")]
         ),
         _fingerprint(
             "part",
-            [_s("p_brand"), _s("p_name"), _n("p_partkey"), _d("p_retailprice"), _n("p_size"),
+            [_s("p_brand"), _s("p_name"), _n("p_partkey"), _n("p_retailprice"), _n("p_size"),
              _s("p_type")],
         ),
         _fingerprint(
             "orders",
             [_n("o_custkey"), _t("o_orderdate"), _n("o_orderkey"), _s("o_orderpriority"),
-             _s("o_orderstatus"), _d("o_totalprice")],
+             _s("o_orderstatus"), _n("o_totalprice")],
         ),
         _fingerprint(
             "lineitem",
-            [_d("l_discount"), _d("l_extendedprice"), _n("l_linenumber"), _s("l_linestatus"),
-             _n("l_orderkey"), _n("l_partkey"), _d("l_quantity"), _s("l_returnflag"),
-             _t("l_shipdate"), _n("l_suppkey"), _d("l_tax")],
+            [_n("l_discount"), _n("l_extendedprice"), _n("l_linenumber"), _s("l_linestatus"),
+             _n("l_orderkey"), _n("l_partkey"), _n("l_quantity"), _s("l_returnflag"),
+             _t("l_shipdate"), _n("l_suppkey"), _n("l_tax")],
         ),
     ]
 )
@@ -547,7 +543,7 @@ ORACLES = {
           CAST(CASE WHEN m.c_custkey IS NULL THEN 0 ELSE 1 END AS BIGINT) AS rows_extra
         FROM customer c LEFT JOIN moved m ON m.c_custkey = c.c_custkey
         WHERE m.c_custkey IS NULL OR c.c_name <> m.c_name OR c.c_nationkey <> m.c_nationkey
-          OR round(c.c_acctbal * 100) <> round(m.c_acctbal * 100)
+          OR c.c_acctbal <> m.c_acctbal
           OR c.c_mktsegment <> m.c_mktsegment""",
     "capacity_plan": """
         SELECT db_id, size_kb, size_kb * 2 AS storage_kb,
