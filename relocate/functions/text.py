@@ -26,9 +26,16 @@ def normalize_table_name(name: Column) -> Column:
 
 
 def quote_ident(name: Column) -> Column:
-    """An identifier as SQL text, quoted unless it is plain lower case."""
+    """An identifier as SQL text, quoted unless it is plain lower case and no key word."""
     quoted = F.concat(F.lit('"'), F.replace(name, F.lit('"'), F.lit('""')), F.lit('"'))
-    return F.when(name.rlike(r"\A[a-z_][a-z0-9_$]*\z"), name).otherwise(quoted)
+    plain = name.rlike(r"\A[a-z_][a-z0-9_]*\z") & ~name.isin(fixed.SQL_KEYWORDS)
+    return F.when(plain, name).otherwise(quoted)
+
+
+def is_user_schema(schema: Column, replicator_schema: str | None = None) -> Column:
+    """Not a system schema, nor the one a replicator keeps for itself."""
+    user = (schema != "information_schema") & ~schema.startswith("pg_")
+    return user & (schema != replicator_schema) if replicator_schema else user
 
 
 def normalize_state(raw: Column) -> Column:
@@ -37,7 +44,7 @@ def normalize_state(raw: Column) -> Column:
     chain = F.when(raw.isNull(), F.lit(None).cast("string"))
     for reported, state in fixed.STATE_NAMES.items():
         chain = chain.when(raw == reported, state)
-    return chain.when(applying, "applying_changes").otherwise("unknown")
+    return chain.when(applying, fixed.STATE_APPLYING).otherwise(fixed.UNKNOWN)
 
 
 def copy_phase(raw: Column) -> Column:
@@ -45,7 +52,7 @@ def copy_phase(raw: Column) -> Column:
     chain = F.when(raw.isNull(), F.lit(None).cast("string"))
     for reported, phase in fixed.COPY_PHASES.items():
         chain = chain.when(raw == reported, phase)
-    return chain.otherwise("unknown")
+    return chain.otherwise(fixed.UNKNOWN)
 
 
 def count_with_commas(text: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relocate.functions.text import quote_ident
+from relocate.functions.text import is_user_schema, quote_ident
 
 
 def copy_with_generated(df: DataFrame, generated: Mapping[str, str]) -> DataFrame:
@@ -19,7 +19,7 @@ def copy_with_generated(df: DataFrame, generated: Mapping[str, str]) -> DataFram
     return plain.withColumns({name: F.expr(sql) for name, sql in generated.items()})
 
 
-def copy_column_list(columns: DataFrame) -> DataFrame:
+def copy_column_list(columns: DataFrame, replicator_schema: str | None = None) -> DataFrame:
     """Per table with generated columns, the column list a copy must select.
 
     ``columns``: ``db_id, schema_name, table_name, pos, column_name, is_generated``. A table
@@ -30,7 +30,8 @@ def copy_column_list(columns: DataFrame) -> DataFrame:
         ~F.col("is_generated"), F.struct(F.col("pos"), quote_ident(F.col("column_name")).alias("c"))
     )
     return (
-        columns.groupBy("db_id", "schema_name", "table_name")
+        columns.filter(is_user_schema(F.col("schema_name"), replicator_schema))
+        .groupBy("db_id", "schema_name", "table_name")
         .agg(F.max("is_generated").alias("_any"), F.collect_list(plain).alias("_plain"))
         .filter("_any")
         .select(

@@ -14,11 +14,6 @@ from relocate.functions.text import strip
 from relocate.operators.ordered import SPAN_ROWS
 from relocate.operators.progress import age_seconds, progress_signals
 
-STATUS_UNAVAILABLE = "status_unavailable"
-COPY_NOT_FINISHED = "initial_copy_not_finished"
-NOT_HEALTHY = "replication_not_healthy"
-
-
 def _sure(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
@@ -35,7 +30,7 @@ def recent_good_sync(now: str = "obs_us") -> Column:
 def replication_healthy(now: str = "obs_us") -> Column:
     """A known good state or a recent good sync, and no error that a recent sync did not outlive."""
     recent = recent_good_sync(now)
-    known = _sure(F.col("state").isin("good", "applying_changes"))
+    known = _sure(F.col("state").isin(fixed.STATE_NAMES["Good"], fixed.STATE_APPLYING))
     failed = _sure(strip(F.col("last_error")) != "")
     return status_seen() & (known | recent) & (~failed | recent)
 
@@ -43,36 +38,36 @@ def replication_healthy(now: str = "obs_us") -> Column:
 def health_state(now: str = "obs_us") -> Column:
     healthy = replication_healthy(now)
     return (
-        F.when(healthy & recent_good_sync(now), "healthy")
-        .when(healthy, "degraded")
-        .otherwise("blocked")
+        F.when(healthy & recent_good_sync(now), fixed.HEALTHY)
+        .when(healthy, fixed.DEGRADED)
+        .otherwise(fixed.BLOCKED)
     )
 
 
 def add_readiness(df: DataFrame, now: str = "obs_us") -> DataFrame:
     """``readiness, can_force, hard_blockers, soft_blockers``."""
     judged = _sure(F.col("phase").isin("copying", "replicating"))
-    unfinished = ~F.col("copy_phase").eqNullSafe(F.lit("finished"))
+    unfinished = ~F.col("copy_phase").eqNullSafe(F.lit(fixed.COPY_DONE))
     hard = F.array_compact(
         F.array(
-            F.when(judged & ~status_seen(), STATUS_UNAVAILABLE),
-            F.when(judged & status_seen() & unfinished, COPY_NOT_FINISHED),
+            F.when(judged & ~status_seen(), fixed.STATUS_UNAVAILABLE),
+            F.when(judged & status_seen() & unfinished, fixed.COPY_NOT_FINISHED),
         )
     )
     soft = F.array_compact(
-        F.array(F.when(judged & status_seen() & ~replication_healthy(now), NOT_HEALTHY))
+        F.array(F.when(judged & status_seen() & ~replication_healthy(now), fixed.NOT_HEALTHY))
     )
     level = (
-        F.when(~_sure(F.col("phase").isin(fixed.PHASES_WITH_READINESS)), "not_ready")
-        .when(F.size("hard_blockers") > 0, "blocked")
-        .when(F.size("soft_blockers") > 0, "warning")
-        .otherwise("ready")
+        F.when(~_sure(F.col("phase").isin(fixed.PHASES_WITH_READINESS)), fixed.NOT_READY)
+        .when(F.size("hard_blockers") > 0, fixed.BLOCKED)
+        .when(F.size("soft_blockers") > 0, fixed.WARNING)
+        .otherwise(fixed.READY)
     )
     return (
         df.withColumn("hard_blockers", hard)
         .withColumn("soft_blockers", soft)
         .withColumn("readiness", level)
-        .withColumn("can_force", F.col("readiness").isin("warning", "ready"))
+        .withColumn("can_force", F.col("readiness").isin(fixed.WARNING, fixed.READY))
     )
 
 
@@ -90,29 +85,22 @@ def replication_health(df: DataFrame, now: str = "obs_us") -> DataFrame:
     )
     blocker = F.coalesce(
         F.try_element_at("hard_blockers", F.lit(1)),
-        F.when(F.col("health") == "blocked", NOT_HEALTHY),
+        F.when(F.col("health") == fixed.BLOCKED, fixed.NOT_HEALTHY),
     )
     return judged.withColumn("blocker", blocker)
 
 
-CHECKLIST = [
-    "schema_copied",
-    "replication_configured",
-    "initial_copy_running",
-    "initial_copy_complete",
-    "replication_healthy",
-]
-
-
 def checklist() -> Column:
     """Five steps as ``array<struct<id, status>>``; needs ``phase, copy_phase, health``."""
     phase = F.col("phase")
     schema_done = _sure(phase.isin(fixed.PHASES_AFTER_SCHEMA))
     copy_done = _sure(phase.isin(fixed.PHASES_AFTER_COPY))
-    copying = _sure(F.col("copy_phase") == "in-progress")
-    copied = _sure(F.col("copy_phase") == "finished") | copy_done
-    healthy = F.col("health") == "healthy"
-    complete, current, pending = F.lit("complete"), F.lit("current"), F.lit("pending")
+    copying = _sure(F.col("copy_phase") == fixed.COPY_RUNNING)
+    copied = _sure(F.col("copy_phase") == fixed.COPY_DONE) | copy_done
+    healthy = F.col("health") == fixed.HEALTHY
+    complete = F.lit(fixed.STEP_COMPLETE)
+    current = F.lit(fixed.STEP_CURRENT)
+    pending = F.lit(fixed.STEP_PENDING)
     statuses = [
         F.when(schema_done, complete).otherwise(pending),
         F.when(schema_done, complete).otherwise(pending),
@@ -123,7 +111,7 @@ def checklist() -> Column:
     return F.array(
         *[
             F.struct(F.lit(step).alias("id"), status.alias("status"))
-            for step, status in zip(CHECKLIST, statuses, strict=True)
+            for step, status in zip(fixed.STEPS, statuses, strict=True)
         ]
     )
 
@@ -138,7 +126,7 @@ def status_record(observations: DataFrame, span_rows: int = SPAN_ROWS) -> DataFr
     if "current_table" not in rows.columns:
         rows = rows.withColumn("current_table", F.lit(None).cast("string"))
     rows = rows.withColumn("_steps", checklist())
-    finished = F.size(F.filter("_steps", lambda s: s["status"] == "complete"))
+    finished = F.size(F.filter("_steps", lambda s: s["status"] == fixed.STEP_COMPLETE))
     return rows.select(
         "run_id",
         "tick",
@@ -170,7 +158,7 @@ def status_record(observations: DataFrame, span_rows: int = SPAN_ROWS) -> DataFr
             F.struct(
                 F.col("_steps").alias("steps"),
                 finished.cast("bigint").alias("completed"),
-                F.lit(len(CHECKLIST)).cast("bigint").alias("total"),
+                F.lit(len(fixed.STEPS)).cast("bigint").alias("total"),
             ).alias("event_checklist"),
             F.struct("stalled", "no_progress_minutes").alias("stall_detection"),
         ).alias("progress_signals"),

@@ -58,12 +58,12 @@ def auto_transition(observations: DataFrame, now: str = "obs_us") -> DataFrame:
     copy_began = (
         seen
         & F.col("phase").isin(fixed.PHASES_BEFORE_COPY)
-        & (copy == "in-progress")
-        & ~F.col("state").eqNullSafe(F.lit("not-yet-started"))
+        & (copy == fixed.COPY_RUNNING)
+        & ~F.col("state").eqNullSafe(F.lit(fixed.STATE_NOT_STARTED))
         & ~beyond
     )
     in_copy = F.coalesce(copy_began | (seen & (F.col("phase") == "copying")), F.lit(False))
-    finished = in_copy & F.coalesce(copy == "finished", F.lit(False))
+    finished = in_copy & F.coalesce(copy == fixed.COPY_DONE, F.lit(False))
     healthy = replication_healthy(now)
     next_phase = (
         F.when(finished & healthy, "replicating")
@@ -71,10 +71,10 @@ def auto_transition(observations: DataFrame, now: str = "obs_us") -> DataFrame:
         .otherwise(F.col("phase"))
     )
     next_state = (
-        F.when(finished & healthy, "running")
-        .when(finished, "copy_health_check_failed")
-        .when(in_copy & (copy == "unknown"), "copy_status_ambiguous")
-        .when(F.coalesce(copy_began, F.lit(False)), "initial_copy")
+        F.when(finished & healthy, fixed.STATE_RUNNING)
+        .when(finished, fixed.STATE_CHECK_FAILED)
+        .when(in_copy & (copy == fixed.UNKNOWN), fixed.STATE_AMBIGUOUS)
+        .when(F.coalesce(copy_began, F.lit(False)), fixed.STATE_INITIAL_COPY)
     )
     return observations.withColumns({"next_phase": next_phase, "next_state": next_state})
 
@@ -129,10 +129,12 @@ def switch_gate(requests: DataFrame) -> DataFrame:
     """
     forced = F.coalesce(F.lower("force").isin(fixed.FORCE_VALUES), F.lit(False))
     decision = (
-        F.when(~F.col("phase").eqNullSafe(F.lit("replicating")), "phase_not_allowed")
-        .when(F.col("readiness") == "blocked", "cutover_blocked")
-        .when((F.col("readiness") == "warning") & ~forced, "cutover_override_required")
-        .otherwise("allowed")
+        F.when(~F.col("phase").eqNullSafe(F.lit("replicating")), fixed.SWITCH_WRONG_PHASE)
+        .when(F.col("readiness") == fixed.BLOCKED, fixed.SWITCH_BLOCKED)
+        .when((F.col("readiness") == fixed.WARNING) & ~forced, fixed.SWITCH_NEEDS_OVERRIDE)
+        .otherwise(fixed.SWITCH_ALLOWED)
     )
-    status = F.when(F.col("decision") == "allowed", 200).otherwise(409).cast("bigint")
+    status = F.when(F.col("decision") == fixed.SWITCH_ALLOWED, fixed.HTTP_OK).otherwise(
+        fixed.HTTP_CONFLICT
+    ).cast("bigint")
     return requests.withColumn("decision", decision).withColumn("http_status", status)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relocate.functions.text import is_user_schema
+
 TABLE = ["db_id", "table_name"]
 
 FIXED_WIDTH = {
@@ -34,11 +36,6 @@ def tables_without_key(
     return tables.join(usable, TABLE, "left_anti").select("db_id", "schema_name", "table_name")
 
 
-def is_user_schema(schema: Column, replicator_schema: str | None = None) -> Column:
-    user = (schema != "information_schema") & ~schema.startswith("pg_")
-    return user & (schema != replicator_schema) if replicator_schema else user
-
-
 def generated_columns(columns: DataFrame, replicator_schema: str | None = None) -> DataFrame:
     """``db_id, table_name, columns`` of every table with generated columns.
 

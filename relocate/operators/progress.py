@@ -62,7 +62,7 @@ def tables_completed(sizes: DataFrame, completed: DataFrame, status: DataFrame)
         .select(
             "run_id",
             "total_tables",
-            F.when(F.col("copy_phase") == "finished", F.col("total_tables"))
+            F.when(F.col("copy_phase") == fixed.COPY_DONE, F.col("total_tables"))
             .otherwise(F.least(best, F.col("total_tables")))
             .cast("bigint")
             .alias("tables_completed"),
@@ -92,7 +92,7 @@ def byte_progress(sizes: DataFrame, completed: DataFrame, status: DataFrame) ->
     )
     total, finished, on_target = F.col("total_bytes"), F.col("_finished"), F.col("_on_target")
     by_size = (
-        F.coalesce(F.col("copy_phase") == "in-progress", F.lit(False))
+        F.coalesce(F.col("copy_phase") == fixed.COPY_RUNNING, F.lit(False))
         & (total > 0)
         & (on_target > finished)
     )
@@ -103,9 +103,9 @@ def byte_progress(sizes: DataFrame, completed: DataFrame, status: DataFrame) ->
     ratio = F.round(F.col("tables_completed") / F.col("total_tables") * total).cast("bigint")
     copied = F.when(by_ratio, ratio).otherwise(measured)
     mode = (
-        F.when(by_ratio, "table_ratio_estimate")
-        .when(by_size, "target_size_estimate")
-        .otherwise("completed_tables")
+        F.when(by_ratio, fixed.MODE_RATIO)
+        .when(by_size, fixed.MODE_SIZES)
+        .otherwise(fixed.MODE_TABLES)
     )
     return (
         per_run.join(tables_completed(sizes, completed, status), "run_id")
@@ -138,9 +138,9 @@ def add_copied_bytes(looks: Ordered) -> Ordered:
     Needs ``raw_copied_bytes, raw_mode, copy_phase``.
     """
     raw, seen = F.col("raw_copied_bytes"), F.coalesce(F.col("_seen"), F.lit(0))
-    held = F.coalesce(F.col("copy_phase") == "in-progress", F.lit(False)) & (raw < seen)
+    held = F.coalesce(F.col("copy_phase") == fixed.COPY_RUNNING, F.lit(False)) & (raw < seen)
     mode = F.col("raw_mode")
-    kept = F.when(held & (mode == "target_size_estimate"), "target_size_estimate_monotonic")
+    kept = F.when(held & (mode == fixed.MODE_SIZES), fixed.MODE_SIZES_HELD)
     high = running_max(looks, {"_seen": raw}, before=True).add(
         {
             "copied_bytes": F.when(held, seen).otherwise(raw),
@@ -215,10 +215,10 @@ def _trend(names: list[str]) -> Column:
             rises = rises | F.coalesce(point > earlier, F.lit(False))
             falls = falls | F.coalesce(point < earlier, F.lit(False))
     return (
-        F.when(points < 3, "unknown")
-        .when(rises & ~falls, "growing")
-        .when(falls & ~rises, "shrinking")
-        .otherwise("stable")
+        F.when(points < 3, fixed.TREND_UNKNOWN)
+        .when(rises & ~falls, fixed.TREND_GROWING)
+        .when(falls & ~rises, fixed.TREND_SHRINKING)
+        .otherwise(fixed.TREND_STABLE)
     )
 
 

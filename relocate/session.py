@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -48,9 +49,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="relocate-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_dir()
+
+
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="relocate-")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -144,7 +144,8 @@ def test_names(spark):
 
 
 def test_quoting(spark):
-    assert one(spark, tx.quote_ident, "id", "Id", 'a"b', "1st") == ["id", '"Id"', '"a""b"', '"1st"']
+    got = one(spark, tx.quote_ident, "id", "Id", 'a"b', "1st", "order", "orders", "a$")
+    assert got == ["id", '"Id"', '"a""b"', '"1st"', '"order"', "orders", '"a$"']
 
 
 def test_times(spark):
