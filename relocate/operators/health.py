@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 from relocate import fixed
 from relocate.functions.text import strip
 from relocate.operators.ordered import SPAN_ROWS
-from relocate.operators.progress import age_seconds, progress_signals
+from relocate.operators.parse import log_completed_tables, log_current_table
+from relocate.operators.progress import (
+    age_seconds,
+    byte_progress,
+    progress_signals,
+    tables_completed,
+)
 
 def _sure(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
@@ -116,6 +122,34 @@ def checklist() -> Column:
     )
 
 
+def observe(
+    status: DataFrame, sizes: DataFrame, completed: DataFrame, lines: DataFrame
+) -> DataFrame:
+    """One look at each run, ready to be appended to its history.
+
+    ``status``: one parsed status row per run; ``sizes``: ``run_id, table_name, source_bytes,
+    target_bytes``; ``completed``: tables remembered as done; ``lines``: the log. Tables the log
+    reports as done count too. Adds the columns the progress measures take in.
+    """
+    known = sizes.select("run_id", "table_name")
+    done = completed.select("run_id", "table_name").unionByName(
+        log_completed_tables(lines, known).select("run_id", "table_name")
+    )
+    told = status.select("run_id", "tables_in_sync", "copy_phase")
+    counted = tables_completed(sizes, done, told)
+    measured = byte_progress(sizes, done, told).select(
+        "run_id",
+        "total_bytes",
+        F.col("copied_bytes").alias("raw_copied_bytes"),
+        F.col("estimate_mode").alias("raw_mode"),
+    )
+    return (
+        status.join(counted, "run_id", "left")
+        .join(measured, "run_id", "left")
+        .join(log_current_table(lines, known), "run_id", "left")
+    )
+
+
 def status_record(observations: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
     """One nested status row per look, from parsed status joined with size measures.
 

@@ -59,8 +59,8 @@ def preflight_gate(
 ) -> DataFrame:
     """One verdict per database: start only if every table has a key.
 
-    Counts only. The names are the rows of :func:`tables_without_key` and
-    :func:`generated_columns`, which stay rows however many tables one database has.
+    Counts only. The names are the rows of :func:`preflight_findings`, which stay rows however
+    many tables one database has.
     """
     bad = tables_without_key(tables, indexes, public_only)
     n = F.count(F.lit(1))
@@ -90,6 +90,31 @@ def preflight_gate(
     )
 
 
+def preflight_findings(
+    tables: DataFrame, indexes: DataFrame, columns: DataFrame, public_only: bool = False
+) -> DataFrame:
+    """The names behind the verdict as rows: ``db_id, finding, table_name, columns``.
+
+    ``no_key`` blocks the start; ``generated_columns`` only informs.
+    """
+    shown = F.when(F.col("schema_name") == "public", F.col("table_name")).otherwise(
+        F.concat_ws(".", "schema_name", "table_name")
+    )
+    no_key = tables_without_key(tables, indexes, public_only).select(
+        "db_id",
+        F.lit("no_key").alias("finding"),
+        shown.alias("table_name"),
+        F.lit(None).cast("string").alias("columns"),
+    )
+    generated = generated_columns(columns).select(
+        "db_id",
+        F.lit("generated_columns").alias("finding"),
+        "table_name",
+        F.array_join("columns", ",").alias("columns"),
+    )
+    return no_key.unionByName(generated)
+
+
 def key_violations(tables: Mapping[str, tuple[DataFrame, list[list[str]]]]) -> DataFrame:
     """Does a declared key identify rows? Per key: rows, duplicate groups, rows in them, null keys."""
     parts = []

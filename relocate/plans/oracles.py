@@ -170,6 +170,73 @@ RATE = """
 
 LOOKS = "looks AS (SELECT * FROM {ticks})"
 
+GENERATED = """
+        WITH firsts AS (
+          SELECT db_id, replace(schema_name || '.' || table_name, 'public.', '') AS table_name,
+            column_name, min(pos) AS pos
+          FROM {cat_columns} WHERE is_generated GROUP BY ALL)
+        SELECT db_id, table_name, string_agg(column_name, ',' ORDER BY pos) AS columns
+        FROM firsts GROUP BY ALL"""
+
+CURRENT_TABLE = """
+        WITH named AS (
+          SELECT user_id AS run_id, 't' || (event_id % 13) AS table_name, min(event_id) AS place
+          FROM events WHERE event_type = 'click' GROUP BY ALL),
+        direct AS (
+          SELECT run_id, arg_max(table_name, place) AS t FROM named
+          WHERE (run_id, table_name) IN (SELECT (run_id, table_name) FROM {known_tables})
+          GROUP BY 1),
+        tail AS (
+          SELECT user_id AS run_id, 't' || (max(event_id) % 13) AS t FROM events
+          WHERE event_type = 'error' GROUP BY 1)
+        SELECT r.run_id, COALESCE(d.t, CASE WHEN (r.run_id, f.t) IN (
+            SELECT (run_id, table_name) FROM {known_tables}) THEN f.t END) AS current_table
+        FROM (SELECT DISTINCT user_id AS run_id FROM events) r
+        LEFT JOIN direct d USING (run_id) LEFT JOIN tail f USING (run_id)"""
+
+TABLES_DONE = """
+        SELECT s.run_id, s.n AS total_tables,
+          CASE WHEN copy_phase = 'finished' THEN s.n ELSE least(s.n, greatest(COALESCE(d.n, 0),
+            CASE WHEN tables_in_sync <= s.n THEN tables_in_sync ELSE 0 END)) END AS tables_completed
+        FROM (SELECT run_id, count(*) AS n FROM {table_sizes} GROUP BY 1) s
+        LEFT JOIN (SELECT run_id, count(DISTINCT table_name) AS n FROM DONE_TABLES GROUP BY 1) d
+          USING (run_id)
+        JOIN {run_status} USING (run_id)"""
+
+BYTES_DONE = """
+        WITH t AS (
+          SELECT s.run_id, sum(source_bytes) AS total, count(*) AS n,
+            count(r.table_name) AS done,
+            COALESCE(sum(source_bytes) FILTER (r.table_name IS NOT NULL), 0) AS finished,
+            COALESCE(sum(least(source_bytes, target_bytes)) FILTER (source_bytes > 0), 0) AS landed
+          FROM {table_sizes} s LEFT JOIN DONE_TABLES r
+            ON r.run_id = s.run_id AND r.table_name = s.table_name GROUP BY 1),
+        u AS (
+          SELECT t.*, copy_phase, CASE WHEN copy_phase = 'finished' THEN n
+            WHEN tables_in_sync <= n THEN greatest(done, tables_in_sync) ELSE done END AS complete
+          FROM t JOIN {run_status} USING (run_id)),
+        v AS (
+          SELECT *, CASE WHEN copy_phase = 'in-progress' AND landed > finished
+                         THEN 'target_size_estimate'
+                         WHEN finished = 0 AND complete > 0 AND total > 0
+                         THEN 'table_ratio_estimate' ELSE 'completed_tables' END AS estimate_mode
+          FROM u),
+        w AS (
+          SELECT *, CAST(CASE estimate_mode WHEN 'target_size_estimate' THEN landed
+              WHEN 'table_ratio_estimate' THEN round(CAST(complete AS DOUBLE) / n * total)
+              ELSE finished END AS BIGINT) AS copied_bytes FROM v)
+        SELECT run_id, copied_bytes, CAST(total AS BIGINT) AS total_bytes,
+          CASE WHEN total > 0 THEN round(CAST(copied_bytes AS DOUBLE) / total * 100, 1)
+               ELSE 0.0 END AS percent, estimate_mode
+        FROM w"""
+
+DONE_ANYWHERE = """
+    done AS (
+      SELECT run_id, table_name FROM {remembered}
+      UNION
+      SELECT user_id, 't' || (event_id % 13) FROM events WHERE event_type = 'purchase'
+        AND (user_id, 't' || (event_id % 13)) IN (SELECT (run_id, table_name) FROM {known_tables}))"""
+
 ORACLES = {
     "scan_source": """
         SELECT l_linestatus, count(*) AS rows,
@@ -267,13 +334,7 @@ ORACLES = {
                  AND k.table_name = c.table_name AND is_generated) AS generated
               FROM {cat_tables} c) t
         GROUP BY 1""",
-    "generated_columns": """
-        WITH firsts AS (
-          SELECT db_id, replace(schema_name || '.' || table_name, 'public.', '') AS table_name,
-            column_name, min(pos) AS pos
-          FROM {cat_columns} WHERE is_generated GROUP BY ALL)
-        SELECT db_id, table_name, string_agg(column_name, ',' ORDER BY pos) AS columns
-        FROM firsts GROUP BY ALL""",
+    "generated_columns": GENERATED,
     "relation_size": """
         WITH sizes AS (
           SELECT 'customer' AS table_name, count(*) AS rows,
@@ -331,21 +392,7 @@ ORACLES = {
         FROM events e WHERE event_type = 'purchase' AND (user_id, table_name) IN (
           SELECT (run_id, table_name) FROM {known_tables})
         GROUP BY ALL""",
-    "log_current_table": """
-        WITH named AS (
-          SELECT user_id AS run_id, 't' || (event_id % 13) AS table_name, min(event_id) AS place
-          FROM events WHERE event_type = 'click' GROUP BY ALL),
-        direct AS (
-          SELECT run_id, arg_max(table_name, place) AS t FROM named
-          WHERE (run_id, table_name) IN (SELECT (run_id, table_name) FROM {known_tables})
-          GROUP BY 1),
-        tail AS (
-          SELECT user_id AS run_id, 't' || (max(event_id) % 13) AS t FROM events
-          WHERE event_type = 'error' GROUP BY 1)
-        SELECT r.run_id, COALESCE(d.t, CASE WHEN (r.run_id, f.t) IN (
-            SELECT (run_id, table_name) FROM {known_tables}) THEN f.t END) AS current_table
-        FROM (SELECT DISTINCT user_id AS run_id FROM events) r
-        LEFT JOIN direct d USING (run_id) LEFT JOIN tail f USING (run_id)""",
+    "log_current_table": CURRENT_TABLE,
     "log_current_table_fallback": """
         WITH tail AS (
           SELECT user_id AS run_id, max(event_id) FILTER (event_type = 'error') AS last
@@ -361,40 +408,8 @@ ORACLES = {
     "log_tail": """
         SELECT run_id, line_no, line FROM {log_lines}
         QUALIFY rank() OVER (PARTITION BY run_id ORDER BY line_no DESC) <= 20""",
-    "tables_completed": """
-        SELECT s.run_id, s.n AS total_tables,
-          CASE WHEN copy_phase = 'finished' THEN s.n ELSE least(s.n, greatest(COALESCE(d.n, 0),
-            CASE WHEN tables_in_sync <= s.n THEN tables_in_sync ELSE 0 END)) END AS tables_completed
-        FROM (SELECT run_id, count(*) AS n FROM {table_sizes} GROUP BY 1) s
-        LEFT JOIN (SELECT run_id, count(DISTINCT table_name) AS n FROM {remembered} GROUP BY 1) d
-          USING (run_id)
-        JOIN {run_status} USING (run_id)""",
-    "byte_progress": """
-        WITH t AS (
-          SELECT s.run_id, sum(source_bytes) AS total, count(*) AS n,
-            count(r.table_name) AS done,
-            COALESCE(sum(source_bytes) FILTER (r.table_name IS NOT NULL), 0) AS finished,
-            COALESCE(sum(least(source_bytes, target_bytes)) FILTER (source_bytes > 0), 0) AS landed
-          FROM {table_sizes} s LEFT JOIN {remembered} r
-            ON r.run_id = s.run_id AND r.table_name = s.table_name GROUP BY 1),
-        u AS (
-          SELECT t.*, copy_phase, CASE WHEN copy_phase = 'finished' THEN n
-            WHEN tables_in_sync <= n THEN greatest(done, tables_in_sync) ELSE done END AS complete
-          FROM t JOIN {run_status} USING (run_id)),
-        v AS (
-          SELECT *, CASE WHEN copy_phase = 'in-progress' AND landed > finished
-                         THEN 'target_size_estimate'
-                         WHEN finished = 0 AND complete > 0 AND total > 0
-                         THEN 'table_ratio_estimate' ELSE 'completed_tables' END AS estimate_mode
-          FROM u),
-        w AS (
-          SELECT *, CAST(CASE estimate_mode WHEN 'target_size_estimate' THEN landed
-              WHEN 'table_ratio_estimate' THEN round(CAST(complete AS DOUBLE) / n * total)
-              ELSE finished END AS BIGINT) AS copied_bytes FROM v)
-        SELECT run_id, copied_bytes, CAST(total AS BIGINT) AS total_bytes,
-          CASE WHEN total > 0 THEN round(CAST(copied_bytes AS DOUBLE) / total * 100, 1)
-               ELSE 0.0 END AS percent, estimate_mode
-        FROM w""",
+    "tables_completed": TABLES_DONE.replace("DONE_TABLES", "{remembered}"),
+    "byte_progress": BYTES_DONE.replace("DONE_TABLES", "{remembered}"),
     "monotonic_progress": f"""
         WITH {LOOKS}, {COPIED}
         SELECT run_id, tick, copied_bytes, estimate_mode, percent FROM copied""",
@@ -438,6 +453,22 @@ ORACLES = {
             AS hard_blockers,
           CASE WHEN replication_ok THEN '' ELSE 'replication_not_healthy' END AS soft_blockers
         FROM ready""",
+    "preflight_findings": f"""
+        WITH named AS ({GENERATED})
+        SELECT db_id, 'generated_columns' AS finding, table_name, columns FROM named
+        UNION ALL
+        SELECT db_id, 'no_key', table_name, NULL FROM {{cat_tables}} t
+        WHERE schema_name = 'public' AND NOT EXISTS (SELECT 1 FROM {{cat_indexes}} i
+          WHERE i.db_id = t.db_id AND i.table_name = t.table_name AND (is_primary OR is_unique))""",
+    "observation": f"""
+        WITH {DONE_ANYWHERE},
+        counted AS ({TABLES_DONE.replace("DONE_TABLES", "done")}),
+        bytes AS ({BYTES_DONE.replace("DONE_TABLES", "done")}),
+        current AS ({CURRENT_TABLE})
+        SELECT r.run_id, r.tables_in_sync, r.copy_phase, total_tables, tables_completed, total_bytes,
+          copied_bytes AS raw_copied_bytes, estimate_mode AS raw_mode, current_table
+        FROM {{run_status}} r LEFT JOIN counted USING (run_id) LEFT JOIN bytes USING (run_id)
+          LEFT JOIN current USING (run_id)""",
     "status_record": f"""
         WITH looks AS (SELECT * REPLACE (
             CAST(floor(last_good_us / 1000000.0) AS BIGINT) * 1000000 AS last_good_us)

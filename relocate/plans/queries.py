@@ -193,6 +193,16 @@ def preflight_gate(spark, sf):
     )
 
 
+@query
+def preflight_findings(spark, sf):
+    return preflight.preflight_findings(
+        view(spark, sf, "cat_tables"),
+        view(spark, sf, "cat_indexes"),
+        view(spark, sf, "cat_columns"),
+        public_only=True,
+    )
+
+
 @query
 def generated_columns(spark, sf):
     return preflight.generated_columns(view(spark, sf, "cat_columns")).withColumn(
@@ -407,6 +417,17 @@ def cutover_readiness(spark, sf):
     )
 
 
+@query
+def observation(spark, sf):
+    """Status, sizes, remembered tables and log of each run joined into one look."""
+    return health.observe(
+        view(spark, sf, "run_status"),
+        view(spark, sf, "table_sizes"),
+        view(spark, sf, "remembered"),
+        view(spark, sf, "log_lines"),
+    )
+
+
 @query
 def status_record(spark, sf):
     """From printed status text to the nested record, flattened for comparison."""

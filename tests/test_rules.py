@@ -122,6 +122,28 @@ def test_earlier_error_stays_when_a_later_line_is_empty(spark):
     assert row.last_error == "boom"
 
 
+@pytest.mark.parametrize(
+    "text,state",
+    [
+        ("Current state : Good\nCurrent state :  \n", ""),
+        ("Current state : Good\nCurrent state :\n", "Good"),
+        ("Current state : Good\nCurrent state unclear", "Good"),
+        ("Current state : Good\n  Current state : Bad", "Good"),
+        ("the Current state : Good", None),
+        ("Current state\t:\tGood\r\nx", "Good"),
+    ],
+)
+def test_last_fitting_line_counts(spark, text, state):
+    row = parsed(spark, text).first()
+    assert row.state_raw == state
+
+
+def test_rows_line_that_does_not_fit_is_passed_over(spark):
+    text = "Rows deleted/inserted : 1 / 2\nRows deleted/inserted : - / -\n"
+    row = parsed(spark, text).first()
+    assert (row.rows_deleted, row.rows_inserted) == (1, 2)
+
+
 def test_states(spark):
     got = one(
         spark, tx.normalize_state,
