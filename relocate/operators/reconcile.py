@@ -112,6 +112,7 @@ def reconcile_unequal_buckets(
 ) -> DataFrame:
     """The row diff, looked for only in buckets whose fingerprints differ.
 
+    Worth it when little differs; when most buckets do, :func:`reconcile_diff` alone is faster.
     The bucket list has at most ``buckets`` rows, so it is broadcast and neither table is
     shuffled before its equal buckets are gone.
     """

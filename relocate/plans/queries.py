@@ -525,6 +525,12 @@ def reconcile_diff(spark, sf):
     return reconcile.reconcile_unequal_buckets(*_orders(spark, sf), ["o_orderkey"], 1024)
 
 
+@query
+def reconcile_rows(spark, sf):
+    """The same diff without fingerprints first: one pass, better when much differs."""
+    return reconcile.reconcile_diff(*_orders(spark, sf), ["o_orderkey"])
+
+
 @query
 def reconcile_after_apply(spark, sf):
     """Source and target differ only where the change log has not touched the row yet."""
