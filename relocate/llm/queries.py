@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relocate.llm import exact_dedup, simhash
-from relocate.llm.common import documents
+from relocate.llm import exact_dedup, piece_codec, simhash, token_counts
+from relocate.llm.common import documents, whole
 from relocate.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,25 @@ def op5_simhash_near_dedup(spark, sf):
     )
 
 
+@query
+def op7_token_counts(spark, sf):
+    """Tokens of every document."""
+    return token_counts.token_counts(documents(spark, sf, "doc_id", "text"))
+
+
+@query
+def op8_piece_codec(spark, sf):
+    """Every document encoded with merge-dropout and decoded again: digests of both."""
+    rows = piece_codec.decode(piece_codec.encode(documents(spark, sf, "doc_id", "text")))
+    return piece_codec.digests(rows).select(
+        "doc_id",
+        "n_tokens",
+        "ids_sha256",
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        (F.col("decoded") == whole("text")).alias("lossless"),
+    )
+
+
 @query
 def op9_exact_dedup(spark, sf):
     """The group of equal texts of every document. Texts that no step had to read are hashed here."""
