@@ -112,6 +112,7 @@ def encode(
     model = _model(path)
     docs = fresh_names(docs, [IDS])
     at, id_at = docs.columns.index(text), docs.columns.index(key)
+    names = [*docs.columns, IDS]
     salt = xxhash.xxh64_intdigest(f"{seed}/{epoch}".encode(), 42)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +121,7 @@ def encode(
             texts = [x.decode() for x in text_bytes(b.column(at))]
             keys = [((i or 0) * 0x94D049BB133111EB ^ salt) % 2**64 for i in b.column(id_at).to_pylist()]
             ids = _lists(encoder.encode_all(texts, keys))
-            yield pa.RecordBatch.from_arrays([*b.columns, ids], names=[*docs.columns, IDS])
+            yield pa.RecordBatch.from_arrays([*b.columns, ids], names=names)
 
     return in_batches(docs, work, _with(docs, IDS, T.ArrayType(T.IntegerType())))
 
@@ -132,6 +133,7 @@ def decode(
     model = _model(path)
     rows = fresh_names(rows, [name])
     at = rows.columns.index(ids)
+    names = [*rows.columns, name]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = merger(model).model
@@ -142,7 +144,7 @@ def decode(
                 whole = b"".join(map(m.bytes_of.__getitem__, values))
                 texts.append(whole[1:] if m.dummy_prefix and len(values) else whole)
             decoded = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns, decoded], names=[*rows.columns, name])
+            yield pa.RecordBatch.from_arrays([*b.columns, decoded], names=names)
 
     return in_batches(rows, work, _with(rows, name, T.StringType()))
 
