@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch: bounds what a Python worker holds when texts are long.
-BATCH_ROWS = 256
+#: Size of one Arrow batch: bounds what a Python worker holds when texts are long.
+BATCH_BYTES = "4m"
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -54,7 +54,7 @@ def in_batches(
     schema: str,
 ) -> DataFrame:
     """``mapInArrow`` with small batches, so that long texts do not pile up in a worker."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df.mapInArrow(work, schema)
 
 

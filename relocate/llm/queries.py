@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relocate.llm import exact_dedup, piece_codec, simhash, token_counts
+from relocate.llm import exact_dedup, piece_codec, simhash, suffix_dedup, token_counts
 from relocate.llm.common import documents, whole
 from relocate.session import configure
 
@@ -23,6 +23,15 @@ def query(work: Query) -> Query:
     return run
 
 
+@query
+def op4_suffix_dedup(spark, sf):
+    """What is left of every document without passages that occur elsewhere."""
+    found = suffix_dedup.remove_repeats(documents(spark, sf, "doc_id", "text"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op5_simhash_near_dedup(spark, sf):
     """Fingerprint and component of every document."""
