@@ -12,3 +12,81 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, CAST(count(*) OVER w AS BIGINT) AS
        doc_id = max(doc_id) OVER w AS kept, sha256(x) AS text_sha256
 FROM t WINDOW w AS (PARTITION BY x)
 """
+
+ORACLES["op2_source_mix"] = r"""
+WITH counted AS (
+  SELECT doc_id, coalesce(lang, '') AS language, coalesce(source, '') AS leaf,
+         regexp_extract(coalesce(source, ''), '([0-9]{1,9})$', 1) AS number,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens
+  FROM documents),
+t AS (
+  SELECT doc_id, language, leaf, n_tokens,
+         CASE WHEN number = '' THEN 'other' WHEN CAST(number AS INT) % 3 = 0 THEN 'web'
+              WHEN CAST(number AS INT) % 3 = 1 THEN 'books' ELSE 'forums' END AS domain
+  FROM counted WHERE n_tokens > 0),
+leaves AS (
+  SELECT domain, language, leaf, CAST(sum(n_tokens) AS BIGINT) AS tokens, CAST(sum(n_tokens) * 2 AS BIGINT) AS cap,
+         CASE leaf WHEN 'src0' THEN 4 ELSE 1 END AS w FROM t GROUP BY ALL),
+languages AS (
+  SELECT domain, language, CAST(sum(cap) AS BIGINT) AS cap,
+         CASE language WHEN 'en' THEN 6 WHEN 'de' THEN 2 ELSE 1 END AS w FROM leaves GROUP BY ALL),
+domains AS (
+  SELECT domain, CAST(sum(cap) AS BIGINT) AS cap,
+         CASE domain WHEN 'web' THEN 5 WHEN 'books' THEN 3 WHEN 'forums' THEN 2 ELSE 1 END AS w,
+         (SELECT CAST(sum(tokens) AS BIGINT) * 60 // 100 FROM leaves) AS b
+  FROM languages GROUP BY domain),
+d1 AS (SELECT *, sum(cap) OVER o AS cc, sum(w) OVER o AS cw, sum(w) OVER () AS tw FROM domains WINDOW o AS (ORDER BY cap / w)),
+d2 AS (SELECT *, cc * w + cap * (tw - cw) <= b * w AS f FROM d1),
+d3 AS (SELECT *, coalesce(sum(cap) FILTER (f) OVER (), 0) AS fc, coalesce(sum(w) FILTER (f) OVER (), 0) AS fw FROM d2),
+d4 AS (SELECT domain, CASE WHEN f THEN cap ELSE (b - fc) * w // (tw - fw) END AS b FROM d3),
+l1 AS (SELECT l.*, d4.b, sum(cap) OVER o AS cc, sum(w) OVER o AS cw, sum(w) OVER (PARTITION BY l.domain) AS tw
+       FROM languages l JOIN d4 USING (domain) WINDOW o AS (PARTITION BY l.domain ORDER BY cap / w)),
+l2 AS (SELECT *, cc * w + cap * (tw - cw) <= b * w AS f FROM l1),
+l3 AS (SELECT *, coalesce(sum(cap) FILTER (f) OVER (PARTITION BY domain), 0) AS fc,
+              coalesce(sum(w) FILTER (f) OVER (PARTITION BY domain), 0) AS fw FROM l2),
+l4 AS (SELECT domain, language, CASE WHEN f THEN cap ELSE (b - fc) * w // (tw - fw) END AS b FROM l3),
+s1 AS (SELECT s.*, l4.b, sum(cap) OVER o AS cc, sum(w) OVER o AS cw,
+              sum(w) OVER (PARTITION BY s.domain, s.language) AS tw
+       FROM leaves s JOIN l4 USING (domain, language) WINDOW o AS (PARTITION BY s.domain, s.language ORDER BY cap / w)),
+s2 AS (SELECT *, cc * w + cap * (tw - cw) <= b * w AS f FROM s1),
+s3 AS (SELECT *, coalesce(sum(cap) FILTER (f) OVER (PARTITION BY domain, language), 0) AS fc,
+              coalesce(sum(w) FILTER (f) OVER (PARTITION BY domain, language), 0) AS fw FROM s2),
+s4 AS (SELECT domain, language, leaf, tokens,
+              CAST(CASE WHEN f THEN cap ELSE (b - fc) * w // (tw - fw) END AS BIGINT) AS given FROM s3),
+p AS (
+  SELECT t.*, given AS leaf_target, given // tokens AS whole, given % tokens AS rest,
+         sum(n_tokens) OVER (PARTITION BY domain, language, leaf
+           ORDER BY md5(concat('42:', CAST(given // tokens AS VARCHAR), ':', CAST(doc_id AS VARCHAR))), doc_id, n_tokens
+           ROWS UNBOUNDED PRECEDING) AS upto
+  FROM t JOIN s4 USING (domain, language, leaf))
+SELECT doc_id, domain, language, leaf, n_tokens, leaf_target,
+       CAST(unnest(range(CAST(whole AS BIGINT) + CASE WHEN upto <= rest THEN 1 ELSE 0 END)) AS INTEGER) AS epoch
+FROM p
+"""
+
+ORACLES["op6_quality_rules"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS x, coalesce(source, '') AS host,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         [l for l in string_split(coalesce(text, ''), chr(10)) if regexp_matches(l, '[^\x20\x09-\x0D]')] AS lines
+  FROM documents),
+w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i, len(words) AS n FROM t),
+g AS (SELECT doc_id, i, n, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS gram FROM w),
+d AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS found FROM g WHERE i <= n - 4),
+c AS (SELECT doc_id, count(DISTINCT i + k) AS covered FROM d, range(5) r(k) WHERE found > 1 GROUP BY doc_id),
+m AS (
+  SELECT t.doc_id, host, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(x, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(covered, 0) AS BIGINT) AS n_repeat_words
+  FROM t LEFT JOIN c USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
+h AS (SELECT host, count(*) AS n, sum(CASE WHEN base_failed THEN 1 ELSE 0 END) AS fails FROM b GROUP BY host),
+a AS (SELECT avg(fails / n) AS mean, var_pop(fails / n) AS var FROM h),
+k AS (SELECT mean, CASE WHEN var > 0 THEN least(greatest(mean * (1 - mean) / var - 1, 1.0), 1000.0) ELSE 1000.0 END AS weight FROM a),
+r AS (SELECT host, (fails + mean * weight) / (n + weight) AS rate FROM h, k)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rate <= 0.5 AS kept
+FROM b JOIN r USING (host)
+"""

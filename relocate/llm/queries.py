@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relocate.llm import exact_dedup, piece_codec, simhash, suffix_dedup, token_counts
+from relocate.llm import (
+    exact_dedup,
+    mixing,
+    piece_codec,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_counts,
+)
 from relocate.llm.common import documents, whole
 from relocate.session import configure
 
@@ -23,6 +31,21 @@ def query(work: Query) -> Query:
     return run
 
 
+@query
+def op2_source_mix(spark, sf):
+    """Documents of the mix, once per epoch."""
+    found = mixing.mix_documents(documents(spark, sf, "doc_id", "text", "lang", "source"))
+    return found.select(
+        "doc_id",
+        "domain",
+        whole("lang").alias("language"),
+        whole("source").alias("leaf"),
+        "n_tokens",
+        "leaf_target",
+        "epoch",
+    )
+
+
 @query
 def op4_suffix_dedup(spark, sf):
     """What is left of every document without passages that occur elsewhere."""
@@ -41,6 +64,13 @@ def op5_simhash_near_dedup(spark, sf):
     )
 
 
+@query
+def op6_quality_rules(spark, sf):
+    """Numbers and verdict of every document."""
+    found = quality_rules.judge(documents(spark, sf, "doc_id", "text", "source"))
+    return found.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
+
+
 @query
 def op7_token_counts(spark, sf):
     """Tokens of every document."""
