@@ -19,9 +19,14 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A whole table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The whole ``documents`` table, or some of its columns."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     return docs.select(*columns) if columns else docs
 
 

@@ -15,8 +15,9 @@ from relocate.llm import (
     simhash,
     suffix_dedup,
     token_counts,
+    toxicity,
 )
-from relocate.llm.common import documents, whole
+from relocate.llm.common import documents, table, whole
 from relocate.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,12 @@ def op2_source_mix(spark, sf):
     )
 
 
+@query
+def op3_toxicity(spark, sf):
+    """Score of every document; the held-out fold never meets training."""
+    return toxicity.toxicity(documents(spark, sf, "doc_id", "text"), table(spark, sf, "labels"))
+
+
 @query
 def op4_suffix_dedup(spark, sf):
     """What is left of every document without passages that occur elsewhere."""
