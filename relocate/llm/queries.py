@@ -11,13 +11,14 @@ from relocate.llm import (
     exact_dedup,
     mixing,
     piece_codec,
+    quality_classifier,
     quality_rules,
     simhash,
     suffix_dedup,
     token_counts,
     toxicity,
 )
-from relocate.llm.common import documents, table, whole
+from relocate.llm.common import documents, sample_class, table, whole
 from relocate.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,3 +106,13 @@ def op9_exact_dedup(spark, sf):
     return found.select(
         "doc_id", "keep_id", "group_size", "kept", F.coalesce("full_hash", digest).alias("text_sha256")
     )
+
+
+@query
+def op10_quality_classifier(spark, sf):
+    """Score and verdict of every document from both views."""
+    found = quality_classifier.score_quality(
+        documents(spark, sf), table(spark, sf, "labels"), table(spark, sf, "pages")
+    )
+    held_out = sample_class(F.col("doc_id")) == 1
+    return found.select("doc_id", held_out.alias("held_out"), "score", "text_score", "meta_score", "kept")
