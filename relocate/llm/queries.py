@@ -13,6 +13,7 @@ from relocate.llm import (
     piece_codec,
     quality_classifier,
     quality_rules,
+    secrets,
     simhash,
     suffix_dedup,
     token_counts,
@@ -33,6 +34,21 @@ def query(work: Query) -> Query:
     return run
 
 
+@query
+def op1_secret_scan(spark, sf):
+    """Every candidate of every document and whether it is a secret; the text only as a hash."""
+    found = secrets.scan(documents(spark, sf, "doc_id", "text", "source"))
+    return found.select(
+        "doc_id",
+        "position",
+        F.sha2(F.col("finding").cast("binary"), 256).alias("finding_sha256"),
+        F.length("finding").alias("n_chars"),
+        (sample_class(F.col("doc_id")) == 1).alias("held_out"),
+        "score",
+        "secret",
+    )
+
+
 @query
 def op2_source_mix(spark, sf):
     """Documents of the mix, once per epoch."""
