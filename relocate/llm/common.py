@@ -91,3 +91,14 @@ def fresh_names(df: DataFrame, names: list[str]) -> DataFrame:
     """Drop columns that an operator is about to add under the same name, in any case."""
     taken = {n.lower() for n in names}
     return df.drop(*[c for c in df.columns if c.lower() in taken])
+
+
+def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Rename input columns that an operator would replace, and how to get the input's columns back."""
+    columns, taken = df.columns, {n.lower() for n in names}
+    held = {c: f"_own_{c}" for c in columns if c.lower() in taken}
+
+    def back(found: DataFrame) -> DataFrame:
+        return found.select(*[F.col(f"`{held.get(c, c)}`").alias(c) for c in columns])
+
+    return df.withColumnsRenamed(held), back

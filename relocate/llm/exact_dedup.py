@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relocate.llm.common import fresh_names, lower_ascii, whole
+from relocate.llm.common import fresh_names, lower_ascii, set_aside, whole
 
 #: Characters of a text that the second step hashes.
 PREFIX_CHARS = 64
@@ -101,10 +101,11 @@ def exact_groups(
 
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group of equal texts: the one with the largest id.
+    """One row of each group of equal texts: the one with the largest id. All columns stay.
 
     Rows that repeat both id and text leave one row too.
     """
+    docs, own = set_aside(docs, ADDED)
     alone, shared = split_groups(docs, key, text)
     one = shared.filter("kept").dropDuplicates(["full_hash"])
-    return alone.select(*docs.columns).unionByName(one.select(*docs.columns))
+    return own(alone).unionByName(own(one))

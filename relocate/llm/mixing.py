@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from relocate.llm.common import fresh_names, whole, words
+from relocate.llm.common import fresh_names, set_aside, whole, words
 from relocate.session import settle
 
 TREE = ["domain", "language", "leaf"]
@@ -203,3 +203,9 @@ def mix_documents(
         F.col("_tokens").alias("n_tokens"),
         F.col("_given").alias("leaf_target"),
     )
+
+
+def take_mix(docs: DataFrame, mix: Mix = Mix(), **columns: str) -> DataFrame:
+    """The rows of the mix with the input's columns, whatever their names."""
+    docs, own = set_aside(docs, ADDED)
+    return own(mix_documents(docs, mix, **columns))

@@ -58,9 +58,11 @@ class Encoder:
             raise ValueError("decoding is lossless only with all byte pieces")
         self.merger, self.seed, self.variants, self.known = m, seed, variants, {}
 
-    def learn(self, new: list[tuple[str, int]]) -> None:
+    def learn(self, needed: set[tuple[str, int]]) -> None:
+        new = list(needed.difference(self.known))
         if len(self.known) + len(new) > KEPT_TOKENS:
             self.known.clear()
+            new = list(needed)
         for i in range(0, len(new), STEP_TOKENS):
             step = new[i : i + STEP_TOKENS]
             self.known.update(zip(step, _ids(step, self.merger, self.seed), strict=True))
@@ -72,10 +74,7 @@ class Encoder:
             tokens = model.splitter.findall((" " if model.dummy_prefix else "") + text) if text else []
             draw = mixed(np.uint64(key) + np.arange(len(tokens), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             cut.append(list(zip(tokens, (draw % np.uint64(self.variants)).tolist(), strict=True)))
-        needed = set().union(*cut)
-        self.learn(list(needed.difference(self.known)))
-        if not needed <= self.known.keys():  # it forgot some to make room
-            self.learn(list(needed.difference(self.known)))
+        self.learn(set().union(*cut))
         return [b"".join(map(self.known.__getitem__, tokens)) for tokens in cut]
 
 

@@ -67,9 +67,11 @@ class Counter:
     def __init__(self, m: Merger):
         self.merger, self.known = m, {}
 
-    def learn(self, new: list[str]) -> None:
+    def learn(self, needed: set[str]) -> None:
+        new = list(needed.difference(self.known))
         if len(self.known) + len(new) > KEPT_TOKENS:
             self.known.clear()
+            new = list(needed)
         for i in range(0, len(new), STEP_TOKENS):
             step = new[i : i + STEP_TOKENS]
             self.known.update(zip(step, surviving(step, self.merger).tolist(), strict=True))
@@ -79,10 +81,7 @@ class Counter:
 
     def count_all(self, texts: list[str]) -> list[int]:
         cut = [pre_tokens(t, self.merger.model) for t in texts]
-        needed = set().union(*cut)
-        self.learn(list(needed.difference(self.known)))
-        if not needed <= self.known.keys():  # it forgot some to make room
-            self.learn(list(needed.difference(self.known)))
+        self.learn(set().union(*cut))
         return [sum(map(self.known.__getitem__, tokens)) for tokens in cut]
 
 

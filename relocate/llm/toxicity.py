@@ -140,17 +140,16 @@ class Scorer:
     def __init__(self, model: ToxicModel):
         self.model, self.table, self.known = model, model.table(), {}
 
-    def learn(self, new: list[str]) -> None:
+    def learn(self, needed: set[str]) -> None:
+        new = list(needed.difference(self.known))
         if len(self.known) + len(new) > KEPT_WORDS:
             self.known.clear()
+            new = list(needed)
         self.known.update(zip(new, word_values([folded(t) for t in new], self.table).tolist(), strict=True))
 
     def worst(self, texts: list[str]) -> np.ndarray:
         cut = [tokens(t) for t in texts]
-        needed = set().union(*cut)
-        self.learn([t for t in needed if t not in self.known])
-        if not needed <= self.known.keys():  # it forgot some to make room
-            self.learn([t for t in needed if t not in self.known])
+        self.learn(set().union(*cut))
         return np.array([max(map(self.known.__getitem__, t), default=0.0) for t in cut])
 
     def score(self, texts: list[str]) -> np.ndarray:

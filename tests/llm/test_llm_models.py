@@ -1,0 +1,324 @@
+"""Trained operators and rules: held-out accuracy, odd documents, SQL counterparts."""
+
+import random
+
+import numpy as np
+import pytest
+from compare import connect, differences
+from corpus import PASSAGE, ROWS, SF_DIR, odd_documents, own_columns
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from relocate.llm import mixing, quality_classifier, quality_rules, secrets, toxicity
+from relocate.llm.common import documents, sample_class, table
+from relocate.llm.oracles import ORACLES
+from relocate.llm.queries import QUERIES
+from relocate.plans.queries import QUERIES as OTHERS
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query(spark, name):
+    df = QUERIES[name](spark, SF_DIR)
+    assert differences(df, connect(SF_DIR), ORACLES[name]) == []
+
+
+def test_registered():
+    numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
+    assert numbers == list(range(1, 11)) and not QUERIES.keys() & OTHERS.keys()
+
+
+def test_native_queries_run_no_python(spark):
+    for name in ("op1_secret_scan", "op6_quality_rules"):
+        plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        assert not any(w in plan for w in ("Python", "Arrow", "Pandas")), name
+
+
+# --- secrets -----------------------------------------------------------------------
+
+
+def findings(spark, n=300):
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choices(["the", "er", "on", "ti", "and"], k=3))
+    code = lambda k, a="0123456789abcdef": "".join(draw.choices(a, k=k))
+    rows = []
+    for i in range(n):
+        made = [
+            f"password={code(18)}", f'token = "{code(40)}"', "AKIA" + code(15, "ABCDEFGHIJ") + "7",
+            f"{word()}.7@mail3.example.com", code(16, "0123456789"), f"{word()}-{word()}-{i}-{word()}",
+        ]
+        rows.append((i, f"{word()} {word()} {made[i % 6]} {word()}, {word()}.", "src/a"))
+    return spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+def test_held_out_findings(spark):
+    found = secrets.scan(findings(spark)).withColumn("label", secrets.format_label() == 1)
+    rows = found.filter(sample_class(F.col("doc_id")) == 1).select("secret", "label").collect()
+    assert len(rows) > 60
+    assert sum(r.secret == r.label for r in rows) >= 0.97 * len(rows)
+    assert 0.3 < np.mean([r.secret for r in rows]) < 0.7
+
+
+def test_labels_from_a_reviewer(spark):
+    docs = findings(spark)
+    labelled = docs.select("doc_id", F.lit(3).alias("position"), (F.col("doc_id") % 6 == 4).cast("int").alias("label"))
+    shifted = labelled.withColumn("position", F.when(F.col("doc_id") % 6 == 1, 4).otherwise(2))
+    rows = secrets.scan(docs, shifted).select("doc_id", "secret").collect()
+    assert np.mean([r.secret == (r.doc_id % 6 == 4) for r in rows]) > 0.97
+
+
+def test_secrets_of_odd_documents(spark):
+    odd = [*ROWS, (20, "token = 'a1b2c3d4e5f6a7b8c9d0'", "en", None, 1), (20, "token = 'a1b2c3d4e5f6a7b8c9d0'", "en", None, 1)]
+    rows = secrets.scan(odd_documents(spark, odd)).collect()
+    assert [(r.doc_id, r.position, r.finding, r.secret) for r in rows] == [(20, 2, "'a1b2c3d4e5f6a7b8c9d0'", True)]
+    assert secrets.scan(odd_documents(spark, [])).count() == 0
+
+
+# --- toxicity ----------------------------------------------------------------------
+
+
+def sentences(n, seed):
+    draw = random.Random(seed)
+    parts = ["th", "er", "on", "an", "ti", "ha", "re", "ing", "ble", "ou"]
+    word = lambda: "".join(draw.choices(parts, k=draw.randint(1, 4)))
+    bad = ["scoundrel", "numbskull", "blockhead", "dimwit", "nitwit"]
+    texts, labels = [], []
+    for i in range(n):
+        words = [[word() for _ in range(draw.randint(3, 12))] for _ in range(draw.randint(1, 8))]
+        if i % 3 == 0:
+            draw.choice(words)[1] = draw.choice(bad)
+        texts.append(" ".join(" ".join(s) + "." for s in words))
+        labels.append(int(i % 3 == 0))
+    return texts, np.array(labels)
+
+
+def test_toxic_held_out_and_disguised():
+    texts, labels = sentences(600, 1)
+    scorer = toxicity.Scorer(toxicity.fit(texts, labels.tolist()))
+    others, truth = sentences(600, 2)
+    score = scorer.score(others)
+    assert ((score >= 0.7) == (truth == 1)).mean() > 0.98
+    assert (score >= 0).all() and (score <= 1).all()
+    plain, odd = scorer.score(["on numbskull er."] * 1 + ["the andti er on."]), ["n-u-m-b-s-k-u-l-l", "n u m b s k u l l", "NUMBSKULLLL", "numbsxkull", "d1mw1t", "block_head"]
+    assert plain[0] > 0.7 > plain[1]
+    assert (scorer.score([f"on the {w} er." for w in odd]) > plain[1] + 0.5).all()
+    assert scorer.score([""])[0] < 0.3
+
+
+def test_the_table_is_the_sum_over_landmarks():
+    words, landmarks = ["blockhead", "blockheads", "the", "a", "nnn"], ["blockhead", "ther", "dimwit"]
+    kernel = toxicity._kernel(words, landmarks)
+    for i, w in enumerate(words):
+        for j, other in enumerate(landmarks):
+            assert kernel[i, j] == pytest.approx(plain_kernel(w, other), abs=1e-5)
+
+
+def plain_kernel(a, b):
+    def features(word):
+        word, out = f"^{word}$", {}
+        n = len(word)
+        for i in range(n):
+            for j in range(i + 1, n):
+                for k in range(j + 1, min(n, i + toxicity.SPAN)):
+                    key = word[i] + word[j] + word[k]
+                    out[key] = out.get(key, 0) + toxicity.DECAY ** (k - i - 2)
+        length = sum(toxicity.DECAY ** (2 * (k - i - 2)) for i in range(n) for j in range(i + 1, n) for k in range(j + 1, min(n, i + toxicity.SPAN)))
+        return out, max(length, 1e-12) ** 0.5
+
+    (f, n), (g, m) = features(a), features(b)
+    return sum(v * g.get(key, 0) for key, v in f.items()) / n / m
+
+
+def test_toxicity_of_odd_documents(spark):
+    labels = spark.createDataFrame([(3, 0), (5, 1), (5, 1), (None, 1), (8, None), (99, 1)], "doc_id long, toxic int")
+    for known in (labels, labels.limit(0)):
+        rows = toxicity.toxicity(odd_documents(spark), known).collect()
+        assert len(rows) == len(ROWS)
+        assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
+    assert toxicity.toxicity(odd_documents(spark, []), labels).count() == 0
+
+
+def test_held_out_labels_are_not_read(spark):
+    docs, labels = documents(spark, SF_DIR, "doc_id", "text"), table(spark, SF_DIR, "labels")
+    spoilt = labels.withColumn("toxic", F.when(sample_class(F.col("doc_id")) == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    scores = [{r.doc_id: r.score for r in toxicity.toxicity(docs, known).collect()} for known in (labels, spoilt)]
+    assert scores[0] == scores[1]
+
+
+# --- quality classifier ------------------------------------------------------------
+
+
+def test_co_training_uses_the_pool():
+    draw = np.random.default_rng(0)
+    truth = draw.integers(0, 2, 1200)
+    text = truth[:, None] * 2.0 + draw.normal(size=(1200, 6))
+    meta = truth[:, None] * 2.0 + draw.normal(size=(1200, 4))
+    model = quality_classifier.co_train(text[:60], meta[:60], truth[:60], text[60:700], meta[60:700])
+    alone = quality_classifier.co_train(text[:60], meta[:60], truth[:60], text[60:700], meta[60:700], rounds=0)
+    score, first, second = model.scores(text[700:], meta[700:])
+    assert ((score >= 0.5) == truth[700:]).mean() > 0.97
+    assert (model.text.weights != alone.text.weights).any()
+    assert ((score >= 0) & (score <= 1) & (first >= 0) & (second <= 1)).all()
+    assert quality_classifier.co_train(text[:3], meta[:3], truth[:3], text, meta) is None
+
+
+def test_held_out_quality(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.quality for r in table(spark, sf, "labels").collect()}
+    rows = [r for r in QUERIES["op10_quality_classifier"](spark, sf).collect()]
+    assert len(rows) == 1000
+    held = [(r.kept, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    assert np.mean([k for k, q in held if q]) > 0.97
+    assert np.mean([k for k, q in held if not q]) < 0.2
+
+
+def test_quality_of_odd_documents(spark):
+    labels = spark.createDataFrame([(3, 0), (None, 1), (5, None)], "doc_id long, quality int")
+    pages = spark.createDataFrame(
+        [("https://a.b.c/en/3?x=1#t", "<p>"), (None, None), ("http://x/y", None), ("https://a.b.c/en/3", "<p>")],
+        "url string, html string",
+    )
+    rows = quality_classifier.score_quality(odd_documents(spark), labels, pages).collect()
+    assert len(rows) == len(ROWS) and all(r.score == 1 and r.kept for r in rows)
+    kept = quality_classifier.keep_good(odd_documents(spark), labels, pages)
+    assert kept.count() == len(ROWS) and kept.columns == odd_documents(spark).columns
+    assert quality_classifier.keep_good(odd_documents(spark, []), labels.limit(0)).count() == 0
+
+
+# --- rules -------------------------------------------------------------------------
+
+
+def plain_measures(text):
+    text = text or ""
+    words = text.encode().split()
+    n = len(words)
+    grams = [tuple(words[i : i + 5]) for i in range(n - 4)]
+    again = {g for g in grams if grams.count(g) > 1} if n < 2000 else None
+    lines = [x for x in text.split("\n") if x.encode().split()]
+    covered = {i + k for i, g in enumerate(grams) if again and g in again for k in range(5)} if n < 2000 else None
+    return (
+        n,
+        sum(len(w.decode()) for w in words),
+        sum(c in quality_rules.SYMBOLS for c in text),
+        len(lines) - len(set(lines)),
+        None if covered is None else len(covered),
+    )
+
+
+def test_measures_of_odd_documents(spark):
+    repeats = [
+        (30, "a b c d e a b c d e", "en", "s", 1), (31, "a a a a a a a a", "en", "s", 1), (32, "a b c d", "en", "s", 1),
+        (33, "x\nx\r\nx\n\n \nx", "en", "s", 1), (34, "a b c d e f a b c d e g", "en", "s", 1), (35, "#*$%&|<> $", "en", "s", 1),
+        (36, "p q r s t " * 40 + "z", "en", "s", 1),
+    ]
+    rows = [*ROWS, *repeats]
+    found = quality_rules.measures(odd_documents(spark, rows)).collect()
+    expected = {repr(r[1]): plain_measures(r[1]) for r in rows}
+    for r in found:
+        numbers = tuple(r[m] for m in quality_rules.MEASURES)
+        wanted = expected[repr(r.text)]
+        assert numbers[:4] == wanted[:4] and wanted[4] in (None, numbers[4]), r.doc_id
+
+
+def test_hosts_take_their_documents_along(spark):
+    good = "one two three four five six seven eight nine ten eleven"
+    rows = [(i, good if i % 4 == 0 else "short", "en", "bad", 1) for i in range(400)]
+    rows += [(1000 + i, good if i else "short", "en", f"host{i % 7}", 1) for i in range(700)]
+    found = quality_rules.judge(odd_documents(spark, [*rows, (5000, good, "en", None, 1)])).collect()
+    assert all(r.kept == (r.source != "bad" and not r.base_failed) for r in found)
+    assert len(found) == len(rows) + 1 and own_columns(spark.createDataFrame(found)) 
+    assert quality_rules.judge(odd_documents(spark, [])).count() == 0
+
+
+# --- mixing ------------------------------------------------------------------------
+
+
+def plain_budgets(leaves, mix):
+    """Water filling by bisection-free search over who is full."""
+
+    def share(children, budget):
+        full = set()
+        while True:
+            rest = budget - sum(c["cap"] for n, c in children.items() if n in full)
+            weight = sum(c["weight"] for n, c in children.items() if n not in full)
+            new = {n for n, c in children.items() if n not in full and c["cap"] * weight <= rest * c["weight"]}
+            if not new:
+                return {n: c["cap"] if n in full else rest * c["weight"] // weight for n, c in children.items()}
+            full |= new
+
+    w = mix.weights
+    caps = lambda rows: sum(r[3] * mix.max_epochs for r in rows)
+    of = lambda key: {k: [r for r in leaves if r[:len(key(r))] and key(r) == k] for k in {key(r) for r in leaves}}
+    total = sum(r[3] for r in leaves) * mix.percent // 100
+    domains = {d: {"cap": caps(rows), "weight": w.domains.get(d[0], 1)} for d, rows in of(lambda r: r[:1]).items()}
+    out = {}
+    for d, budget in share(domains, total).items():
+        inside = {k: v for k, v in of(lambda r: r[:2]).items() if k[:1] == d}
+        languages = {k: {"cap": caps(v), "weight": w.languages.get(k[1], 1)} for k, v in inside.items()}
+        for k, part in share(languages, budget).items():
+            own = {r[:3]: {"cap": r[3] * mix.max_epochs, "weight": w.sources.get(r[2], 1)} for r in leaves if r[:2] == k}
+            out |= share(own, part)
+    return out
+
+
+@pytest.mark.parametrize("percent", [10, 60, 100, 250])
+def test_budgets(spark, percent):
+    draw = random.Random(percent)
+    leaves = [
+        (d, lang, f"src{s}", draw.choice([3, 50, 400, 9000]))
+        for d in ("web", "books", "forums", "other")
+        for lang in ("en", "de", "xx")
+        for s in range(4)
+        if draw.random() < 0.8
+    ]
+    mix = mixing.Mix(percent=percent, max_epochs=2)
+    df = spark.createDataFrame(leaves, "domain string, language string, leaf string, tokens long")
+    found = {(r.domain, r.language, r.leaf): r.given for r in mixing.leaf_budgets(df, mix).collect()}
+    assert found == plain_budgets(leaves, mix)
+    total = sum(r[3] for r in leaves)
+    assert sum(found.values()) <= min(2 * total, total * percent // 100)
+    assert sum(found.values()) > min(2 * total, total * percent // 100) - 60
+
+
+def test_mix_of_odd_documents(spark):
+    mix = mixing.Mix(percent=150, max_epochs=2)
+    docs = odd_documents(spark).withColumnRenamed("row", "EPOCH")
+    rows = mixing.mix_documents(docs, mix).collect()
+    assert {r.epoch for r in rows} <= {0, 1} and all(r.n_tokens > 0 for r in rows)
+    ids = [r.doc_id for r in rows if r.epoch == 0]
+    assert not {1, 2, 7} & set(ids)
+    per_leaf = {}
+    for r in rows:
+        at = (r.domain, r.lang, r.source)
+        per_leaf[at] = per_leaf.get(at, 0) + r.n_tokens
+        assert per_leaf[at] <= r.leaf_target
+    taken = mixing.take_mix(docs, mix)
+    assert taken.columns == docs.columns and {r.EPOCH for r in taken.collect()} == {"old"}
+    assert mixing.mix_documents(odd_documents(spark, []), mix).count() == 0
+
+
+# --- pipeline ----------------------------------------------------------------------
+
+
+def test_pipeline_stages(spark, tmp_path):
+    docs = documents(spark, SF_DIR)
+    sizes = [docs.count()]
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        stage(spark, docs, SF_DIR).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        sizes.append(docs.count())
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == columns
+    assert sizes[0] > sizes[1] > sizes[2] >= sizes[3] > sizes[4] == sizes[5] > 0
+    run = corpus_pipeline.run(spark, SF_DIR)
+    assert sorted((r.doc_id, r.n_tokens) for r in run.collect()) == sorted((r.doc_id, r.n_tokens) for r in docs.collect())
+
+
+def test_pipeline_stages_take_anything(spark):
+    odd = odd_documents(spark, [*ROWS, (40, PASSAGE, "en", "src1", 1)])
+    for name, stage in corpus_pipeline.STAGES:
+        for docs in (odd, odd.limit(0)):
+            found = stage(spark, docs, SF_DIR)
+            assert found.count() <= docs.count(), name
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert found.columns == docs.columns, name
