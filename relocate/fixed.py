@@ -87,9 +87,9 @@ HISTORY_POINTS = 240
 ETA_LOW = 0.7
 ETA_HIGH = 1.3
 LOG_LINES_DEFAULT = 100
-LOG_LINES_MAX = 1000
 DIGEST_CHARS = 500
 MILESTONE_CHARS = 200
+NO_ERROR_TEXT = "Unknown error"
 
 # Migration phases.
 PHASES_BEFORE_COPY = ["starting", "configuring", "ready_to_copy"]
@@ -110,6 +110,7 @@ ACTION_PHASES = {
     "retry": ["error"],
     "abort": ["configuring", "ready_to_copy", "copying", "replicating", "error"],
 }
+ACTION_START = "start"
 FORCE_VALUES = ["1", "true", "yes"]
 
 # Sizing.

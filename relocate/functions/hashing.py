@@ -19,7 +19,13 @@ def canonical(df: DataFrame, column: str) -> Column:
         value = F.unix_micros(value.cast("timestamp"))
     elif isinstance(kind, T.BinaryType):
         value = F.hex(value)
-    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+    elif isinstance(kind, T.MapType):
+        # Entries in order of their keys: equal maps have one text however they were built.
+        entries = F.array_sort(
+            F.map_entries(value), lambda x, y: F.when(x["key"] < y["key"], -1).otherwise(1)
+        )
+        value = F.to_json(entries, {"ignoreNullFields": "false"})
+    elif isinstance(kind, (T.ArrayType, T.StructType)):
         value = F.to_json(value, {"ignoreNullFields": "false"})
     elif isinstance(kind, T.StringType):
         value = F.concat(F.length(value).cast("string"), F.lit(":"), value)

@@ -39,18 +39,33 @@ def apply_changes(
     op: str = "op",
     settle_changes: bool = False,
 ) -> DataFrame:
-    """The target after all changes: one pass over the target, one row per key from the log.
+    """The target after all changes: target and log are each read once and meet in one join.
 
-    Keys are not null. With ``settle_changes`` the folded log is written first; Spark then
-    knows its true size, and when it is small broadcasts it instead of shuffling the target.
-    Use it when the target is far larger than the log.
+    A null key is a key like any other. With ``settle_changes`` the folded log is written first;
+    Spark then knows its true size, and when it is small broadcasts it instead of shuffling the
+    target. Use it when the target is far larger than the log.
     """
     last = latest_changes(changes, keys, payload, seq, op)
+    old = target.select(*keys, *payload).alias("old")
     if settle_changes:
-        last = settle(last)
-    kept = target.select(*keys, *payload).join(last.select(*keys), keys, "left_anti")
-    written = last.filter(F.col(op) != DELETE).select(*keys, *payload)
-    return kept.unionByName(written)
+        new = settle(last).alias("new")
+        kept = old.join(new, _same_keys(keys), "left_anti")
+        return kept.unionByName(new.filter(F.col(op) != DELETE).select(*keys, *payload))
+    new = last.alias("new")
+    touched = F.col(f"new.{op}").isNotNull()
+    columns = [
+        F.when(touched, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c)
+        for c in [*keys, *payload]
+    ]
+    gone = F.coalesce(F.col(f"new.{op}") == DELETE, F.lit(False))
+    return old.join(new, _same_keys(keys), "full_outer").filter(~gone).select(*columns)
+
+
+def _same_keys(keys: list[str]) -> Column:
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}"))
+    return same
 
 
 def apply_counts(
@@ -60,7 +75,7 @@ def apply_counts(
     last = changes.groupBy(*keys).agg(F.max_by(op, seq).alias(op))
     held = target.select(*keys).withColumn("_held", F.lit(True))
     wrote = F.col(op) != DELETE
-    return last.join(held, keys, "left").agg(
+    return last.alias("old").join(held.alias("new"), _same_keys(keys), "left").agg(
         F.count(F.lit(1)).alias("keys_changed"),
         F.count_if(F.col("_held")).alias("rows_deleted"),
         F.count_if(wrote).alias("rows_inserted"),
@@ -89,11 +104,11 @@ def overlay(base: DataFrame, last: DataFrame, keys: list[str]) -> DataFrame:
     and the base is read in place, never shuffled.
     """
     old, new = base.alias("old"), last.alias("new")
-    same = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
-    newer = F.col("new.seq") > F.col("old.seq")
-    kept = old.join(new, [*same, newer], "left_anti")
-    late = old.join(new, [*same, ~newer]).select(*[F.col(f"old.{k}").alias(k) for k in keys])
-    return kept.unionByName(last.join(late, keys, "left_anti"))
+    same, newer = _same_keys(keys), F.col("new.seq") > F.col("old.seq")
+    kept = old.join(new, same & newer, "left_anti")
+    late = old.join(new, same & ~newer).select(*[F.col(f"old.{k}").alias(k) for k in keys])
+    fresh = last.alias("new").join(late.alias("old"), same, "left_anti")
+    return kept.unionByName(fresh)
 
 
 def merge_versions(

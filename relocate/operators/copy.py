@@ -29,11 +29,13 @@ def copy_column_list(columns: DataFrame, replicator_schema: str | None = None) -
     plain = F.when(
         ~F.col("is_generated"), F.struct(F.col("pos"), quote_ident(F.col("column_name")).alias("c"))
     )
+    table = ["db_id", "schema_name", "table_name"]
+    own = columns.filter(is_user_schema(F.col("schema_name"), replicator_schema))
+    wanted = own.filter("is_generated").select(*table).distinct()
     return (
-        columns.filter(is_user_schema(F.col("schema_name"), replicator_schema))
-        .groupBy("db_id", "schema_name", "table_name")
-        .agg(F.max("is_generated").alias("_any"), F.collect_list(plain).alias("_plain"))
-        .filter("_any")
+        own.join(wanted, table, "left_semi")
+        .groupBy(*table)
+        .agg(F.collect_list(plain).alias("_plain"))
         .select(
             "db_id",
             "schema_name",

@@ -11,13 +11,11 @@ from pyspark.sql import functions as F
 
 from relocate import fixed
 from relocate.functions.text import strip
-from relocate.operators.ordered import SPAN_ROWS
 from relocate.operators.parse import log_completed_tables, log_current_table
 from relocate.operators.progress import (
     age_seconds,
-    byte_progress,
+    copy_progress,
     progress_signals,
-    tables_completed,
 )
 
 def _sure(condition: Column) -> Column:
@@ -96,6 +94,40 @@ def replication_health(df: DataFrame, now: str = "obs_us") -> DataFrame:
     return judged.withColumn("blocker", blocker)
 
 
+def auto_transition(observations: DataFrame, now: str = "obs_us") -> DataFrame:
+    """``next_phase, next_state`` from what a sync reports; null state means nothing to say.
+
+    Needs ``phase`` (local), ``persisted_phase`` and the status columns.
+    """
+    seen = F.coalesce(F.col("status_seen"), F.lit(False))
+    copy = F.col("copy_phase")
+    beyond = F.coalesce(F.col("phase").isin(fixed.PHASES_AFTER_COPY), F.lit(False)) | F.coalesce(
+        F.col("persisted_phase").isin(fixed.PHASES_AFTER_COPY), F.lit(False)
+    )
+    copy_began = (
+        seen
+        & F.col("phase").isin(fixed.PHASES_BEFORE_COPY)
+        & (copy == fixed.COPY_RUNNING)
+        & ~F.col("state").eqNullSafe(F.lit(fixed.STATE_NOT_STARTED))
+        & ~beyond
+    )
+    in_copy = F.coalesce(copy_began | (seen & (F.col("phase") == "copying")), F.lit(False))
+    finished = in_copy & F.coalesce(copy == fixed.COPY_DONE, F.lit(False))
+    healthy = replication_healthy(now)
+    next_phase = (
+        F.when(finished & healthy, "replicating")
+        .when(in_copy, "copying")
+        .otherwise(F.col("phase"))
+    )
+    next_state = (
+        F.when(finished & healthy, fixed.STATE_RUNNING)
+        .when(finished, fixed.STATE_CHECK_FAILED)
+        .when(in_copy & (copy == fixed.UNKNOWN), fixed.STATE_AMBIGUOUS)
+        .when(F.coalesce(copy_began, F.lit(False)), fixed.STATE_INITIAL_COPY)
+    )
+    return observations.withColumns({"next_phase": next_phase, "next_state": next_state})
+
+
 def checklist() -> Column:
     """Five steps as ``array<struct<id, status>>``; needs ``phase, copy_phase, health``."""
     phase = F.col("phase")
@@ -136,29 +168,35 @@ def observe(
         log_completed_tables(lines, known).select("run_id", "table_name")
     )
     told = status.select("run_id", "tables_in_sync", "copy_phase")
-    counted = tables_completed(sizes, done, told)
-    measured = byte_progress(sizes, done, told).select(
+    measured = copy_progress(sizes, done, told).select(
         "run_id",
+        "total_tables",
+        "tables_completed",
         "total_bytes",
         F.col("copied_bytes").alias("raw_copied_bytes"),
         F.col("estimate_mode").alias("raw_mode"),
     )
-    return (
-        status.join(counted, "run_id", "left")
-        .join(measured, "run_id", "left")
-        .join(log_current_table(lines, known), "run_id", "left")
+    return status.join(measured, "run_id", "left").join(
+        log_current_table(lines, known), "run_id", "left"
     )
 
 
-def status_record(observations: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
+def status_record(observations: DataFrame, span_rows: int | None = None) -> DataFrame:
     """One nested status row per look, from parsed status joined with size measures.
 
-    Needs the columns of the progress and health measures plus ``total_tables``;
-    ``current_table`` is carried through when present.
+    The run is moved on first, and everything is judged in the phase it has then. Needs the
+    columns of the progress and health measures plus ``total_tables``. ``persisted_phase``, what
+    is stored of the run (``stored_state, stored_error, started_us``) and ``current_table``
+    count when present.
     """
-    rows = replication_health(progress_signals(observations, span_rows))
-    if "current_table" not in rows.columns:
-        rows = rows.withColumn("current_table", F.lit(None).cast("string"))
+    optional = {
+        "persisted_phase": "string", "stored_state": "string", "stored_error": "string",
+        "started_us": "bigint", "current_table": "string",
+    }
+    absent = {c: F.lit(None).cast(kind) for c, kind in optional.items() if c not in observations.columns}
+    moved = auto_transition(observations.withColumns(absent) if absent else observations)
+    moved = moved.withColumn("phase", F.col("next_phase"))
+    rows = replication_health(progress_signals(moved, span_rows))
     rows = rows.withColumn("_steps", checklist())
     finished = F.size(F.filter("_steps", lambda s: s["status"] == fixed.STEP_COMPLETE))
     return rows.select(
@@ -166,6 +204,17 @@ def status_record(observations: DataFrame, span_rows: int = SPAN_ROWS) -> DataFr
         "tick",
         "obs_us",
         "phase",
+        F.coalesce("next_state", "stored_state").alias("state"),
+        F.col("stored_error").alias("error"),
+        "started_us",
+        F.struct(
+            "status_seen",
+            "state",
+            "copy_phase",
+            "rows_changed",
+            "last_good_us",
+            "last_error",
+        ).alias("status"),
         F.struct(
             F.col("readiness").alias("level"), "can_force", "hard_blockers", "soft_blockers"
         ).alias("cutover_readiness"),

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relocate import fixed
-from relocate.operators.health import replication_healthy
-from relocate.operators.ordered import SPAN_ROWS, arrange, look_back, looked_back
+from relocate.operators.health import auto_transition
+from relocate.operators.ordered import arrange, look_back, looked_back
 
 STATE_FIELDS = ["phase", "switched_us", "completed_us", "error"]
 
@@ -45,38 +45,10 @@ def state_upsert(writes: DataFrame, state: DataFrame | None = None) -> DataFrame
     )
 
 
-def auto_transition(observations: DataFrame, now: str = "obs_us") -> DataFrame:
-    """``next_phase, next_state`` from what a sync reports; null state means nothing to say.
-
-    Needs ``phase`` (local), ``persisted_phase`` and the status columns.
-    """
-    seen = F.coalesce(F.col("status_seen"), F.lit(False))
-    copy = F.col("copy_phase")
-    beyond = F.coalesce(F.col("phase").isin(fixed.PHASES_AFTER_COPY), F.lit(False)) | F.coalesce(
-        F.col("persisted_phase").isin(fixed.PHASES_AFTER_COPY), F.lit(False)
-    )
-    copy_began = (
-        seen
-        & F.col("phase").isin(fixed.PHASES_BEFORE_COPY)
-        & (copy == fixed.COPY_RUNNING)
-        & ~F.col("state").eqNullSafe(F.lit(fixed.STATE_NOT_STARTED))
-        & ~beyond
-    )
-    in_copy = F.coalesce(copy_began | (seen & (F.col("phase") == "copying")), F.lit(False))
-    finished = in_copy & F.coalesce(copy == fixed.COPY_DONE, F.lit(False))
-    healthy = replication_healthy(now)
-    next_phase = (
-        F.when(finished & healthy, "replicating")
-        .when(in_copy, "copying")
-        .otherwise(F.col("phase"))
-    )
-    next_state = (
-        F.when(finished & healthy, fixed.STATE_RUNNING)
-        .when(finished, fixed.STATE_CHECK_FAILED)
-        .when(in_copy & (copy == fixed.UNKNOWN), fixed.STATE_AMBIGUOUS)
-        .when(F.coalesce(copy_began, F.lit(False)), fixed.STATE_INITIAL_COPY)
-    )
-    return observations.withColumns({"next_phase": next_phase, "next_state": next_state})
+__all__ = [
+    "action_allowed", "action_guard", "auto_transition", "milestones", "state_upsert", "switch_gate",
+    "with_previous",
+]
 
 
 def action_allowed(action: Column, phase: Column) -> Column:
@@ -87,13 +59,25 @@ def action_allowed(action: Column, phase: Column) -> Column:
     return chain.otherwise(F.lit(True))
 
 
-def action_guard(actions: DataFrame) -> DataFrame:
-    """Add ``accepted`` to rows with ``action, phase``."""
-    return actions.withColumn("accepted", action_allowed(F.col("action"), F.col("phase")))
+def action_guard(
+    actions: DataFrame, gate: DataFrame | None = None, run: str = "run_id"
+) -> DataFrame:
+    """Add ``accepted`` to rows with ``action, phase``.
+
+    With ``gate`` (``db_id, all_tables_valid``, the preflight verdict), a start also needs a
+    verdict for the run's database that lets it pass.
+    """
+    allowed = action_allowed(F.col("action"), F.col("phase"))
+    if gate is None:
+        return actions.withColumn("accepted", allowed)
+    verdict = gate.select(F.col("db_id").alias("_db"), F.col("all_tables_valid").alias("_valid"))
+    passed = (F.col("action") != fixed.ACTION_START) | F.coalesce("_valid", F.lit(False))
+    judged = actions.join(verdict, F.col(run) == F.col("_db"), "left")
+    return judged.withColumn("accepted", allowed & passed).drop("_db", "_valid")
 
 
 def with_previous(
-    log: DataFrame, columns: dict[str, str], span_rows: int = SPAN_ROWS
+    log: DataFrame, columns: dict[str, str], span_rows: int | None = None
 ) -> DataFrame:
     """Add columns of the row before, per run by ``seq``: ``columns`` maps new name to column."""
     wide = look_back(
@@ -103,20 +87,29 @@ def with_previous(
     return looked_back(wide.add(added)).done()
 
 
-def milestones(log: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
+def milestones(
+    log: DataFrame,
+    span_rows: int | None = None,
+    max_chars: int | None = fixed.MILESTONE_CHARS,
+) -> DataFrame:
     """Phase changes worth telling: ``run_id, seq, at_us, milestone, detail``.
 
     A row tells only when its phase differs from the row before; ``starting`` only as the
-    first row of its run. ``detail`` is the error text, cut to 200 characters.
+    first row of its run. ``detail`` is the error text, cut to ``max_chars`` unless None;
+    ``Unknown error`` without one. ``ready_to_copy`` tells the number of tables where the log
+    has ``tables_in_sync``.
     """
     prior = with_previous(log, {"_before": "phase"}, span_rows)
     changed = ~F.col("phase").eqNullSafe(F.col("_before"))
     told = F.col("phase").isin(fixed.MILESTONE_PHASES) & (
         (F.col("phase") != "starting") | F.col("_before").isNull()
     )
-    detail = F.when(
-        F.col("phase") == "error", F.substring(F.col("error"), 1, fixed.MILESTONE_CHARS)
-    )
+    text = F.when(F.trim("error") != "", F.col("error"))
+    text = F.coalesce(text if max_chars is None else F.substring(text, 1, max_chars), F.lit(fixed.NO_ERROR_TEXT))
+    detail = F.when(F.col("phase") == "error", text)
+    if "tables_in_sync" in log.columns:
+        tables = F.concat(F.col("tables_in_sync").cast("string"), F.lit(" tables"))
+        detail = detail.when(F.col("phase") == "ready_to_copy", tables)
     return prior.filter(changed & told).select(
         "run_id", "seq", "at_us", F.col("phase").alias("milestone"), detail.alias("detail")
     )

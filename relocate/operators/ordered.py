@@ -1,13 +1,15 @@
-"""Ordered computations per key that stay spread out when one key holds most rows.
-
-A window over a whole key puts all rows of that key into one task. That is the right plan
-as long as no key is large, and one count per key tells. When some are, their rows are cut
-into contiguous spans of the order column: windows run per span, and a short table with
-one row per span carries what earlier spans contribute, either a running maximum or the
-few rows just before the span. Results are those of the plain window in both cases.
-
-The order column is an integer and ``(keys, order)`` is unique. Spans depend only on exact
-counts and bounds, so a recomputed task sees the same spans.
+"""Ordered computations per key, over whole keys or over spans of them.
+
+A window over a whole key puts all rows of that key into one task. Where keys may be large, the
+caller names ``span_rows``: rows of a key are then cut into contiguous spans of about that many
+rows, windows run per span, and a short table with one row per span carries what earlier spans
+contribute, either a running maximum or the few rows just before the span. The plan depends on
+that parameter alone, never on counts; results are those of the plain window for any value.
+
+The order column is a number and ``(keys, order)`` is unique. Keys may be null: null is a key
+like any other. Spans are cut at quantiles of the order column per key, so rows far off do not
+make the others share a span. Steps over spans are written to the shared folder, so that each
+is computed once and a task that is lost starts again from there.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from relocate.session import settle
 
 SPAN = "_span"
 HALO = "_halo"
-SPAN_ROWS = 1_000_000
-BROADCAST_KEYS = 100_000
+#: Places a key can be cut at: spans hold about ``span_rows`` rows up to so many spans a key.
+CUTS = 1000
 
 
 @dataclass(frozen=True)
@@ -58,32 +60,37 @@ class Ordered:
         return self.rows.drop(SPAN, HALO)
 
 
-def arrange(
-    df: DataFrame, keys: list[str], order: str, span_rows: int = SPAN_ROWS
-) -> Ordered:
-    """Find the keys with more than ``span_rows`` rows and cut those into spans.
-
-    Only large keys come to the driver, at most one per ``span_rows`` rows; their list is
-    broadcast while it is short and joined like any table beyond that.
-    """
-    at = F.col(order)
-    large = (
+def arrange(df: DataFrame, keys: list[str], order: str, span_rows: int | None = None) -> Ordered:
+    """Lay rows out by whole keys, or cut every key into spans of about ``span_rows`` rows."""
+    if span_rows is None:
+        return Ordered(df, tuple(keys), order, split=False)
+    places = F.percentile_approx(order, F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)]), 20 * CUTS)
+    spans = F.least(F.ceil(F.col("_n") / span_rows), F.lit(CUTS)).cast("int")
+    cuts = F.transform(
+        F.sequence(F.lit(1), spans - 1),
+        lambda i: F.element_at("_places", F.floor(i * CUTS / spans).cast("int")),
+    )
+    table = (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi"))
-        .filter(F.col("_n") > span_rows)
-        .withColumn("_spans", F.ceil(F.col("_n") / span_rows))
-        .selectExpr(*keys, "_lo", "(_hi - _lo) div _spans + 1 AS _width")
+        .agg(F.count(F.lit(1)).alias("_n"), places.alias("_places"))
+        .select(*keys, F.when(spans > 1, F.array_distinct(cuts)).alias("_cuts"))
     )
-    found = large.limit(BROADCAST_KEYS + 1).collect()
-    if not found:
-        return Ordered(df, tuple(keys), order, split=False)
-    if len(found) <= BROADCAST_KEYS:
-        large = F.broadcast(df.sparkSession.createDataFrame(found, large.schema))
-    spanned = df.join(large, keys, "left").withColumn(
-        SPAN, F.coalesce(F.expr(f"({order} - _lo) div _width"), F.lit(0).cast("bigint"))
+    place = F.size(F.filter("_cuts", lambda cut: cut < F.col(order))).cast("bigint")
+    spanned = _beside(df, table, keys).withColumn(
+        SPAN, F.when(F.col("_cuts").isNull(), F.lit(0).cast("bigint")).otherwise(place)
+    )
+    return Ordered(spanned.drop("_cuts"), tuple(keys), order, split=True).settled()
+
+
+def _beside(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Every row with the columns of the one table row that has its keys; null equals null."""
+    other = table.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in table.columns if c not in keys]
     )
-    whole = Ordered(spanned.drop("_lo", "_width"), tuple(keys), order, split=True)
-    return whole.settled()
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return rows.join(other, same, "left").drop(*[f"_k_{k}" for k in keys])
 
 
 def running_max(ordered: Ordered, values: dict[str, Column], *, before: bool = False) -> Ordered:
@@ -99,10 +106,10 @@ def running_max(ordered: Ordered, values: dict[str, Column], *, before: bool = F
     carried = tops.select(
         *ordered.parts, *[F.max(name).over(earlier).alias(f"_c_{name}") for name in values]
     )
-    joined = ordered.rows.join(carried, ordered.parts).withColumns(
+    joined = _beside(ordered.rows, carried, ordered.parts).withColumns(
         {n: F.greatest(F.max(v).over(frame), F.col(f"_c_{n}")) for n, v in values.items()}
     )
-    return ordered.having(joined.drop(*[f"_c_{name}" for name in values]))
+    return ordered.having(joined.drop(*[f"_c_{name}" for name in values])).settled()
 
 
 def running_last(ordered: Ordered, name: str, value: Column) -> Ordered:
@@ -119,7 +126,7 @@ def running_last(ordered: Ordered, name: str, value: Column) -> Ordered:
     carried = ends.select(
         *ordered.parts, F.last("_end", ignorenulls=True).over(earlier).alias("_carried")
     )
-    joined = ordered.rows.join(carried, ordered.parts)
+    joined = _beside(ordered.rows, carried, ordered.parts)
     return ordered.having(
         joined.withColumn(name, F.coalesce(within, F.col("_carried"))).drop("_carried")
     )

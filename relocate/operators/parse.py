@@ -123,7 +123,7 @@ def first_mentions(
 ) -> DataFrame:
     """First place each table is named: ``run_id, table_name, place``.
 
-    With ``known`` (``run_id, table_name``), only those tables count.
+    With ``known`` (``run_id, table_name``), only those tables count, in runs that have a list.
     """
     firsts = (
         lines.select("run_id", F.explode(_mentions(patterns)).alias("_m"))
@@ -134,7 +134,16 @@ def first_mentions(
     )
     if known is None:
         return firsts
-    return firsts.join(known.select("run_id", "table_name"), ["run_id", "table_name"], "left_semi")
+    return _of_known(firsts, known).filter("_counts").drop("_counts")
+
+
+def _of_known(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Add ``_counts``: the table is on its run's list, or the run has no list."""
+    names = known.select("run_id", "table_name").distinct().withColumn("_known", F.lit(True))
+    runs = known.select("run_id").distinct().withColumn("_list", F.lit(True))
+    marked = rows.join(names, ["run_id", "table_name"], "left").join(runs, "run_id", "left")
+    counts = F.col("table_name").isNotNull() & (F.col("_known").isNotNull() | F.col("_list").isNull())
+    return marked.withColumn("_counts", counts).drop("_known", "_list")
 
 
 def log_completed_tables(lines: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -195,9 +204,8 @@ def log_current_table(lines: DataFrame, known: DataFrame | None = None) -> DataF
     ).select("run_id", "_c.*")
     counts = F.col("place").isNotNull()
     if known is not None:
-        marked = known.select("run_id", "table_name").distinct().withColumn("_known", F.lit(True))
-        candidates = candidates.join(marked, ["run_id", "table_name"], "left")
-        counts = F.col("_known")
+        candidates = _of_known(candidates, known)
+        counts = F.col("_counts") & F.col("place").isNotNull()
     chosen = F.max_by(F.when(counts, F.col("table_name")), F.when(counts, F.col("place")))
     return candidates.groupBy("run_id").agg(chosen.alias("current_table"))
 
@@ -207,14 +215,16 @@ def filter_warnings(lines: DataFrame) -> DataFrame:
 
 
 def log_tail(lines: DataFrame, n: int = fixed.LOG_LINES_DEFAULT) -> DataFrame:
-    """The last ``n`` lines of each run, at most 1,000."""
-    return latest_rows(lines, ["run_id"], "line_no", min(n, fixed.LOG_LINES_MAX))
+    """The last ``n`` lines of each run."""
+    return latest_rows(lines, ["run_id"], "line_no", n)
 
 
-def error_digest(lines: DataFrame, k: int = 5) -> DataFrame:
-    """The last ``k`` lines of each run joined by blanks, cut to 500 characters."""
+def error_digest(
+    lines: DataFrame, k: int = 5, max_chars: int | None = fixed.DIGEST_CHARS
+) -> DataFrame:
+    """The last ``k`` lines of each run joined by blanks, cut to ``max_chars`` unless None."""
     last = latest_rows(lines, ["run_id"], "line_no", k)
     in_order = F.sort_array(F.collect_list(F.struct("line_no", "line")))["line"]
-    return last.groupBy("run_id").agg(
-        F.substring(F.array_join(in_order, " "), 1, fixed.DIGEST_CHARS).alias("digest")
-    )
+    text = F.array_join(in_order, " ")
+    digest = text if max_chars is None else F.substring(text, 1, max_chars)
+    return last.groupBy("run_id").agg(digest.alias("digest"))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from relocate.functions.text import is_user_schema
 
-TABLE = ["db_id", "table_name"]
+TABLE = ["db_id", "schema_name", "table_name"]
 
 FIXED_WIDTH = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
@@ -29,11 +29,14 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 def tables_without_key(
     tables: DataFrame, indexes: DataFrame, public_only: bool = False
 ) -> DataFrame:
-    """Tables with neither a primary key nor any unique index (nullable columns allowed)."""
+    """Tables with neither a primary key nor any unique index (nullable columns allowed).
+
+    A table is known by database, schema and name: equal names in two schemas never meet.
+    """
     if public_only:
         tables = tables.filter(F.col("schema_name") == "public")
     usable = indexes.filter(F.col("is_primary") | F.col("is_unique")).select(*TABLE)
-    return tables.join(usable, TABLE, "left_anti").select("db_id", "schema_name", "table_name")
+    return tables.join(usable, TABLE, "left_anti").select(*TABLE)
 
 
 def generated_columns(columns: DataFrame, replicator_schema: str | None = None) -> DataFrame:
@@ -59,13 +62,24 @@ def preflight_gate(
 ) -> DataFrame:
     """One verdict per database: start only if every table has a key.
 
-    Counts only. The names are the rows of :func:`preflight_findings`, which stay rows however
-    many tables one database has.
+    Counts only. The names are the rows of :func:`preflight_findings` with the same
+    ``public_only``, which stay rows however many tables one database has.
     """
-    bad = tables_without_key(tables, indexes, public_only)
+    keyed = (
+        indexes.filter(F.col("is_primary") | F.col("is_unique"))
+        .groupBy(*TABLE)
+        .agg(F.lit(True).alias("_keyed"))
+    )
+    judged = F.lit(True) if not public_only else F.col("schema_name") == "public"
     n = F.count(F.lit(1))
-    all_tables = tables.groupBy("db_id").agg(n.alias("tables"))
-    without = bad.groupBy("db_id").agg(n.alias("tables_without_key"))
+    all_tables = (
+        tables.join(keyed, TABLE, "left")
+        .groupBy("db_id")
+        .agg(
+            n.alias("tables"),
+            F.count_if(F.col("_keyed").isNull() & judged).alias("tables_without_key"),
+        )
+    )
     generated = (
         columns.filter("is_generated")
         .filter(is_user_schema(F.col("schema_name")))
@@ -76,12 +90,11 @@ def preflight_gate(
     )
     zero = F.lit(0)
     return (
-        all_tables.join(without, "db_id", "left")
-        .join(generated, "db_id", "left")
+        all_tables.join(generated, "db_id", "left")
         .select(
             "db_id",
             "tables",
-            F.coalesce("tables_without_key", zero).alias("tables_without_key"),
+            "tables_without_key",
             F.coalesce("tables_with_generated_columns", zero).alias(
                 "tables_with_generated_columns"
             ),
@@ -142,27 +155,44 @@ def key_violations(tables: Mapping[str, tuple[DataFrame, list[list[str]]]]) -> D
     return union_all(parts)
 
 
-def _width(field: T.StructField) -> Column:
-    kind, value = field.dataType, F.col(field.name)
+def _width(kind: T.DataType, value: Column) -> Column:
+    """Bytes of a value; nested values are the sum of what they hold, nulls nothing."""
     if isinstance(kind, (T.StringType, T.BinaryType)):
-        return F.octet_length(value).cast("bigint")
-    if isinstance(kind, T.ArrayType) and type(kind.elementType) in FIXED_WIDTH:
-        return F.size(value).cast("bigint") * FIXED_WIDTH[type(kind.elementType)]
-    return F.lit(FIXED_WIDTH.get(type(kind), 0)).cast("bigint")
+        width = F.octet_length(value).cast("bigint")
+    elif isinstance(kind, T.ArrayType) and type(kind.elementType) in FIXED_WIDTH:
+        held = F.size(F.filter(value, lambda x: x.isNotNull())) if kind.containsNull else F.size(value)
+        width = held.cast("bigint") * FIXED_WIDTH[type(kind.elementType)]
+    elif isinstance(kind, T.ArrayType):
+        sizes = F.transform(value, lambda x: _width(kind.elementType, x))
+        width = F.aggregate(sizes, F.lit(0).cast("bigint"), lambda a, b: a + b)
+    elif isinstance(kind, T.MapType):
+        parts = [
+            _width(T.ArrayType(kind.keyType), F.map_keys(value)),
+            _width(T.ArrayType(kind.valueType), F.map_values(value)),
+        ]
+        width = parts[0] + parts[1]
+    elif isinstance(kind, T.StructType):
+        width = F.lit(0).cast("bigint")
+        for field in kind.fields:
+            width = width + _width(field.dataType, value[field.name])
+    elif type(kind) in FIXED_WIDTH:
+        width = F.lit(FIXED_WIDTH[type(kind)]).cast("bigint")
+    else:
+        raise TypeError(f"no size is known for {kind.simpleString()}")
+    return F.coalesce(F.when(value.isNotNull(), width), F.lit(0)).cast("bigint")
 
 
 def relation_size(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows and value bytes per table, and a total row with a null table name.
 
-    Strings count their UTF-8 bytes, other types their width, nulls nothing.
+    Strings count their UTF-8 bytes, other types their width, nested values what they hold,
+    nulls nothing. This reads every value; :func:`relation_files` does not.
     """
     parts = []
     for name, rows in tables.items():
         size = F.lit(0).cast("bigint")
         for field in rows.schema.fields:
-            size = size + F.coalesce(
-                F.when(F.col(field.name).isNotNull(), _width(field)), F.lit(0)
-            )
+            size = size + _width(field.dataType, F.col(field.name))
         parts.append(
             rows.agg(
                 F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")
@@ -175,6 +205,25 @@ def relation_size(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def relation_files(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Files and stored bytes per table read from files, and a total row with a null name.
+
+    Only the metadata of the rows' files is read, no column of the table.
+    """
+    parts = [
+        rows.select("_metadata.file_path", "_metadata.file_size")
+        .distinct()
+        .agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"))
+        .select(F.lit(name).alias("table_name"), "*")
+        for name, rows in tables.items()
+    ]
+    return (
+        union_all(parts)
+        .rollup("table_name")
+        .agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"))
+    )
+
+
 def object_diff(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Every object with ``only_source``, ``only_target`` or ``both``: one shuffle, no join."""
     sides = source.select(*keys, F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionByName(

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from relocate import fixed
 from relocate.operators.ordered import (
-    SPAN_ROWS,
     Ordered,
     arrange,
     latest_rows,
@@ -38,58 +37,41 @@ def age_seconds(now_us: Column, then_us: Column) -> Column:
 # --- table and byte progress -------------------------------------------------------
 
 
-def tables_completed(sizes: DataFrame, completed: DataFrame, status: DataFrame) -> DataFrame:
-    """Tables done per run: ``run_id, total_tables, tables_completed``.
-
-    ``sizes``: ``run_id, table_name, …``; ``completed``: remembered and detected
-    ``run_id, table_name``; ``status``: ``run_id, tables_in_sync, copy_phase``. The reported
-    number may count more than tables, so it is used only within the known total.
-    """
-    totals = sizes.groupBy("run_id").agg(F.count(F.lit(1)).alias("total_tables"))
-    done = (
-        completed.select("run_id", "table_name")
-        .distinct()
-        .groupBy("run_id")
-        .agg(F.count(F.lit(1)).alias("_done"))
-    )
-    found = F.coalesce(F.col("_done"), F.lit(0))
-    reported = F.col("tables_in_sync")
-    usable = reported.between(1, F.col("total_tables"))
-    best = F.when(usable, F.greatest(found, reported)).otherwise(found)
-    return (
-        totals.join(done, "run_id", "left")
-        .join(status, "run_id", "left")
-        .select(
-            "run_id",
-            "total_tables",
-            F.when(F.col("copy_phase") == fixed.COPY_DONE, F.col("total_tables"))
-            .otherwise(F.least(best, F.col("total_tables")))
-            .cast("bigint")
-            .alias("tables_completed"),
-        )
-    )
-
+def copy_progress(sizes: DataFrame, completed: DataFrame, status: DataFrame) -> DataFrame:
+    """Tables and bytes done of every run that has a status or sizes, in one pass over each.
 
-def byte_progress(sizes: DataFrame, completed: DataFrame, status: DataFrame) -> DataFrame:
-    """Bytes done per run, how they were estimated, and the percentage to one decimal.
+    ``sizes``: ``run_id, table_name, source_bytes, target_bytes``; ``completed``: remembered and
+    detected ``run_id, table_name``; ``status``: ``run_id, tables_in_sync, copy_phase``, one row
+    per run. A run without sizes has no tables and no bytes. The reported number may count more
+    than tables, so it is used only within the known total.
 
-    ``sizes``: ``run_id, table_name, source_bytes, target_bytes``. Sizes of finished tables
-    count in full; while the copy runs, target sizes capped at source sizes may show more;
-    the share of tables done is the last resort.
+    Sizes of finished tables count in full; while the copy runs, target sizes capped at source
+    sizes may show more; the share of tables done is the last resort.
     """
-    done = completed.select("run_id", "table_name").distinct().withColumn("_done", F.lit(True))
     source, target = F.col("source_bytes"), F.coalesce(F.col("target_bytes"), F.lit(0))
-    per_run = (
-        sizes.join(done, ["run_id", "table_name"], "left")
-        .groupBy("run_id")
-        .agg(
-            F.sum(source).alias("total_bytes"),
-            F.coalesce(F.sum(F.when(F.col("_done"), source)), F.lit(0)).alias("_finished"),
-            F.coalesce(
-                F.sum(F.when(source > 0, F.least(source, target))), F.lit(0)
-            ).alias("_on_target"),
-        )
-    )
+    done = completed.select("run_id", "table_name").distinct().withColumn("_done", F.lit(1))
+    sized = sizes.withColumn("_sized", F.lit(1)).join(done, ["run_id", "table_name"], "full")
+
+    def total_of(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
+
+    has_size, is_done = F.col("_sized").isNotNull(), F.col("_done").isNotNull()
+    per_run = sized.groupBy("run_id").agg(
+        total_of(F.col("_sized")).alias("total_tables"),
+        total_of(F.col("_done")).alias("_found"),
+        total_of(source).alias("total_bytes"),
+        total_of(F.when(has_size & is_done, source)).alias("_finished"),
+        total_of(F.when(has_size & (source > 0), F.least(source, target))).alias("_on_target"),
+    ).filter(F.col("total_tables") > 0)
+    runs = status.select("run_id", "tables_in_sync", "copy_phase").join(per_run, "run_id", "full")
+    counts = ("total_tables", "_found", "total_bytes", "_finished", "_on_target")
+    runs = runs.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in counts})
+
+    reported, found, tables = F.col("tables_in_sync"), F.col("_found"), F.col("total_tables")
+    best = F.when(reported.between(1, tables), F.greatest(found, reported)).otherwise(found)
+    complete = F.when(F.col("copy_phase") == fixed.COPY_DONE, tables).otherwise(F.least(best, tables))
+    runs = runs.withColumn("tables_completed", complete.cast("bigint"))
+
     total, finished, on_target = F.col("total_bytes"), F.col("_finished"), F.col("_on_target")
     by_size = (
         F.coalesce(F.col("copy_phase") == fixed.COPY_RUNNING, F.lit(False))
@@ -97,29 +79,37 @@ def byte_progress(sizes: DataFrame, completed: DataFrame, status: DataFrame) ->
         & (on_target > finished)
     )
     measured = F.when(by_size, on_target).otherwise(finished)
-    by_ratio = (
-        (measured <= 0) & (total > 0) & (F.col("total_tables") > 0) & (F.col("tables_completed") > 0)
-    )
-    ratio = F.round(F.col("tables_completed") / F.col("total_tables") * total).cast("bigint")
+    by_ratio = (measured <= 0) & (total > 0) & (tables > 0) & (F.col("tables_completed") > 0)
+    ratio = F.round(F.col("tables_completed") / tables * total).cast("bigint")
     copied = F.when(by_ratio, ratio).otherwise(measured)
     mode = (
         F.when(by_ratio, fixed.MODE_RATIO)
         .when(by_size, fixed.MODE_SIZES)
         .otherwise(fixed.MODE_TABLES)
     )
-    return (
-        per_run.join(tables_completed(sizes, completed, status), "run_id")
-        .join(status.select("run_id", "copy_phase"), "run_id", "left")
-        .select(
-            "run_id",
-            copied.alias("copied_bytes"),
-            "total_bytes",
-            percent(copied, total).alias("percent"),
-            mode.alias("estimate_mode"),
-        )
+    return runs.select(
+        "run_id",
+        "total_tables",
+        "tables_completed",
+        copied.alias("copied_bytes"),
+        "total_bytes",
+        percent(copied, total).alias("percent"),
+        mode.alias("estimate_mode"),
     )
 
 
+def tables_completed(sizes: DataFrame, completed: DataFrame, status: DataFrame) -> DataFrame:
+    """Tables done per run: ``run_id, total_tables, tables_completed``."""
+    return copy_progress(sizes, completed, status).select(
+        "run_id", "total_tables", "tables_completed"
+    )
+
+
+def byte_progress(sizes: DataFrame, completed: DataFrame, status: DataFrame) -> DataFrame:
+    """Bytes done per run, how they were estimated, and the percentage to one decimal."""
+    return copy_progress(sizes, completed, status).drop("total_tables", "tables_completed")
+
+
 def percent(part: Column, total: Column) -> Column:
     return F.when(total > 0, F.round(part / total * 100, 1)).otherwise(F.lit(0.0))
 
@@ -127,7 +117,7 @@ def percent(part: Column, total: Column) -> Column:
 # --- measures over history ---------------------------------------------------------
 
 
-def observed(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> Ordered:
+def observed(ticks: DataFrame, span_rows: int | None = None) -> Ordered:
     """Observation rows laid out for the measures below."""
     return arrange(ticks, RUN, TICK, span_rows)
 
@@ -289,7 +279,7 @@ def add_replication_delay(df: DataFrame) -> DataFrame:
 # --- the measures one by one -------------------------------------------------------
 
 
-def monotonic_progress(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
+def monotonic_progress(ticks: DataFrame, span_rows: int | None = None) -> DataFrame:
     rows = add_copied_bytes(observed(ticks, span_rows)).done()
     return rows.withColumn("percent", percent(F.col("copied_bytes"), F.col("total_bytes")))
 
@@ -298,21 +288,21 @@ def history_retention(ticks: DataFrame, points: int = fixed.HISTORY_POINTS) -> D
     return latest_rows(ticks, RUN, TICK, points)
 
 
-def last_progress(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
+def last_progress(ticks: DataFrame, span_rows: int | None = None) -> DataFrame:
     looks = add_copied_bytes(observed(ticks, span_rows))
     return add_last_progress(add_history_measures(looks, {"advanced"})).done()
 
 
-def backlog_trend(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
+def backlog_trend(ticks: DataFrame, span_rows: int | None = None) -> DataFrame:
     return add_history_measures(observed(ticks, span_rows), {"trend"}).done()
 
 
-def throughput_eta(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
+def throughput_eta(ticks: DataFrame, span_rows: int | None = None) -> DataFrame:
     looks = add_copied_bytes(observed(ticks, span_rows))
     return add_history_measures(looks, {"throughput"}).done()
 
 
-def stall_detection(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
+def stall_detection(ticks: DataFrame, span_rows: int | None = None) -> DataFrame:
     return add_stall(last_progress(ticks, span_rows))
 
 
@@ -320,8 +310,8 @@ def replication_delay(ticks: DataFrame) -> DataFrame:
     return add_replication_delay(ticks)
 
 
-def progress_signals(ticks: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
-    """All measures at once; without large runs one shuffle and one sort serve them all."""
+def progress_signals(ticks: DataFrame, span_rows: int | None = None) -> DataFrame:
+    """All measures at once; over whole runs one shuffle and one sort serve them all."""
     looks = add_history_measures(add_copied_bytes(observed(ticks, span_rows)))
     rows = add_last_progress(looks).done()
     return add_replication_delay(add_stall(rows)).withColumn(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from relocate.functions.hashing import hex_number, key_hash, row_text
 from relocate.operators.preflight import union_all
+from relocate.session import settle
 
 
 def reconcile_counts(source: Mapping[str, DataFrame], target: Mapping[str, DataFrame]) -> DataFrame:
@@ -113,13 +114,11 @@ def reconcile_unequal_buckets(
     """The row diff, looked for only in buckets whose fingerprints differ.
 
     Worth it when little differs; when most buckets do, :func:`reconcile_diff` alone is faster.
-    The bucket list has at most ``buckets`` rows, so it is broadcast and neither table is
-    shuffled before its equal buckets are gone.
+    The list of unequal buckets is written first: Spark then knows its size and, while it is
+    small, broadcasts it, so that neither table is shuffled before its equal buckets are gone.
     """
-    if buckets > 100_000:
-        raise ValueError("too many buckets to broadcast")
     prints = reconcile_fingerprint(source, target, keys, buckets)
-    unequal = F.broadcast(prints.filter(~F.col("equal")).select("bucket"))
+    unequal = settle(prints.filter(~F.col("equal")).select("bucket"), "buckets")
 
     def suspects(side: DataFrame) -> DataFrame:
         bucket = F.pmod(key_hash(side, keys), F.lit(buckets))

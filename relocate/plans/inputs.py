@@ -33,7 +33,7 @@ VIEWS = {
     # One observation per run and hour: few rows, however many events they come from.
     "ticks": """
         WITH a AS (
-          SELECT user_id % 10 AS run_id, date_trunc('hour', ts) AS h, max(event_id) AS last_id,
+          SELECT user_id AS run_id, date_trunc('hour', ts) AS h, max(event_id) AS last_id,
             max(us(ts)) AS max_us,
             max(CASE WHEN event_type <> 'error' THEN us(ts) END) AS last_good_us,
             sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS rows_deleted,
@@ -78,16 +78,19 @@ VIEWS = {
         SELECT * FROM {log_lines} WHERE line LIKE 'ERROR%' OR line LIKE 'WARNING%'""",
     "known_tables": """
         SELECT DISTINCT user_id AS run_id, concat('t', CAST(event_id % 12 AS STRING)) AS table_name
-        FROM {events}""",
+        FROM {events} WHERE user_id % 17 <> 4""",
     "phase_log": """
         SELECT user_id AS run_id, event_id AS seq, us(ts) AS at_us,
-          CASE event_type WHEN 'signup' THEN 'starting' WHEN 'view' THEN 'copying'
-               WHEN 'click' THEN 'replicating' WHEN 'purchase' THEN 'switched'
-               ELSE 'error' END AS phase,
+          CASE event_type WHEN 'signup' THEN CASE WHEN event_id % 2 = 0 THEN 'starting'
+                 ELSE 'ready_to_copy' END
+               WHEN 'view' THEN 'copying' WHEN 'click' THEN 'replicating'
+               WHEN 'purchase' THEN 'switched' ELSE 'error' END AS phase,
+          CASE WHEN event_id % 3 > 0 THEN event_id % 40 END AS tables_in_sync,
           CAST(NULL AS BIGINT) AS started_us,
           CASE WHEN event_type = 'purchase' THEN us(ts) END AS switched_us,
           CASE WHEN event_type = 'error' THEN us(ts) END AS completed_us,
-          CASE WHEN event_type = 'error' THEN concat(props, ' ', repeat('x', 250)) END AS error
+          CASE WHEN event_type = 'error' AND event_id % 4 > 0
+               THEN concat(props, ' ', repeat('x', 250)) END AS error
         FROM {events}""",
     "action_log": """
         SELECT user_id AS run_id, event_id AS seq, us(ts) AS at_us,
@@ -130,25 +133,35 @@ VIEWS = {
                    THEN CAST(round(value * 100) AS BIGINT)
                         * (CASE WHEN event_id % 2 = 0 THEN 2 ELSE 1 END)
                    ELSE 0 END) * 1000 AS BIGINT) AS target_bytes
-        FROM {events} GROUP BY 1, 2""",
-    # What the last status of each run said.
+        FROM {events} WHERE user_id % 13 <> 5 GROUP BY 1, 2""",
+    # What the last status of each run said; some runs have none, others no sizes or no list.
     "run_status": """
         SELECT user_id AS run_id, CAST(user_id % 15 AS BIGINT) AS tables_in_sync,
           CASE user_id % 3 WHEN 0 THEN 'finished' WHEN 1 THEN 'in-progress'
                ELSE 'unknown' END AS copy_phase
-        FROM {events} GROUP BY user_id""",
+        FROM {events} WHERE user_id % 19 <> 6 GROUP BY user_id""",
     # Tables remembered as done; some runs remember none.
     "remembered": """
         SELECT DISTINCT user_id AS run_id, concat('t', CAST(event_id % 12 AS STRING)) AS table_name
         FROM {events} WHERE event_type = 'purchase' AND user_id % 11 <> 3""",
+    # One table per order; some public ones have a twin of the same name in another schema.
     "cat_tables": """
         SELECT o_custkey AS db_id,
           CASE WHEN o_orderkey % 11 = 0 THEN 'audit' ELSE 'public' END AS schema_name,
-          concat('t', CAST(o_orderkey AS STRING)) AS table_name FROM {orders}""",
+          concat('t', CAST(o_orderkey AS STRING)) AS table_name FROM {orders}
+        UNION ALL
+        SELECT o_custkey, 'audit', concat('t', CAST(o_orderkey AS STRING)) FROM {orders}
+        WHERE o_orderkey % 5 = 0 AND o_orderkey % 11 <> 0""",
+    # Often only one of two twins has a key.
     "cat_indexes": """
-        SELECT o_custkey AS db_id, concat('t', CAST(o_orderkey AS STRING)) AS table_name,
+        SELECT o_custkey AS db_id,
+          CASE WHEN o_orderkey % 11 = 0 THEN 'audit' ELSE 'public' END AS schema_name,
+          concat('t', CAST(o_orderkey AS STRING)) AS table_name,
           o_orderstatus = 'F' AS is_primary, o_orderstatus IN ('F', 'O') AS is_unique
-        FROM {orders} WHERE o_orderkey % 3 <> 0""",
+        FROM {orders} WHERE o_orderkey % 3 <> 0
+        UNION ALL
+        SELECT o_custkey, 'audit', concat('t', CAST(o_orderkey AS STRING)), true, true FROM {orders}
+        WHERE o_orderkey % 5 = 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 2 = 0""",
     "cat_columns": """
         SELECT o.o_custkey AS db_id,
           CASE WHEN o.o_orderkey % 11 = 0 THEN 'audit' ELSE 'public' END AS schema_name,
@@ -159,14 +172,18 @@ VIEWS = {
           l.l_returnflag = 'A' AND l.l_linestatus = 'F' AS is_generated
         FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey""",
     "objects_source": """
-        SELECT o_custkey AS db_id, CASE o_orderstatus WHEN 'F' THEN 'function'
-            WHEN 'O' THEN 'view' ELSE 'extension' END AS kind,
+        SELECT o_custkey AS db_id, CASE o_orderkey % 5 WHEN 0 THEN 'function' WHEN 1 THEN 'view'
+            WHEN 2 THEN 'sequence' WHEN 3 THEN 'generated_column' ELSE 'extension' END AS kind,
+          CASE WHEN o_orderkey % 11 = 0 THEN 'audit' ELSE 'public' END AS schema_name,
           concat('o', CAST(o_orderkey AS STRING)) AS name FROM {orders}""",
     "objects_target": """
         SELECT * FROM {objects_source} WHERE CAST(substr(name, 2) AS BIGINT) % 13 <> 0
         UNION ALL
-        SELECT db_id, kind, concat('x', substr(name, 2)) FROM {objects_source}
-        WHERE CAST(substr(name, 2) AS BIGINT) % 17 = 0""",
+        SELECT db_id, kind, schema_name, concat('x', substr(name, 2)) FROM {objects_source}
+        WHERE CAST(substr(name, 2) AS BIGINT) % 17 = 0
+        UNION ALL
+        SELECT db_id, kind, 'staging', name FROM {objects_source}
+        WHERE CAST(substr(name, 2) AS BIGINT) % 13 = 0""",
     "triggers": f"""
         SELECT o_custkey AS db_id,
           concat(CASE o_orderkey % 5 WHEN 0 THEN '{RESIDUE_PREFIX}'

@@ -178,30 +178,47 @@ GENERATED = """
         SELECT db_id, table_name, string_agg(column_name, ',' ORDER BY pos) AS columns
         FROM firsts GROUP BY ALL"""
 
+GATE = """
+        SELECT t.db_id, count(*) AS tables,
+          count(*) FILTER (NOT keyed) AS tables_without_key,
+          count(*) FILTER (generated) AS tables_with_generated_columns,
+          bool_and(keyed) AS all_tables_valid
+        FROM (SELECT db_id, table_name, EXISTS (SELECT 1 FROM {cat_indexes} i
+                 WHERE i.db_id = c.db_id AND i.schema_name = c.schema_name
+                   AND i.table_name = c.table_name AND (is_primary OR is_unique)) AS keyed,
+               EXISTS (SELECT 1 FROM {cat_columns} k WHERE k.db_id = c.db_id
+                 AND k.schema_name = c.schema_name AND k.table_name = c.table_name
+                 AND is_generated) AS generated
+              FROM {cat_tables} c) t
+        GROUP BY 1"""
+
 CURRENT_TABLE = """
         WITH named AS (
           SELECT user_id AS run_id, 't' || (event_id % 13) AS table_name, min(event_id) AS place
           FROM events WHERE event_type = 'click' GROUP BY ALL),
         direct AS (
           SELECT run_id, arg_max(table_name, place) AS t FROM named
-          WHERE (run_id, table_name) IN (SELECT (run_id, table_name) FROM {known_tables})
+          WHERE (run_id, table_name) IN (SELECT (run_id, table_name) FROM KNOWN)
+            OR run_id NOT IN (SELECT run_id FROM KNOWN)
           GROUP BY 1),
         tail AS (
           SELECT user_id AS run_id, 't' || (max(event_id) % 13) AS t FROM events
           WHERE event_type = 'error' GROUP BY 1)
         SELECT r.run_id, COALESCE(d.t, CASE WHEN (r.run_id, f.t) IN (
-            SELECT (run_id, table_name) FROM {known_tables}) THEN f.t END) AS current_table
+            SELECT (run_id, table_name) FROM KNOWN)
+            OR r.run_id NOT IN (SELECT run_id FROM KNOWN) THEN f.t END) AS current_table
         FROM (SELECT DISTINCT user_id AS run_id FROM events) r
         LEFT JOIN direct d USING (run_id) LEFT JOIN tail f USING (run_id)"""
 
 TABLES_DONE = """
-        SELECT s.run_id, s.n AS total_tables,
-          CASE WHEN copy_phase = 'finished' THEN s.n ELSE least(s.n, greatest(COALESCE(d.n, 0),
+        SELECT run_id, COALESCE(s.n, 0) AS total_tables,
+          CASE WHEN copy_phase = 'finished' THEN COALESCE(s.n, 0)
+            ELSE least(COALESCE(s.n, 0), greatest(COALESCE(d.n, 0),
             CASE WHEN tables_in_sync <= s.n THEN tables_in_sync ELSE 0 END)) END AS tables_completed
         FROM (SELECT run_id, count(*) AS n FROM {table_sizes} GROUP BY 1) s
+        FULL JOIN {run_status} USING (run_id)
         LEFT JOIN (SELECT run_id, count(DISTINCT table_name) AS n FROM DONE_TABLES GROUP BY 1) d
-          USING (run_id)
-        JOIN {run_status} USING (run_id)"""
+          USING (run_id)"""
 
 BYTES_DONE = """
         WITH t AS (
@@ -212,9 +229,14 @@ BYTES_DONE = """
           FROM {table_sizes} s LEFT JOIN DONE_TABLES r
             ON r.run_id = s.run_id AND r.table_name = s.table_name GROUP BY 1),
         u AS (
-          SELECT t.*, copy_phase, CASE WHEN copy_phase = 'finished' THEN n
-            WHEN tables_in_sync <= n THEN greatest(done, tables_in_sync) ELSE done END AS complete
-          FROM t JOIN {run_status} USING (run_id)),
+          SELECT run_id, COALESCE(total, 0) AS total, COALESCE(n, 0) AS n,
+            COALESCE(finished, 0) AS finished, COALESCE(landed, 0) AS landed, copy_phase,
+            CASE WHEN copy_phase = 'finished' THEN COALESCE(n, 0)
+              WHEN tables_in_sync <= n THEN greatest(every, tables_in_sync) ELSE every END AS complete
+          FROM (SELECT t.*, least(n, COALESCE(d.m, 0)) AS every FROM t LEFT JOIN (
+              SELECT run_id, count(DISTINCT table_name) AS m FROM DONE_TABLES GROUP BY 1) d
+            USING (run_id)) t
+          FULL JOIN {run_status} USING (run_id)),
         v AS (
           SELECT *, CASE WHEN copy_phase = 'in-progress' AND landed > finished
                          THEN 'target_size_estimate'
@@ -235,7 +257,8 @@ DONE_ANYWHERE = """
       SELECT run_id, table_name FROM {remembered}
       UNION
       SELECT user_id, 't' || (event_id % 13) FROM events WHERE event_type = 'purchase'
-        AND (user_id, 't' || (event_id % 13)) IN (SELECT (run_id, table_name) FROM {known_tables}))"""
+        AND ((user_id, 't' || (event_id % 13)) IN (SELECT (run_id, table_name) FROM {table_sizes})
+             OR user_id NOT IN (SELECT run_id FROM {table_sizes})))"""
 
 ORACLES = {
     "scan_source": """
@@ -301,11 +324,13 @@ ORACLES = {
     "tables_without_key": """
         SELECT db_id, schema_name, table_name FROM {cat_tables} t
         WHERE NOT EXISTS (SELECT 1 FROM {cat_indexes} i WHERE i.db_id = t.db_id
-          AND i.table_name = t.table_name AND (is_primary OR is_unique))""",
+          AND i.schema_name = t.schema_name AND i.table_name = t.table_name
+          AND (is_primary OR is_unique))""",
     "tables_without_key_public": """
         SELECT db_id, schema_name, table_name FROM {cat_tables} t
         WHERE schema_name = 'public' AND (db_id, table_name) NOT IN (
-          SELECT (db_id, table_name) FROM {cat_indexes} WHERE is_primary OR is_unique)""",
+          SELECT (db_id, table_name) FROM {cat_indexes}
+          WHERE schema_name = 'public' AND (is_primary OR is_unique))""",
     "key_violations": "\nUNION ALL\n".join(
         f"""
         SELECT '{name}' AS table_name, '{key}' AS key, CAST(sum(n) AS BIGINT) AS rows,
@@ -322,18 +347,7 @@ ORACLES = {
             ("documents", "doc_id"),
         ]
     ),
-    "preflight_gate": """
-        SELECT t.db_id, count(*) AS tables,
-          count(*) FILTER (NOT keyed) AS tables_without_key,
-          count(*) FILTER (generated) AS tables_with_generated_columns,
-          bool_and(keyed) AS all_tables_valid
-        FROM (SELECT db_id, table_name, EXISTS (SELECT 1 FROM {cat_indexes} i
-                 WHERE i.db_id = c.db_id AND i.table_name = c.table_name
-                   AND (is_primary OR is_unique)) AS keyed,
-               EXISTS (SELECT 1 FROM {cat_columns} k WHERE k.db_id = c.db_id
-                 AND k.table_name = c.table_name AND is_generated) AS generated
-              FROM {cat_tables} c) t
-        GROUP BY 1""",
+    "preflight_gate": GATE,
     "generated_columns": GENERATED,
     "relation_size": """
         WITH sizes AS (
@@ -352,11 +366,12 @@ ORACLES = {
         UNION ALL SELECT NULL, CAST(sum(rows) AS BIGINT), CAST(sum(bytes) AS BIGINT) FROM sizes""",
     "object_diff": """
         SELECT COALESCE(s.db_id, t.db_id) AS db_id, COALESCE(s.kind, t.kind) AS kind,
-          COALESCE(s.name, t.name) AS name,
+          COALESCE(s.schema_name, t.schema_name) AS schema_name, COALESCE(s.name, t.name) AS name,
           CASE WHEN t.name IS NULL THEN 'only_source' WHEN s.name IS NULL THEN 'only_target'
                ELSE 'both' END AS side
         FROM {objects_source} s FULL JOIN {objects_target} t
-          ON s.db_id = t.db_id AND s.kind = t.kind AND s.name = t.name""",
+          ON s.db_id = t.db_id AND s.kind = t.kind AND s.schema_name = t.schema_name
+            AND s.name = t.name""",
     "invalid_encoding": """
         SELECT 'documents' AS table_name, 'text' AS column_name,
           count(*) FILTER (doc_id % 97 = 0) AS bad_rows,
@@ -389,15 +404,19 @@ ORACLES = {
     "log_completed_tables": """
         SELECT user_id AS run_id, 't' || (event_id % 13) AS table_name, 0 AS pattern_no,
           min(event_id) AS line_no
-        FROM events e WHERE event_type = 'purchase' AND (user_id, table_name) IN (
-          SELECT (run_id, table_name) FROM {known_tables})
+        FROM events e WHERE event_type = 'purchase' AND (
+          (user_id, table_name) IN (SELECT (run_id, table_name) FROM {known_tables})
+          OR user_id NOT IN (SELECT run_id FROM {known_tables}))
         GROUP BY ALL""",
-    "log_current_table": CURRENT_TABLE,
+    "log_current_table": CURRENT_TABLE.replace("KNOWN", "{known_tables}"),
     "log_current_table_fallback": """
         WITH tail AS (
           SELECT user_id AS run_id, max(event_id) FILTER (event_type = 'error') AS last
           FROM events WHERE event_type IN ('error', 'signup') GROUP BY 1)
-        SELECT t.run_id, k.table_name AS current_table FROM tail t
+        SELECT t.run_id, CASE WHEN k.table_name IS NOT NULL
+            OR t.run_id NOT IN (SELECT run_id FROM {known_tables}) THEN 't' || (t.last % 13)
+          END AS current_table
+        FROM tail t
         LEFT JOIN {known_tables} k ON k.run_id = t.run_id AND k.table_name = 't' || (t.last % 13)""",
     "filter_warnings": """
         SELECT run_id, line_no, line FROM {log_lines} WHERE line NOT LIKE 'WARNING:%'""",
@@ -457,14 +476,16 @@ ORACLES = {
         WITH named AS ({GENERATED})
         SELECT db_id, 'generated_columns' AS finding, table_name, columns FROM named
         UNION ALL
-        SELECT db_id, 'no_key', table_name, NULL FROM {{cat_tables}} t
-        WHERE schema_name = 'public' AND NOT EXISTS (SELECT 1 FROM {{cat_indexes}} i
-          WHERE i.db_id = t.db_id AND i.table_name = t.table_name AND (is_primary OR is_unique))""",
+        SELECT db_id, 'no_key', replace(schema_name || '.' || table_name, 'public.', ''), NULL
+        FROM {{cat_tables}} t
+        WHERE NOT EXISTS (SELECT 1 FROM {{cat_indexes}} i
+          WHERE i.db_id = t.db_id AND i.schema_name = t.schema_name
+            AND i.table_name = t.table_name AND (is_primary OR is_unique))""",
     "observation": f"""
         WITH {DONE_ANYWHERE},
         counted AS ({TABLES_DONE.replace("DONE_TABLES", "done")}),
         bytes AS ({BYTES_DONE.replace("DONE_TABLES", "done")}),
-        current AS ({CURRENT_TABLE})
+        current AS ({CURRENT_TABLE.replace("KNOWN", "{table_sizes}")})
         SELECT r.run_id, r.tables_in_sync, r.copy_phase, total_tables, tables_completed, total_bytes,
           copied_bytes AS raw_copied_bytes, estimate_mode AS raw_mode, current_table
         FROM {{run_status}} r LEFT JOIN counted USING (run_id) LEFT JOIN bytes USING (run_id)
@@ -472,24 +493,54 @@ ORACLES = {
     "status_record": f"""
         WITH looks AS (SELECT * REPLACE (
             CAST(floor(last_good_us / 1000000.0) AS BIGINT) * 1000000 AS last_good_us)
-          FROM {{ticks}}), {HEALTH}, {READINESS}, {COPIED}, {MOVED_ON}, {TREND}, {RATE}
-        SELECT r.run_id, r.tick, r.phase, r.readiness, r.tables_completed, s.copied_bytes,
-          s.percent, s.estimate_mode,
+          FROM {{ticks}}), {HEALTH}, {COPIED}, {MOVED_ON}, {TREND}, {RATE},
+        stored AS (
+          SELECT * REPLACE (CASE WHEN tick % 5 = 1 AND phase = 'replicating' THEN 'copying'
+              WHEN tick % 11 = 3 THEN 'switched' WHEN tick % 11 = 5 THEN 'ready_to_copy'
+              ELSE phase END AS phase) FROM judged),
+        begun AS (
+          SELECT *, phase = 'ready_to_copy' AND copy_phase = 'in-progress'
+              AND state <> 'not-yet-started' AS began FROM stored),
+        moved AS (
+          SELECT * REPLACE (CASE WHEN began THEN 'copying'
+              WHEN phase = 'copying' AND copy_phase = 'finished' AND replication_ok
+              THEN 'replicating' ELSE phase END AS phase),
+            CASE WHEN began THEN 'initial_copy' WHEN phase = 'copying' AND copy_phase = 'finished'
+              THEN CASE WHEN replication_ok THEN 'running' ELSE 'copy_health_check_failed' END
+              END AS run_state FROM begun),
+        r AS (
+          SELECT *, phase IN ('copying', 'replicating') AS live,
+            phase IN ('replicating', 'switched') AS landed,
+            CASE WHEN phase = 'ready_to_copy' THEN 'not_ready' WHEN phase = 'switched' THEN 'ready'
+              WHEN copy_phase <> 'finished' THEN 'blocked' WHEN NOT replication_ok THEN 'warning'
+              ELSE 'ready' END AS readiness FROM moved)
+        SELECT r.run_id, r.tick, r.phase, r.run_state AS state, r.tick * 2 AS started_us,
+          r.state AS reported_state, r.rows_changed * 1234 AS rows_changed, r.last_error,
+          r.readiness, r.tables_completed, s.copied_bytes, s.percent, s.estimate_mode,
           CAST(floor((r.obs_us - r.last_good_us) / 1000000.0) AS BIGINT)
             AS seconds_since_last_good,
           t.backlog_trend,
           CASE WHEN NOT replication_ok THEN 'blocked' WHEN recent_good THEN 'healthy'
                ELSE 'degraded' END AS health_state,
-          CASE WHEN r.copy_phase <> 'finished' THEN 'initial_copy_not_finished'
+          CASE WHEN live AND r.copy_phase <> 'finished' THEN 'initial_copy_not_finished'
                WHEN NOT replication_ok THEN 'replication_not_healthy' END AS blocker_reason,
-          CAST(round(rate) AS BIGINT) AS bytes_per_min, s.no_progress_minutes >= 10 AS stalled,
-          CASE WHEN r.phase = 'copying' THEN 'complete,complete,current,pending,'
-               ELSE 'complete,complete,complete,complete,' END
+          CAST(round(rate) AS BIGINT) AS bytes_per_min,
+          live AND s.no_progress_minutes >= 10 AS stalled,
+          'complete,complete,' || CASE WHEN r.copy_phase = 'in-progress' THEN 'current,'
+               WHEN landed THEN 'complete,' ELSE 'pending,' END
+            || CASE WHEN r.copy_phase = 'finished' OR landed THEN 'complete,' ELSE 'pending,' END
             || CASE WHEN replication_ok AND recent_good THEN 'complete'
-                    WHEN r.phase = 'copying' THEN 'pending' ELSE 'current' END AS steps,
+                    WHEN landed THEN 'current' ELSE 'pending' END AS steps,
           CAST((length(steps) - length(replace(steps, 'complete', ''))) / 8 AS BIGINT) AS completed
-        FROM ready r JOIN stalls s USING (run_id, tick) JOIN trends t USING (run_id, tick)
+        FROM r JOIN stalls s USING (run_id, tick) JOIN trends t USING (run_id, tick)
           JOIN rates g USING (run_id, tick)""",
+    "progress_signals_split": f"""
+        WITH {LOOKS}, {COPIED}, {MOVED_ON}, {TREND}, {RATE}
+        SELECT s.run_id, s.tick, s.copied_bytes, s.estimate_mode, s.percent, s.advanced,
+          s.last_progress_us, t.backlog_trend, CAST(round(rate) AS BIGINT) AS bytes_per_min,
+          CAST(s.no_progress_minutes AS DOUBLE) AS no_progress_minutes,
+          s.no_progress_minutes >= 10 AS stalled
+        FROM stalls s JOIN trends t USING (run_id, tick) JOIN rates g USING (run_id, tick)""",
     "state_upsert": """
         WITH edges AS (SELECT run_id, min(seq) AS first_seq, max(seq) AS seq FROM {phase_log}
                        GROUP BY 1)
@@ -513,18 +564,21 @@ ORACLES = {
                WHEN phase = 'copying' AND copy_phase = 'unknown' THEN 'copy_status_ambiguous'
                END AS next_state
         FROM begun""",
-    "action_guard": """
-        WITH log AS (
+    "action_guard": f"""
+        WITH gate AS ({GATE}), log AS (
           SELECT run_id, seq, action, COALESCE(lag(phase) OVER (PARTITION BY run_id ORDER BY seq),
-            'unknown') AS phase FROM {action_log})
-        SELECT *, (action, phase) IN (('start', 'waiting'), ('start', 'unknown'),
-          ('start-copy', 'ready_to_copy'), ('switch', 'replicating'), ('retry', 'error'),
+            'unknown') AS phase FROM {{action_log}})
+        SELECT *, CASE WHEN action = 'start' THEN phase IN ('waiting', 'unknown')
+            AND run_id IN (SELECT db_id FROM gate WHERE all_tables_valid)
+          ELSE (action, phase) IN (('start-copy', 'ready_to_copy'), ('switch', 'replicating'), ('retry', 'error'),
           ('abort', 'ready_to_copy'), ('abort', 'copying'), ('abort', 'replicating'),
-          ('abort', 'error')) OR action = 'pause' AS accepted FROM log""",
+          ('abort', 'error')) OR action = 'pause' END AS accepted FROM log""",
     "milestones": """
         WITH log AS (
           SELECT *, lag(phase) OVER (PARTITION BY run_id ORDER BY seq) AS before FROM {phase_log})
-        SELECT run_id, seq, at_us, phase AS milestone, left(error, 200) AS detail FROM log
+        SELECT run_id, seq, at_us, phase AS milestone, CASE phase
+            WHEN 'error' THEN COALESCE(left(error, 200), 'Unknown error')
+            WHEN 'ready_to_copy' THEN tables_in_sync || ' tables' END AS detail FROM log
         WHERE phase IS DISTINCT FROM before AND (phase <> 'starting' OR before IS NULL)""",
     "switch_gate": f"""
         WITH looks AS (SELECT * FROM {{requests}}), {HEALTH}, {READINESS},

@@ -199,7 +199,6 @@ def preflight_findings(spark, sf):
         view(spark, sf, "cat_tables"),
         view(spark, sf, "cat_indexes"),
         view(spark, sf, "cat_columns"),
-        public_only=True,
     )
 
 
@@ -216,12 +215,18 @@ def relation_size(spark, sf):
     return preflight.relation_size({n: table(spark, sf, n) for n in names})
 
 
+@query
+def relation_files(spark, sf):
+    names = ["customer", "orders", "lineitem", "events", "documents", "embeddings"]
+    return preflight.relation_files({n: spark.read.parquet(f"{sf}/{n}.parquet") for n in names})
+
+
 @query
 def object_diff(spark, sf):
     return preflight.object_diff(
         view(spark, sf, "objects_source"),
         view(spark, sf, "objects_target"),
-        ["db_id", "kind", "name"],
+        ["db_id", "kind", "schema_name", "name"],
     )
 
 
@@ -398,6 +403,15 @@ def replication_delay(spark, sf):
     )
 
 
+@query
+def progress_signals_split(spark, sf):
+    """All measures over spans of some fifty looks, with the rows of whole runs."""
+    return progress.progress_signals(view(spark, sf, "ticks"), span_rows=50).select(
+        "run_id", "tick", "copied_bytes", "estimate_mode", "percent", "advanced",
+        "last_progress_us", "backlog_trend", "bytes_per_min", "no_progress_minutes", "stalled",
+    )
+
+
 @query
 def replication_health(spark, sf):
     return health.replication_health(view(spark, sf, "ticks")).select(
@@ -430,13 +444,28 @@ def observation(spark, sf):
 
 @query
 def status_record(spark, sf):
-    """From printed status text to the nested record, flattened for comparison."""
+    """From printed status text to the nested record, flattened for comparison.
+
+    What is stored of a run lags behind or is ahead of what its status says.
+    """
     s = "progress_signals"
     steps = F.col(f"{s}.event_checklist.steps")
-    return health.status_record(_parsed(spark, sf)).select(
+    stored = (
+        F.when((F.col("tick") % 5 == 1) & (F.col("phase") == "replicating"), "copying")
+        .when(F.col("tick") % 11 == 3, "switched")
+        .when(F.col("tick") % 11 == 5, "ready_to_copy")
+        .otherwise(F.col("phase"))
+    )
+    looks = _parsed(spark, sf).withColumns({"phase": stored, "started_us": F.col("tick") * 2})
+    return health.status_record(looks).select(
         "run_id",
         "tick",
         "phase",
+        "state",
+        "started_us",
+        F.col("status.state").alias("reported_state"),
+        "status.rows_changed",
+        "status.last_error",
         F.col("cutover_readiness.level").alias("readiness"),
         f"{s}.table_phase.tables_completed",
         f"{s}.byte_weighted.copied_bytes",
@@ -473,7 +502,11 @@ def action_guard(spark, sf):
     """Actions against the phase the run was in, which is that of the row before."""
     log = lifecycle.with_previous(view(spark, sf, "action_log"), {"_before": "phase"})
     now = log.withColumn("phase", F.coalesce("_before", F.lit("unknown"))).drop("_before")
-    return lifecycle.action_guard(now).select("run_id", "seq", "action", "phase", "accepted")
+    gate = preflight.preflight_gate(
+        view(spark, sf, "cat_tables"), view(spark, sf, "cat_indexes"), view(spark, sf, "cat_columns")
+    )
+    judged = lifecycle.action_guard(now, gate)
+    return judged.select("run_id", "seq", "action", "phase", "accepted")
 
 
 @query

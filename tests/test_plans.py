@@ -4,9 +4,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from relocate.operators import health, lifecycle, parse, progress, reconcile
 from relocate.plans.inputs import status_text, table, view
+from relocate.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,16 +15,16 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pairwise_joins_and_no_python(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "Arrow"):
         assert banned not in plan
 
 
 def test_scan_prunes_and_pushes_down(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
-    plan = plan_of(entry.queries()["scan_source"](spark, SF_DIR))
+    plan = plan_of(QUERIES["scan_source"](spark, SF_DIR))
     assert "GreaterThanOrEqual(l_quantity,25.0)" in plan and "EqualTo(l_returnflag,R)" in plan
     read = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
     assert {c.split(":")[0] for c in read.split(",")} == {
@@ -34,12 +34,12 @@ def test_scan_prunes_and_pushes_down(spark):
 
 def test_tails_are_cut_before_the_shuffle(spark):
     for name in ("log_tail", "error_digest"):
-        plan = plan_of(entry.queries()[name](spark, SF_DIR))
+        plan = plan_of(QUERIES[name](spark, SF_DIR))
         assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
 def test_changes_are_folded_before_the_shuffle(spark):
-    plan = plan_of(entry.queries()["cdc_apply"](spark, SF_DIR))
+    plan = plan_of(QUERIES["cdc_apply"](spark, SF_DIR))
     assert "partial_max_by" in plan
 
 

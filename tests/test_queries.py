@@ -15,10 +15,11 @@ def con():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
+    # SQL over views does not see the files behind them.
+    assert set(QUERIES) - {"relation_files"} <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"relation_files"}))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     assert differences(df, con, entry.oracle_sql()[name]) == []
