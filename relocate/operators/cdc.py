@@ -172,21 +172,24 @@ def write_fence_split(
     """All changes with ``quarantined``: committed while the run's writes were fenced off.
 
     Fences are cut into time bins, so the range test is an equi-join on run and bin. A fence
-    still up is cut at the bin it starts in and from there on compared by its start alone;
-    after merging there is at most one per run.
+    still up, or up for ages, is cut to the times the changes span, so it has no more bins than
+    they have. Merged fences of a run do not overlap, so a bin holds a list of short ones or one
+    long one.
     """
-    forever = 2**63 - 1
-    merged = merge_fences(fences, run)
-    open_ended = merged.filter(F.col("to_us") == forever).select(
-        run, F.col("from_us").alias("_open_from")
+    first, last = changes.agg(F.min(at)).scalar(), changes.agg(F.max(at)).scalar()
+    start = F.greatest(F.col("from_us"), first)
+    end = F.least(F.col("to_us"), last + 1)
+    merged = (
+        merge_fences(fences, run)
+        .select(run, start.alias("from_us"), end.alias("to_us"))
+        .filter(F.col("from_us") < F.col("to_us"))
     )
     bins = F.sequence(
         F.floor(F.col("from_us") / bin_us).cast("bigint"),
         F.floor((F.col("to_us") - 1) / bin_us).cast("bigint"),
     )
     bounded = (
-        merged.filter(F.col("to_us") < forever)
-        .select(run, F.explode(bins).alias("_bin"), "from_us", "to_us")
+        merged.select(run, F.explode(bins).alias("_bin"), "from_us", "to_us")
         .groupBy(run, "_bin")
         .agg(F.collect_list(F.struct("from_us", "to_us")).alias("_fences"))
     )
@@ -194,13 +197,8 @@ def write_fence_split(
     return (
         changes.withColumn("_bin", F.floor(F.col(at) / bin_us).cast("bigint"))
         .join(bounded, [run, "_bin"], "left")
-        .join(open_ended, [run], "left")
-        .withColumn(
-            "quarantined",
-            F.coalesce(inside, F.lit(False))
-            | F.coalesce(F.col(at) >= F.col("_open_from"), F.lit(False)),
-        )
-        .drop("_bin", "_fences", "_open_from")
+        .withColumn("quarantined", F.coalesce(inside, F.lit(False)))
+        .drop("_bin", "_fences")
     )
 
 

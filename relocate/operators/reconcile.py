@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from relocate.functions.hashing import hex_number, key_hash, row_text
+from relocate.functions.hashing import canonical, hex_number, key_hash, row_text
 from relocate.operators.preflight import union_all
 from relocate.session import settle
 
@@ -108,20 +109,39 @@ def reconcile_fingerprint(
     return left.join(right, "bucket", "full_outer").withColumn("equal", same)
 
 
+def _plain(df: DataFrame, columns: list[str]) -> list[Column]:
+    """Values to hash, with marks for nulls, which the hash would pass over."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    nested = (T.MapType, T.VariantType)
+    values = [canonical(df, c) if isinstance(kinds[c], nested) else F.col(c) for c in columns]
+    return [*values, *[F.col(c).isNull() for c in columns]]
+
+
 def reconcile_unequal_buckets(
     source: DataFrame, target: DataFrame, keys: list[str], buckets: int = 256
 ) -> DataFrame:
     """The row diff, looked for only in buckets whose fingerprints differ.
 
     Worth it when little differs; when most buckets do, :func:`reconcile_diff` alone is faster.
+    A first pass sums 64-bit row hashes per bucket, which any task folds on its own; the images
+    that prove a difference are made for suspects alone.
     The list of unequal buckets is written first: Spark then knows its size and, while it is
     small, broadcasts it, so that neither table is shuffled before its equal buckets are gone.
     """
-    prints = reconcile_fingerprint(source, target, keys, buckets)
-    unequal = settle(prints.filter(~F.col("equal")).select("bucket"), "buckets")
+    columns = sorted(source.columns)
+
+    def bucketed(side: DataFrame) -> DataFrame:
+        return side.withColumn("_bucket", F.pmod(F.xxhash64(*_plain(side, keys)), F.lit(buckets)))
+
+    def summed(side: DataFrame, sign: int) -> DataFrame:
+        image = F.xxhash64(*_plain(side, columns)).cast("decimal(20,0)")
+        return bucketed(side).select("_bucket", (image * sign).alias("_v"), F.lit(sign).alias("_n"))
+
+    sums = summed(source, 1).unionByName(summed(target, -1)).groupBy("_bucket")
+    sums = sums.agg(F.sum("_v").alias("_v"), F.sum("_n").alias("_n"))
+    unequal = settle(sums.filter("_v <> 0 or _n <> 0").select("_bucket"), "buckets")
 
     def suspects(side: DataFrame) -> DataFrame:
-        bucket = F.pmod(key_hash(side, keys), F.lit(buckets))
-        return side.withColumn("bucket", bucket).join(unequal, "bucket", "left_semi").drop("bucket")
+        return bucketed(side).join(unequal, "_bucket", "left_semi").drop("_bucket")
 
     return reconcile_diff(suspects(source), suspects(target), keys)

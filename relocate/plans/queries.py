@@ -21,8 +21,13 @@ from relocate.operators import (
     sizing,
 )
 from relocate.plans.inputs import RESIDUE_PREFIX, broken_text, status_text, table, view
-from relocate.session import configure, fresh_path
-from relocate.sources.snapshot import read_snapshot, snapshot_copy as copy_tables
+from relocate.session import configure, fresh_path, settle
+from relocate.sources import paths
+from relocate.sources.snapshot import (
+    read_snapshot,
+    snapshot_copy as copy_tables,
+    snapshot_position,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,7 +75,9 @@ def snapshot_copy(spark, sf):
             .agg(F.count(F.lit(1)).alias("rows"), F.sum("_i").cast("string").alias("fingerprint"))
             .select(F.lit(name).alias("table_name"), "*")
         )
-    return preflight.union_all(parts)
+    told = settle(preflight.union_all(parts), "copied")
+    paths.delete(spark, root)
+    return told
 
 
 @query
@@ -122,9 +129,12 @@ def sequence_high_water(spark, sf):
 @query
 def cdc_resume_from_snapshot(spark, sf):
     changes, start = view(spark, sf, "changes"), view(spark, sf, "snapshot")
-    half = table(spark, sf, "events").agg(F.floor(F.max("event_id") / 2).cast("bigint")).scalar()
-    copied = cdc.apply_changes(start, changes.filter(F.col("seq") <= half), KEY, PAYLOAD)
-    return cdc.resume_from_snapshot(copied, changes, half, KEY, PAYLOAD)
+    half = table(spark, sf, "events").agg(F.floor(F.max("event_id") / 2).cast("bigint")).first()[0]
+    held = cdc.apply_changes(start, changes.filter(F.col("seq") <= half), KEY, PAYLOAD)
+    root = fresh_path(spark, "snapshot")
+    copy_tables(spark, {"customer": held}, root, position=half)
+    copied, position = read_snapshot(spark, root)["customer"], snapshot_position(spark, root)
+    return cdc.resume_from_snapshot(copied, changes, position, KEY, PAYLOAD)
 
 
 @query

@@ -29,6 +29,12 @@ def byte_length(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop_path).getLength()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library wrote, with all in it."""
+    fs, hadoop_path = _open(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small control file as a string."""
     fs, hadoop_path = _open(spark, path)

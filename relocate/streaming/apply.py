@@ -66,10 +66,19 @@ def phase_table(spark: SparkSession, root: str, buckets: int = 16) -> KeyedTable
 
 
 def milestone_stream(
-    log: DataFrame, last: KeyedTable, out: str, checkpoint: str, interval: str | None = None
+    log: DataFrame,
+    last: KeyedTable,
+    out: str,
+    checkpoint: str,
+    interval: str | None = None,
+    late: str | None = None,
 ) -> StreamingQuery:
     """Write milestones of ``run_id, seq, at_us, phase, error`` rows to ``out``.
 
+    A row whose ``seq`` is not above the last one seen of its run came late: milestones told
+    since then would have to be taken back, so it goes to ``late`` (``out`` with ``-late``
+    unless named) as it is, and the batch operator over the whole log tells what it means.
+
     Each batch joins the last row seen of its runs and goes through the batch operator, so
     a run with most of a batch is split like in a batch job. A batch writes to its own
     folder, before the last rows are published: run again, it writes the same.
@@ -83,6 +92,8 @@ def milestone_stream(
         fresh = rows.join(floor, "run_id", "left").filter(
             F.col("_seen").isNull() | (F.col("seq") > F.col("_seen"))
         )
+        tardy = rows.join(floor, "run_id").filter(F.col("seq") <= F.col("_seen")).drop("_seen")
+        tardy.write.mode("overwrite").parquet(f"{late or out + '-late'}/batch={batch_id}")
         both = fresh.drop("_seen").unionByName(seen.join(runs, "run_id", "left_semi"))
         # The row carried over was told in its own batch.
         told = milestones(both).join(floor, "run_id", "left").filter(

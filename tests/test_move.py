@@ -11,7 +11,13 @@ from pyspark.sql import types as T
 
 from relocate.operators import cdc, copy, preflight, reconcile, sizing
 from relocate.sources import documents, paths, tables
-from relocate.sources.snapshot import read_snapshot, snapshot_copy, versions
+from relocate.sources.snapshot import (
+    read_snapshot,
+    snapshot_copy,
+    snapshot_position,
+    snapshot_rows,
+    versions,
+)
 
 CHANGE = "id bigint, seq bigint, op string, v string"
 KEYS, PAYLOAD = ["id"], ["v"]
@@ -282,3 +288,45 @@ def test_byte_length(spark, tmp_path):
     assert paths.byte_length(spark, str(tmp_path)) == 77
     assert paths.child_names(spark, str(tmp_path / "none")) == []
     assert os.path.exists(tmp_path / "f")
+
+
+def test_a_copy_remembers_its_position(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"v{i}") for i in range(10)], "id int, v string")
+    changes = spark.createDataFrame(
+        [(1, 5, "U", "stale"), (2, 9, "U", "new"), (3, 10, "D", None)],
+        "id int, seq long, op string, v string",
+    )
+    root = str(tmp_path / "copy")
+    snapshot_copy(spark, {"t": rows}, root, position=7)
+    assert snapshot_position(spark, root) == 7 and snapshot_rows(spark, root) == {"t": 10}
+    copied = read_snapshot(spark, root)["t"]
+    got = cdc.resume_from_snapshot(copied, changes, snapshot_position(spark, root), ["id"], ["v"])
+    assert {r.id: r.v for r in got.collect()} == {
+        **{i: f"v{i}" for i in range(10) if i not in (2, 3)}, 2: "new",
+    }
+    snapshot_copy(spark, {"t": rows}, root)
+    assert snapshot_position(spark, root) is None
+
+
+def test_a_fence_until_the_end_of_time_has_few_bins(spark):
+    year_9999 = 253_370_764_800_000_000
+    log = spark.createDataFrame([(1, 86_400_000_000 * d) for d in range(20)], "run_id int, commit_us long")
+    fences = spark.createDataFrame(
+        [(1, 86_400_000_000 * 5, year_9999), (1, 0, 1), (2, 0, None), (1, -(10**17), -5)],
+        "run_id int, from_us long, to_us long",
+    )
+    got = cdc.write_fence_split(log, fences)
+    assert [r.quarantined for r in got.orderBy("commit_us").collect()] == [True] + [False] * 4 + [True] * 15
+
+
+def test_pruned_diff_sees_nulls_and_maps(spark):
+    source = spark.sql(
+        "select id, if(id = 3, null, 'a') as x, if(id = 4, 'a', null) as y, map('k', id, 'l', 2L) as m from range(500)"
+    )
+    target = spark.sql(
+        "select id, if(id = 4, null, 'a') as x, if(id = 3, 'a', null) as y, map('l', 2L, 'k', id) as m from range(1, 500)"
+    )
+    want = reconcile.reconcile_diff(source, target, ["id"])
+    got = reconcile.reconcile_unequal_buckets(source, target, ["id"], 64)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert {r.id for r in got.collect()} == {0, 3, 4}

@@ -141,3 +141,18 @@ def test_milestones_stream_equals_batch(spark, tmp_path):
     got = spark.read.parquet(f"{out}/batch=*")
     want = lifecycle.milestones(log)
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_late_phase_rows_are_kept_apart(spark, tmp_path):
+    log = view(spark, SF_DIR, "phase_log").select("run_id", "seq", "at_us", "phase", "error")
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    last = phase_table(spark, str(tmp_path / "last"), buckets=4)
+    tardy = log.filter("seq % 7 = 3 AND seq < 500")
+    for part in (log.exceptAll(tardy), tardy):
+        part.coalesce(1).write.mode("append").parquet(folder)
+        stream = read_changes(spark, folder, log.schema)
+        milestone_stream(stream, last, out, str(tmp_path / "cp")).awaitTermination()
+    kept = spark.read.parquet(f"{out}-late/batch=*").select(*log.columns)
+    newest = log.exceptAll(tardy).groupBy("run_id").agg({"seq": "max"}).toDF("run_id", "newest")
+    late = tardy.join(newest, "run_id").filter("seq <= newest").drop("newest")
+    assert rows(kept) == rows(late.select(*log.columns)) and late.count() > 0
