@@ -110,8 +110,8 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
         .agg(F.sum("cap").alias("cap"))
         .withColumn("weight", w.weight(w.domains, F.col("domain")))
     )
-    total = leaves.agg(F.expr(f"sum(tokens) * {mix.percent} div 100").alias("budget"))
-    root = domains.join(total, F.lit(True)).withColumn("root", F.lit(0))
+    total = leaves.agg(F.expr(f"sum(tokens) * {mix.percent} div 100")).scalar()
+    root = domains.withColumns({"budget": total, "root": F.lit(0)})
     shared = _shared_out(root, ["root"]).select("domain", F.col("given").alias("budget"))
     shared = _shared_out(languages.join(shared, "domain"), ["domain"])
     shared = shared.select("domain", "language", F.col("given").alias("budget"))

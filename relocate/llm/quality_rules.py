@@ -93,13 +93,11 @@ def host_rates(judged: DataFrame, host: str) -> DataFrame:
         F.count(F.lit(1)).alias("_n"), F.sum(F.col("base_failed").cast("long")).alias("_fails")
     )
     rate = F.col("_fails") / F.col("_n")
-    prior = hosts.agg(F.avg(rate).alias("_mean"), F.var_pop(rate).alias("_var"))
-    weight = F.when(
-        F.col("_var") > 0,
-        F.least(F.greatest(F.col("_mean") * (1 - F.col("_mean")) / F.col("_var") - 1, F.lit(1.0)), F.lit(PRIOR_MAX)),
-    ).otherwise(PRIOR_MAX)
-    shrunk = (F.col("_fails") + F.col("_mean") * weight) / (F.col("_n") + weight)
-    return hosts.join(prior, F.lit(True)).select("_host", shrunk.alias("host_rate"))
+    mean, var = hosts.agg(F.avg(rate)).scalar(), hosts.agg(F.var_pop(rate)).scalar()
+    spread = F.least(F.greatest(mean * (1 - mean) / var - 1, F.lit(1.0)), F.lit(PRIOR_MAX))
+    weight = F.when(var > 0, spread).otherwise(PRIOR_MAX)
+    shrunk = (F.col("_fails") + mean * weight) / (F.col("_n") + weight)
+    return hosts.select("_host", shrunk.alias("host_rate"))
 
 
 def judge(docs: DataFrame, text: str = "text", host: str = "source", host_limit: float = HOST_LIMIT) -> DataFrame:
