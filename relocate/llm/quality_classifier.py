@@ -37,7 +37,18 @@ RIDGE = 1.0
 KEEP = 0.5
 LANG_BUCKETS, SOURCE_BUCKETS = 8, 32
 
-_KINDS = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\n\x0b\x0c\r", b"\n", b"#*$%&<>", b"|", b"!", b".,;:?", b"\"'()[]{}-_=+/\\@^~`"]
+#: Kinds of characters that the text view counts.
+_KINDS = [
+    b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    b"0123456789",
+    b" \t\n\x0b\x0c\r",
+    b"\n",
+    b"#*$%&<>",
+    b"|",
+    b"!",
+    b".,;:?",
+    b"\"'()[]{}-_=+/\\@^~`",
+]
 _TABLE = np.zeros((256, len(_KINDS)), np.float64)
 for _place, _chars in enumerate(_KINDS):
     _TABLE[list(_chars), _place] = 1.0
@@ -84,7 +95,8 @@ def page_view(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
         F.size(F.split(host, r"\.")).cast("double"),
         F.log1p(F.octet_length(whole(html)).cast("double")) / 10,
     )
-    rows = pages.select(number.alias("number"), F.struct(address.alias("address"), numbers.alias("numbers")).alias("page"))
+    page = F.struct(address.alias("address"), numbers.alias("numbers"))
+    rows = pages.select(number.alias("number"), page.alias("page"))
     return (
         rows.filter("number <> ''")
         .groupBy(F.col("number").cast("long").alias("_page_doc"))
@@ -98,7 +110,15 @@ def _one_of(value: Column, size: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: (i == place).cast("double"))
 
 
-def views(docs: DataFrame, pages: DataFrame | None, key: str, text: str, lang: str, source: str, n_chars: str) -> DataFrame:
+def views(
+    docs: DataFrame,
+    pages: DataFrame | None,
+    key: str,
+    text: str,
+    lang: str,
+    source: str,
+    n_chars: str,
+) -> DataFrame:
     """``doc_id, row, text_view, meta_view`` of every row, written to the shared folder."""
     stated = F.coalesce(F.col(n_chars).cast("double"), F.lit(0.0))
     meta = F.concat(
@@ -117,7 +137,8 @@ def views(docs: DataFrame, pages: DataFrame | None, key: str, text: str, lang: s
         for b in batches:
             found = [text_view(t) for t in text_bytes(b.column(3))]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:3], pa.array(found, pa.list_(pa.float64()))], names=["doc_id", "row", "meta", "text_view"]
+                [*b.columns[:3], pa.array(found, pa.list_(pa.float64()))],
+                names=["doc_id", "row", "meta", "text_view"],
             )
 
     rows = in_batches(narrow, work, "doc_id long, row long, meta array<double>, text_view array<double>")
@@ -186,7 +207,12 @@ class CoTrained:
 
 
 def co_train(
-    text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = ROUNDS
+    text: np.ndarray,
+    meta: np.ndarray,
+    y: np.ndarray,
+    pool_text: np.ndarray,
+    pool_meta: np.ndarray,
+    rounds: int = ROUNDS,
 ) -> CoTrained | None:
     """Train on labelled rows and a pool; every fourth labelled row only calibrates.
 
@@ -220,7 +246,9 @@ def co_train(
         lines = [fit_line(x[i], labels[i], weights[i]) for i in (0, 1)]
     one = np.ones(held.sum())
     known = y[held].astype(float)
-    calibrated = [fit_line(line.odds(v[held])[:, None], known, one) for line, v in zip(lines, views, strict=True)]
+    calibrated = [
+        fit_line(line.odds(v[held])[:, None], known, one) for line, v in zip(lines, views, strict=True)
+    ]
     model = CoTrained(*lines, *calibrated, calibrated[0])
     model.both = fit_line(model._odds(text[held], meta[held]), known, one)
     return model
@@ -249,8 +277,11 @@ def _sample(found: DataFrame, labels: DataFrame, key: str, label: str) -> CoTrai
     if not picked:
         return None
     wide = [len(picked[0][n]) for n in ("text_view", "meta_view")]
-    views = [[_matrix(part, n, w) for n, w in zip(("text_view", "meta_view"), wide, strict=True)] for part in (picked, pool)]
-    return co_train(*views[0], np.array([r["_label"] for r in picked]), *views[1])
+    known_views, pool_views = (
+        [_matrix(part, n, w) for n, w in zip(("text_view", "meta_view"), wide, strict=True)]
+        for part in (picked, pool)
+    )
+    return co_train(*known_views, np.array([r["_label"] for r in picked]), *pool_views)
 
 
 def score_quality(
@@ -282,13 +313,26 @@ def score_quality(
             else:
                 x = [np.asarray(b.column(i).flatten()).reshape(n, -1) for i in (2, 3)]
                 scores = model.scores(*x)
-            yield batch(doc_id=b.column(0), row=b.column(1), score=scores[0], text_score=scores[1], meta_score=scores[2])
+            yield batch(
+                doc_id=b.column(0),
+                row=b.column(1),
+                score=scores[0],
+                text_score=scores[1],
+                meta_score=scores[2],
+            )
 
     schema = "doc_id long, row long, score double, text_score double, meta_score double"
     return found.mapInArrow(work, schema).withColumn("kept", F.col("score") >= keep)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, pages: DataFrame | None = None, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    pages: DataFrame | None = None,
+    key: str = "doc_id",
+    text: str = "text",
+    **settings,
+) -> DataFrame:
     """The rows that are kept, with all input columns."""
     good = score_quality(docs, labels, pages, key, text, **settings).filter("kept")
     good = good.select(F.col("doc_id").alias("_good_id"), F.col("row").alias("_good_row"))

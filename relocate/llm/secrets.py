@@ -143,13 +143,20 @@ def train(labelled: DataFrame, label: str = "label") -> RandomForestClassificati
     """A forest from findings with their features and a 0/1 label; None without both classes."""
     order = [F.xxhash64("finding"), *PLACE]
     halves = [labelled.filter(F.col(label) == v).orderBy(*order).limit(SAMPLE_FINDINGS) for v in (0, 1)]
-    sample = settle(halves[0].unionByName(halves[1]).select(*FEATURES, F.col(label).cast("double").alias("label")), "findings")
+    both = halves[0].unionByName(halves[1])
+    sample = settle(both.select(*FEATURES, F.col(label).cast("double").alias("label")), "findings")
     if sample.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(
-        featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt"
+        featuresCol="features",
+        labelCol="label",
+        numTrees=TREES,
+        maxDepth=DEPTH,
+        seed=SEED,
+        featureSubsetStrategy="sqrt",
     )
-    return forest.fit(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample).select("features", "label"))
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample)
+    return forest.fit(vectors.select("features", "label"))
 
 
 def judge(found: DataFrame, model: RandomForestClassificationModel | None, threshold: float = THRESHOLD) -> DataFrame:
@@ -194,5 +201,6 @@ def scan(
     if labelled is None:
         known = found.withColumn("label", format_label()).filter(sample_class(F.col("doc_id")) != 1)
     else:
-        known = found.join(labelled.groupBy("doc_id", "position").agg(F.max("label").alias("label")), ["doc_id", "position"])
+        reviewed = labelled.groupBy("doc_id", "position").agg(F.max("label").alias("label"))
+        known = found.join(reviewed, ["doc_id", "position"])
     return judge(found, train(known), threshold)

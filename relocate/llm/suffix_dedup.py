@@ -148,7 +148,14 @@ def _stretches(lo: np.ndarray, hi: np.ndarray, step: int) -> tuple[np.ndarray, .
     return row, np.maximum(number * step, lo[row]), np.minimum(number * step + step - 1, hi[row])
 
 
-def refine(context: list[bytes], anchor: np.ndarray, lo: np.ndarray, hi: np.ndarray, begin: np.ndarray, step: int) -> tuple[np.ndarray, Rows]:
+def refine(
+    context: list[bytes],
+    anchor: np.ndarray,
+    lo: np.ndarray,
+    hi: np.ndarray,
+    begin: np.ndarray,
+    step: int,
+) -> tuple[np.ndarray, Rows]:
     """Digits two and three: windows ``lo`` to ``hi`` around each anchor, ``step`` starts a row.
 
     ``context`` holds the bytes from ``begin`` on. Returns the source row of each new row.
@@ -332,7 +339,7 @@ def _contexts(docs: DataFrame, open_cells: DataFrame) -> DataFrame:
                 hi=hi,
                 begin=lo,
                 context=pa.array(
-                    [texts[s][i : j + DEPTH] for s, i, j in zip(source.tolist(), lo.tolist(), hi.tolist(), strict=True)],
+                    [texts[s][i : j + DEPTH] for s, i, j in zip(*map(list, (source, lo, hi)), strict=True)],
                     pa.binary(),
                 ),
             )
@@ -413,7 +420,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                 ),
             )
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_bytes binary, removed array<struct<start: int, end: int>>"
+    schema = (
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_bytes binary, "
+        "removed array<struct<start: int, end: int>>"
+    )
     out = in_batches(joined.select("doc_id", "text", "spans"), work, schema)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != null_id, F.col("doc_id")))
 
