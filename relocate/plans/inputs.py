@@ -64,18 +64,29 @@ VIEWS = {
           CAST(12 AS BIGINT) AS total_tables,
           TRUE AS status_seen
         FROM b""",
-    # Log text; tables t0 to t11 are known, t12 is not.
+    # Log text in every form that names a table; t0 to t11 are known, t12 is not. Some runs only
+    # name tables in errors.
     "log_lines": """
         SELECT user_id AS run_id, event_id AS line_no, CASE event_type
-          WHEN 'click' THEN concat('copying table "public.t', CAST(event_id % 13 AS STRING), '" now')
-          WHEN 'purchase' THEN concat('finished table "t', CAST(event_id % 13 AS STRING), '" ok')
+          WHEN 'click' THEN CASE
+            WHEN user_id % 7 = 2 THEN 'copying goes on'
+            WHEN event_id % 3 = 0
+            THEN concat('copying table "public.t', CAST(event_id % 13 AS STRING), '" now')
+            WHEN event_id % 3 = 1
+            THEN concat('table "t', CAST(event_id % 13 AS STRING), '" copy started')
+            ELSE concat('onetimecopy: at t', CAST(event_id % 13 AS STRING), '"rows') END
+          WHEN 'purchase' THEN CASE WHEN event_id % 2 = 0
+            THEN concat('finished table "t', CAST(event_id % 13 AS STRING), '" ok')
+            ELSE concat('table "t', CAST(event_id % 13 AS STRING), '" done') END
           WHEN 'view' THEN 'onetimecopy: waiting'
           WHEN 'signup' THEN 'WARNING:  no privileges could be revoked for "x"'
           ELSE concat('ERROR: copy failed for table t', CAST(event_id % 13 AS STRING)) END AS line
         FROM {events}""",
-    # Logs without the lines that name a table outright, for the fallback rule.
-    "error_lines": """
-        SELECT * FROM {log_lines} WHERE line LIKE 'ERROR%' OR line LIKE 'WARNING%'""",
+    # Whole logs in which no line names a table outright, for the fallback rule.
+    "vague_lines": """
+        SELECT run_id, line_no, CASE WHEN line LIKE 'ERROR%' OR line LIKE 'WARNING%' THEN line
+            ELSE 'copying goes on' END AS line
+        FROM {log_lines}""",
     "known_tables": """
         SELECT DISTINCT user_id AS run_id, concat('t', CAST(event_id % 12 AS STRING)) AS table_name
         FROM {events} WHERE user_id % 17 <> 4""",
@@ -258,8 +269,11 @@ def with_views(sql: str) -> str:
     return re.sub(r"\{(\w+)\}", r"\1", whole)
 
 
-def status_text(ticks: DataFrame) -> DataFrame:
-    """Each tick as the text block a sync prints; rows come times 1,234 to need separators."""
+def status_text(ticks: DataFrame, odd: bool = False) -> DataFrame:
+    """Each tick as the text block a sync prints; rows come times 1,234 to need separators.
+
+    With ``odd`` some looks got no text, some an unknown copy phase and some no rows line.
+    """
     micros = F.timestamp_micros("last_good_us")
     good = F.concat(
         F.lit("Last good                : "),
@@ -280,13 +294,18 @@ def status_text(ticks: DataFrame) -> DataFrame:
         F.lit("Status                   : Active"),
         F.concat(
             F.lit("Onetimecopy              : "),
-            F.when(F.col("copy_phase") == "in-progress", "Yes").otherwise("No"),
+            F.when(F.lit(odd) & (F.col("tick") % 29 == 0), "Maybe")
+            .when(F.col("copy_phase") == "in-progress", "Yes")
+            .otherwise("No"),
         ),
-        F.concat(
-            F.lit("Rows deleted/inserted    : "),
-            thousand("rows_deleted"),
-            F.lit(" / "),
-            thousand("rows_inserted"),
+        F.when(
+            ~(F.lit(odd) & (F.col("tick") % 31 == 0)),
+            F.concat(
+                F.lit("Rows deleted/inserted    : "),
+                thousand("rows_deleted"),
+                F.lit(" / "),
+                thousand("rows_inserted"),
+            ),
         ),
         good,
         F.concat(F.lit("Last error:              : "), F.coalesce("last_error", F.lit(""))),
@@ -294,6 +313,8 @@ def status_text(ticks: DataFrame) -> DataFrame:
     )
     kept = ["run_id", "tick", "obs_us", "phase", "raw_copied_bytes", "raw_mode", "total_bytes",
             "total_tables", "tables_completed"]
+    if odd:
+        block = F.when(F.col("tick") % 23 == 0, F.when(F.col("tick") % 2 == 0, " \n")).otherwise(block)
     return ticks.select(*kept, block.alias("block"))
 
 

@@ -194,8 +194,9 @@ GATE = """
 
 CURRENT_TABLE = """
         WITH named AS (
-          SELECT user_id AS run_id, 't' || (event_id % 13) AS table_name, min(event_id) AS place
-          FROM events WHERE event_type = 'click' GROUP BY ALL),
+          SELECT user_id AS run_id, 't' || (event_id % 13) AS table_name,
+            min({'pattern': event_id % 3, 'line': event_id}) AS place
+          FROM events WHERE event_type = 'click' AND user_id % 7 <> 2 GROUP BY ALL),
         direct AS (
           SELECT run_id, arg_max(table_name, place) AS t FROM named
           WHERE (run_id, table_name) IN (SELECT (run_id, table_name) FROM KNOWN)
@@ -203,7 +204,8 @@ CURRENT_TABLE = """
           GROUP BY 1),
         tail AS (
           SELECT user_id AS run_id, 't' || (max(event_id) % 13) AS t FROM events
-          WHERE event_type = 'error' GROUP BY 1)
+          WHERE event_type = 'error'
+            OR event_type = 'click' AND user_id % 7 <> 2 AND event_id % 3 = 1 GROUP BY 1)
         SELECT r.run_id, COALESCE(d.t, CASE WHEN (r.run_id, f.t) IN (
             SELECT (run_id, table_name) FROM KNOWN)
             OR r.run_id NOT IN (SELECT run_id FROM KNOWN) THEN f.t END) AS current_table
@@ -386,24 +388,36 @@ ORACLES = {
           WHEN o_orderkey % 7 = 5 THEN 'public' || o_orderkey END AS table_name
         FROM orders""",
     "parse_status": """
-        SELECT run_id, tick, true AS status_seen, 'Active' AS active, state_raw, state,
-          CASE copy_phase WHEN 'finished' THEN 'No' ELSE 'Yes' END AS copy_phase_raw, copy_phase,
-          rows_deleted * 1234 AS rows_deleted, rows_inserted * 1234 AS rows_inserted,
-          rows_changed * 1234 AS rows_changed,
-          CAST(floor(last_good_us / 1000000.0) AS BIGINT) * 1000000 AS last_good_us,
-          last_error, tables_completed AS tables_in_sync
-        FROM {ticks}""",
+        WITH told AS (SELECT *, tick % 23 <> 0 AS seen, tick % 23 <> 0 AND tick % 31 <> 0 AS counted
+                      FROM {ticks})
+        SELECT run_id, tick, seen AS status_seen, CASE WHEN seen THEN 'Active' END AS active,
+          CASE WHEN seen THEN state_raw END AS state_raw, CASE WHEN seen THEN state END AS state,
+          CASE WHEN NOT seen THEN NULL WHEN tick % 29 = 0 THEN 'Maybe'
+               WHEN copy_phase = 'finished' THEN 'No' ELSE 'Yes' END AS copy_phase_raw,
+          CASE WHEN NOT seen THEN NULL WHEN tick % 29 = 0 THEN 'unknown' ELSE copy_phase END
+            AS copy_phase,
+          CASE WHEN counted THEN rows_deleted * 1234 END AS rows_deleted,
+          CASE WHEN counted THEN rows_inserted * 1234 END AS rows_inserted,
+          CASE WHEN counted THEN rows_changed * 1234 END AS rows_changed,
+          CASE WHEN seen THEN CAST(floor(last_good_us / 1000000.0) AS BIGINT) * 1000000 END
+            AS last_good_us,
+          CASE WHEN seen THEN last_error END AS last_error,
+          CASE WHEN seen THEN tables_completed END AS tables_in_sync
+        FROM told""",
     "normalize_state": "SELECT run_id, tick, state FROM {ticks}",
     "rows_changed": """
-        SELECT run_id, tick, rows_deleted * 1234 AS deleted, rows_inserted * 1234 AS inserted,
-          (rows_deleted + rows_inserted) * 1234 AS changed FROM {ticks}""",
+        SELECT run_id, tick, CASE WHEN counted THEN rows_deleted * 1234 END AS deleted,
+          CASE WHEN counted THEN rows_inserted * 1234 END AS inserted,
+          CASE WHEN counted THEN (rows_deleted + rows_inserted) * 1234 END AS changed
+        FROM (SELECT *, tick % 23 <> 0 AND tick % 31 <> 0 AS counted FROM {ticks})""",
     "last_error_clean": "SELECT run_id, tick, last_error FROM {ticks}",
     "safe_time": """
         SELECT event_id, CASE WHEN event_id % 4 < 2
           THEN CAST(epoch(date_trunc('second', ts)) AS BIGINT) END AS epoch_s FROM events""",
     "log_completed_tables": """
-        SELECT user_id AS run_id, 't' || (event_id % 13) AS table_name, 0 AS pattern_no,
-          min(event_id) AS line_no
+        SELECT user_id AS run_id, 't' || (event_id % 13) AS table_name,
+          CAST(min(event_id % 2) AS INTEGER) AS pattern_no,
+          COALESCE(min(event_id) FILTER (event_id % 2 = 0), min(event_id)) AS line_no
         FROM events e WHERE event_type = 'purchase' AND (
           (user_id, table_name) IN (SELECT (run_id, table_name) FROM {known_tables})
           OR user_id NOT IN (SELECT run_id FROM {known_tables}))
@@ -412,7 +426,7 @@ ORACLES = {
     "log_current_table_fallback": """
         WITH tail AS (
           SELECT user_id AS run_id, max(event_id) FILTER (event_type = 'error') AS last
-          FROM events WHERE event_type IN ('error', 'signup') GROUP BY 1)
+          FROM events GROUP BY 1)
         SELECT t.run_id, CASE WHEN k.table_name IS NOT NULL
             OR t.run_id NOT IN (SELECT run_id FROM {known_tables}) THEN 't' || (t.last % 13)
           END AS current_table
@@ -422,7 +436,7 @@ ORACLES = {
         SELECT run_id, line_no, line FROM {log_lines} WHERE line NOT LIKE 'WARNING:%'""",
     "error_digest": """
         SELECT run_id, left(array_to_string(list_reverse(max(line_parts)), ' '), 500) AS digest
-        FROM (SELECT run_id, list(line ORDER BY line_no DESC)[1:5] AS line_parts
+        FROM (SELECT run_id, list(line ORDER BY line_no DESC)[1:20] AS line_parts
               FROM {log_lines} GROUP BY 1) GROUP BY run_id""",
     "log_tail": """
         SELECT run_id, line_no, line FROM {log_lines}

@@ -260,13 +260,13 @@ def normalize_names(spark, sf):
 # --- parse -------------------------------------------------------------------------
 
 
-def _parsed(spark, sf):
-    return parse.parse_status(status_text(view(spark, sf, "ticks")))
+def _parsed(spark, sf, odd=False):
+    return parse.parse_status(status_text(view(spark, sf, "ticks"), odd))
 
 
 @query
 def parse_status(spark, sf):
-    return _parsed(spark, sf).select(
+    return _parsed(spark, sf, odd=True).select(
         "run_id", "tick", "status_seen", "active", "state_raw", "state", "copy_phase_raw",
         "copy_phase", "rows_deleted", "rows_inserted", "rows_changed", "last_good_us",
         "last_error", "tables_in_sync",
@@ -283,7 +283,7 @@ def normalize_state(spark, sf):
 @query
 def rows_changed(spark, sf):
     return (
-        status_text(view(spark, sf, "ticks"))
+        status_text(view(spark, sf, "ticks"), odd=True)
         .select("run_id", "tick", parse.rows_changed(F.col("block")).alias("_r"))
         .select("run_id", "tick", "_r.*")
     )
@@ -325,7 +325,7 @@ def log_current_table(spark, sf):
 
 @query
 def log_current_table_fallback(spark, sf):
-    return parse.log_current_table(view(spark, sf, "error_lines"), view(spark, sf, "known_tables"))
+    return parse.log_current_table(view(spark, sf, "vague_lines"), view(spark, sf, "known_tables"))
 
 
 @query
@@ -335,7 +335,7 @@ def filter_warnings(spark, sf):
 
 @query
 def error_digest(spark, sf):
-    return parse.error_digest(view(spark, sf, "log_lines"), 5)
+    return parse.error_digest(view(spark, sf, "log_lines"), 20)
 
 
 @query
