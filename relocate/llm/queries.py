@@ -20,7 +20,7 @@ from relocate.llm import (
     toxicity,
 )
 from relocate.llm.common import documents, sample_class, table, whole
-from relocate.session import configure
+from relocate.session import configure, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,12 +116,15 @@ def op8_piece_codec(spark, sf):
 
 @query
 def op9_exact_dedup(spark, sf):
-    """The group of equal texts of every document. Texts that no step had to read are hashed here."""
-    found = exact_dedup.exact_groups(documents(spark, sf, "doc_id", "text"))
+    """The group of equal texts of every document. Texts that no step had to read are hashed here.
+
+    What is known of each row is written before the groups are formed, so texts move once.
+    """
+    rows = exact_dedup.identified(documents(spark, sf, "doc_id", "text"))
     digest = F.sha2(exact_dedup.same_text(F.col("text")).cast("binary"), 256)
-    return found.select(
-        "doc_id", "keep_id", "group_size", "kept", F.coalesce("full_hash", digest).alias("text_sha256")
-    )
+    told = rows.withColumn("text_sha256", F.coalesce("full_hash", digest)).drop("text")
+    found = exact_dedup.grouped(settle(told, "identified"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 @query
