@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Size of one Arrow batch: bounds what a Python worker holds when texts are long.
-BATCH_BYTES = "4m"
+BATCH_BYTES = "2m"
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()

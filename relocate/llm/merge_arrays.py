@@ -147,8 +147,9 @@ class Merger:
             place = np.cumsum(stay) - 1
             seq, symbol, start, pair = (x[stay] for x in (seq, symbol, start, pair))
             at = place[at]
+            # One merge a sequence: no place is both beside a merge and a merge.
             before = at[at > 0] - 1
-            changed = np.union1d(at, before[seq[before] == seq[before + 1]])
+            changed = np.concatenate([before[seq[before] == seq[before + 1]], at])
             pair[changed] = self._candidates(seq, symbol, start, keys, changed)
 
     def _by_heap(self, symbol: np.ndarray, key: np.uint64) -> tuple[np.ndarray, np.ndarray]:

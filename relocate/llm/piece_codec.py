@@ -2,8 +2,8 @@
 
 Every candidate merge may be skipped by a keyed hash while the agenda is worked off, so a text
 gets another segmentation for every seed and epoch, and the same one again for the same seed.
-Every occurrence of a pre-token draws one of ``variants`` keys; what a (pre-token, key) pair
-becomes is remembered in the task. Decoding joins the text of the pieces: characters without a
+Every stretch of pre-tokens draws one of ``variants`` keys; what a pre-token becomes under a key
+is remembered in the task. Decoding joins the text of the pieces: characters without a
 piece, and a literal space mark, travel as byte pieces, so every text comes back unchanged.
 """
 
@@ -20,33 +20,33 @@ from pyspark.sql import types as T
 
 from relocate.llm.common import fresh_names, in_batches, text_bytes
 from relocate.llm.merge_arrays import Merger, mixed
-from relocate.llm.piece_model import BYTE
-from relocate.llm.token_counts import KEPT_TOKENS, STEP_TOKENS, merger, vocabulary_path
+from relocate.llm.piece_model import BYTE, PieceModel
+from relocate.llm.token_counts import merger, vocabulary_path
 
 DROPOUT = 0.1
 SEED = 42
 VARIANTS = 4
+#: Pre-tokens that draw one key together, and what a worker remembers under all keys.
+STRETCH = 16
+KEPT_TOKENS = 200_000
+STEP_TOKENS = 20_000
 IDS = "piece_ids"
 
 
-def _ids(tokens: list[tuple[str, int]], m: Merger, seed: int) -> list[bytes]:
-    """The ids of each (pre-token, key) as 32-bit numbers."""
-    texts = [t for t, _ in tokens]
-    keys = np.fromiter((xxhash.xxh64_intdigest(t.encode(), seed + 1 + v) for t, v in tokens), np.uint64, len(tokens))
-    symbols, starts, per_token = m.merge(texts, keys)
+def _ids(tokens: list[str], m: Merger, seed: int) -> list[bytes]:
+    """The ids of each pre-token under one key, as 32-bit numbers."""
+    keys = np.fromiter((xxhash.xxh64_intdigest(t.encode(), seed) for t in tokens), np.uint64, len(tokens))
+    symbols, starts, per_token = m.merge(tokens, keys)
     lone = symbols >= len(m.model.pieces)
     ids, ends = symbols.astype("<i4"), np.cumsum(per_token)
     begins = ends - per_token
-    mixed_in = np.add.reduceat(lone, begins).astype(bool) if len(texts) else []
-    out = []
-    for text, a, z, with_bytes in zip(texts, begins.tolist(), ends.tolist(), mixed_in, strict=True):
-        if not with_bytes:
-            out.append(ids[a:z].tobytes())
-            continue
+    raw = ids.tobytes()
+    out = [raw[a:z] for a, z in zip((4 * begins).tolist(), (4 * ends).tolist(), strict=True)]
+    for t in np.flatnonzero(np.add.reduceat(lone, begins)):
         row = []
-        for i in range(a, z):
-            row.extend(m.model.byte_ids[list(text[starts[i]].encode())] if lone[i] else [ids[i]])
-        out.append(np.array(row, "<i4").tobytes())
+        for i in range(begins[t], ends[t]):
+            row.extend(m.model.byte_ids[list(tokens[t][starts[i]].encode())] if lone[i] else [ids[i]])
+        out[t] = np.array(row, "<i4").tobytes()
     return out
 
 
@@ -56,26 +56,35 @@ class Encoder:
     def __init__(self, m: Merger, seed: int, variants: int):
         if np.count_nonzero(np.array(m.model.kinds) == BYTE) != 256:
             raise ValueError("decoding is lossless only with all byte pieces")
-        self.merger, self.seed, self.variants, self.known = m, seed, variants, {}
+        self.merger, self.seed, self.known = m, seed, [{} for _ in range(variants)]
 
-    def learn(self, needed: set[tuple[str, int]]) -> None:
-        new = list(needed.difference(self.known))
-        if len(self.known) + len(new) > KEPT_TOKENS:
-            self.known.clear()
+    def learn(self, variant: int, needed: set[str]) -> None:
+        known = self.known[variant]
+        new = list(needed.difference(known))
+        if len(known) + len(new) > KEPT_TOKENS // len(self.known):
+            known.clear()
             new = list(needed)
         for i in range(0, len(new), STEP_TOKENS):
             step = new[i : i + STEP_TOKENS]
-            self.known.update(zip(step, _ids(step, self.merger, self.seed), strict=True))
+            known.update(zip(step, _ids(step, self.merger, self.seed + 1 + variant), strict=True))
 
     def encode_all(self, texts: list[str], keys: list[int]) -> list[bytes]:
-        cut = []
-        model = self.merger.model
+        cut, model, variants = [], self.merger.model, len(self.known)
+        needed: list[set[str]] = [set() for _ in range(variants)]
         for text, key in zip(texts, keys, strict=True):
             tokens = model.splitter.findall((" " if model.dummy_prefix else "") + text) if text else []
-            draw = mixed(np.uint64(key) + np.arange(len(tokens), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            cut.append(list(zip(tokens, (draw % np.uint64(self.variants)).tolist(), strict=True)))
-        self.learn(set().union(*cut))
-        return [b"".join(map(self.known.__getitem__, tokens)) for tokens in cut]
+            stretches = [tokens[i : i + STRETCH] for i in range(0, len(tokens), STRETCH)]
+            place = np.arange(len(stretches), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            draw = (mixed(np.uint64(key) + place) % np.uint64(variants)).tolist()
+            for variant, stretch in zip(draw, stretches, strict=True):
+                needed[variant].update(stretch)
+            cut.append((draw, stretches))
+        for variant, tokens in enumerate(needed):
+            self.learn(variant, tokens)
+        look = [known.__getitem__ for known in self.known]
+        return [
+            b"".join([b"".join(map(look[v], stretch)) for v, stretch in zip(*row, strict=True)]) for row in cut
+        ]
 
 
 def _model(path: str | None) -> bytes:
@@ -125,6 +134,16 @@ def encode(
     return in_batches(docs, work, _with(docs, IDS, T.ArrayType(T.IntegerType())))
 
 
+_models: dict[bytes, PieceModel] = {}
+
+
+def _pieces(model: bytes) -> PieceModel:
+    """The pieces of a model file, read once in each worker; decoding needs no merges."""
+    if model not in _models:
+        _models[model] = PieceModel.parse(model)
+    return _models[model]
+
+
 def decode(
     rows: DataFrame, ids: str = IDS, name: str = "decoded", path: str | None = None
 ) -> DataFrame:
@@ -135,7 +154,7 @@ def decode(
     names = [*rows.columns, name]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = merger(model).model
+        m = _pieces(model)
         for b in batches:
             texts = []
             for row in b.column(at):

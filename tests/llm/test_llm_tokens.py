@@ -93,7 +93,8 @@ def plain_encode(m, text, doc_key, seed, variants, dropout, salt):
     """A text through a textbook agenda, one pre-token at a time."""
     tokens = m.splitter.findall(" " + text) if text else []
     key = (doc_key * 0x94D049BB133111EB ^ salt) % 2**64
-    draw = mixed(np.uint64(key) + np.arange(len(tokens), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    stretch = np.arange(len(tokens), dtype=np.uint64) // np.uint64(piece_codec.STRETCH)
+    draw = mixed(np.uint64(key) + stretch * np.uint64(0x9E3779B97F4A7C15))
     score = {p: (s, i) for i, (p, s, k) in enumerate(zip(m.pieces, m.scores, m.kinds, strict=True)) if k == 1}
     limit, out = np.uint64(int(dropout * 2.0**64)), []
     a, c = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x94D049BB133111EB)
