@@ -2,8 +2,8 @@
 
 Each document is judged by its own numbers; failures are summed per host, host rates are shrunk
 with a beta prior fitted to all hosts, and documents of hosts that mostly fail go with them. Host
-sums fold in each task before the shuffle, and the way back is a join on the host that Spark may
-broadcast or split.
+sums fold in each task before the shuffle. The rates are written first, so the way back is a join
+of two plain scans, which Spark can broadcast or split where a host is large.
 """
 
 from __future__ import annotations
@@ -109,7 +109,7 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", host_limit:
     docs = fresh_names(docs, [*ADDED, "_host_of"])
     measured = measures(docs.withColumn("_host_of", whole(host)), text).drop(text)
     judged = settle(measured.withColumn("base_failed", base_failed()), "measures")
-    rates = host_rates(judged, "_host_of")
+    rates = settle(host_rates(judged, "_host_of"), "rates")
     kept = ~F.col("base_failed") & (F.col("host_rate") <= host_limit)
     joined = judged.join(rates, F.col("_host_of") == F.col("_host"))
     return joined.withColumn("kept", kept).drop("_host", "_host_of")
