@@ -2,8 +2,9 @@
 
 Every candidate merge may be skipped by a keyed hash while the agenda is worked off, so a text
 gets another segmentation for every seed and epoch, and the same one again for the same seed.
-Every stretch of pre-tokens draws one of ``variants`` keys; what a pre-token becomes under a key
-is remembered in the task. Decoding joins the text of the pieces: characters without a
+The key of a pre-token is its document and its place there, so a word that recurs is cut anew each
+time. With ``variants`` every stretch draws one of so many keys instead, and what a pre-token
+becomes under a key is remembered in the task. Decoding joins the text of the pieces: characters without a
 piece, and a literal space mark, travel as byte pieces, so every text comes back unchanged.
 """
 
@@ -25,7 +26,6 @@ from relocate.llm.token_counts import merger, vocabulary_path
 
 DROPOUT = 0.1
 SEED = 42
-VARIANTS = 4
 #: Pre-tokens that draw one key together, and what a worker remembers under all keys.
 STRETCH = 16
 KEPT_TOKENS = 200_000
@@ -33,9 +33,8 @@ STEP_TOKENS = 20_000
 IDS = "piece_ids"
 
 
-def _ids(tokens: list[str], m: Merger, seed: int) -> list[bytes]:
-    """The ids of each pre-token under one key, as 32-bit numbers."""
-    keys = np.fromiter((xxhash.xxh64_intdigest(t.encode(), seed) for t in tokens), np.uint64, len(tokens))
+def _ids(tokens: list[str], m: Merger, keys: np.ndarray) -> list[bytes]:
+    """The ids of each pre-token under its key, as 32-bit numbers."""
     symbols, starts, per_token = m.merge(tokens, keys)
     lone = symbols >= len(m.model.pieces)
     ids, ends = symbols.astype("<i4"), np.cumsum(per_token)
@@ -50,12 +49,50 @@ def _ids(tokens: list[str], m: Merger, seed: int) -> list[bytes]:
     return out
 
 
+def _lossless(m: Merger) -> None:
+    if np.count_nonzero(np.array(m.model.kinds) == BYTE) != 256:
+        raise ValueError("decoding is lossless only with all byte pieces")
+
+
+class PlaceEncoder:
+    """Encodes texts with a key of its own for every pre-token: the text's key and the place."""
+
+    def __init__(self, m: Merger):
+        _lossless(m)
+        self.merger = m
+
+    def encode_all(self, texts: list[str], keys: list[int]) -> list[bytes]:
+        model, out = self.merger.model, [[] for _ in texts]
+        step: list[tuple[int, list[str], np.ndarray]] = []
+        size = 0
+
+        def work() -> None:
+            tokens = [t for _, part, _ in step for t in part]
+            ids = iter(_ids(tokens, self.merger, np.concatenate([k for _, _, k in step])))
+            for i, part, _ in step:
+                out[i].append(b"".join(next(ids) for _ in part))
+            step.clear()
+
+        for i, (text, key) in enumerate(zip(texts, keys, strict=True)):
+            tokens = model.splitter.findall((" " if model.dummy_prefix else "") + text) if text else []
+            place = np.arange(len(tokens), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            drawn = mixed(mixed(np.array([key], np.uint64)) + place)
+            for at in range(0, len(tokens), STEP_TOKENS):
+                step.append((i, tokens[at : at + STEP_TOKENS], drawn[at : at + STEP_TOKENS]))
+                size += len(step[-1][1])
+                if size >= STEP_TOKENS:
+                    work()
+                    size = 0
+        if step:
+            work()
+        return [b"".join(parts) for parts in out]
+
+
 class Encoder:
-    """Encodes texts, remembering what pre-tokens become under each key."""
+    """Encodes texts under a few shared keys, remembering what pre-tokens become under each."""
 
     def __init__(self, m: Merger, seed: int, variants: int):
-        if np.count_nonzero(np.array(m.model.kinds) == BYTE) != 256:
-            raise ValueError("decoding is lossless only with all byte pieces")
+        _lossless(m)
         self.merger, self.seed, self.known = m, seed, [{} for _ in range(variants)]
 
     def learn(self, variant: int, needed: set[str]) -> None:
@@ -66,7 +103,9 @@ class Encoder:
             new = list(needed)
         for i in range(0, len(new), STEP_TOKENS):
             step = new[i : i + STEP_TOKENS]
-            known.update(zip(step, _ids(step, self.merger, self.seed + 1 + variant), strict=True))
+            seed = self.seed + 1 + variant
+            keys = np.fromiter((xxhash.xxh64_intdigest(t.encode(), seed) for t in step), np.uint64, len(step))
+            known.update(zip(step, _ids(step, self.merger, keys), strict=True))
 
     def encode_all(self, texts: list[str], keys: list[int]) -> list[bytes]:
         cut, model, variants = [], self.merger.model, len(self.known)
@@ -110,7 +149,7 @@ def encode(
     dropout: float = DROPOUT,
     seed: int = SEED,
     epoch: int = 0,
-    variants: int = VARIANTS,
+    variants: int | None = None,
 ) -> DataFrame:
     """The input columns and ``piece_ids`` (array of int) for every row.
 
@@ -124,7 +163,8 @@ def encode(
     salt = xxhash.xxh64_intdigest(f"{seed}/{epoch}".encode(), 42)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(merger(model, dropout), seed, variants)
+        m = merger(model, dropout)
+        encoder = PlaceEncoder(m) if variants is None else Encoder(m, seed, variants)
         for b in batches:
             texts = [x.decode() for x in text_bytes(b.column(at))]
             keys = [((i or 0) * 0x94D049BB133111EB ^ salt) % 2**64 for i in b.column(id_at).to_pylist()]
