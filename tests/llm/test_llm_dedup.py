@@ -137,10 +137,16 @@ def test_one_of_each_near_group_stays(spark):
     words = [f"word{i}" for i in range(400)]
     near = [*words[:200], "changed", *words[201:]]
     rows = [(4, " ".join(words)), (2, " ".join(near)), (9, "quite another text of some words"), (9, "again"), (None, "x")]
-    docs = spark.createDataFrame([(*r, "old") for r in rows], "doc_id long, text string, fp string")
+    rows += [(9, "again"), (4, "again")]
+    docs = spark.createDataFrame([(*r, "old", 1) for r in rows], "doc_id long, text string, fp string, _near_text int")
     assert (plain_fingerprint(rows[0][1], 3) ^ plain_fingerprint(rows[1][1], 3)).bit_count() <= 3
     kept = simhash.near_dedup(docs)
-    assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "9", "None"]
+    # Two texts under one id are two documents, and of rows equal in both one stays.
+    assert sorted((str(r.doc_id), r.text[:5]) for r in kept.collect()) == [
+        ("2", "word0"), ("4", "again"), ("9", "quite"), ("None", "x")
+    ]
+    twice = spark.createDataFrame([(9, "again")] * 3 + [(9, "quite another text")], "doc_id long, text string")
+    assert sorted(simhash.near_dedup(twice).collect()) == [(9, "again"), (9, "quite another text")]
     assert kept.columns == docs.columns
     assert simhash.near_dedup(docs.limit(0)).count() == 0
 
