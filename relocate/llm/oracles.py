@@ -90,3 +90,69 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND rate <= 0.5 AS kept
 FROM b JOIN r USING (host)
 """
+
+#: The table of CRC-32 from its polynomial, and the checksum of a text of ASCII characters.
+CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1
+    THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc_values FROM range(256) r(i))"""
+
+
+def crc32(text: str) -> str:
+    steps = f"list_prepend(CAST(4294967295 AS BIGINT), [CAST(ord(x) AS BIGINT) FOR x IN string_split({text}, '')])"
+    fold = "lambda c, b: xor(c >> 8, crc_values[CAST(xor(c, b) & 255 AS INT) + 1])"
+    return f"xor(list_reduce({steps}, {fold}), 4294967295)"
+
+
+def _merkle_tree(name: str, tree: str, levels: int) -> str:
+    """Nodes per level (``<name>0`` given: ``tree, i, h``), then for each leaf its step of every level."""
+    parts = []
+    for k in range(levels):
+        parts.append(f"""{name}{k}s AS (
+  SELECT {tree}, i, h, count(*) OVER (PARTITION BY {tree}) AS n, i // 8 AS up,
+         list(h) OVER (PARTITION BY {tree}, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS run
+  FROM {name}{k}),
+{name}{k + 1} AS (
+  SELECT {tree}, up AS i, CASE WHEN any_value(n) > 1 THEN sha256(array_to_string(any_value(run), '')) ELSE any_value(h) END AS h
+  FROM {name}{k}s GROUP BY {tree}, up)""")
+    joins = "\n".join(f"  JOIN {name}{k}s s{k} ON s{k}.{tree} = l.{tree} AND s{k}.i = l.i // {8**k}" for k in range(levels))
+    steps = ", ".join(
+        f"""CASE WHEN s{k}.n > 1 THEN {{'a': array_to_string(s{k}.run[1 : s{k}.i % 8], ''),
+      'b': array_to_string(s{k}.run[s{k}.i % 8 + 2 :], '')}} END"""
+        for k in range(levels)
+    )
+    parts.append(f"""{name}path AS (
+  SELECT l.{tree}, l.i, list_filter([{steps}], lambda x: x IS NOT NULL) AS path FROM {name}0 l
+{joins})""")
+    return ",\n".join(parts)
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+ORACLES["op11_merkle_manifest"] = f"""
+WITH {CRC_TABLE},
+leaves AS (
+  SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE 'x' || lang END AS tree, {_leaf('text')} AS leaf,
+         CASE WHEN {crc32("coalesce(CAST(doc_id AS VARCHAR), '')")} % 3 = 0
+              THEN {_leaf(f"translate(text, '{UPPER}', '{UPPER.lower()}')")} END AS altered
+  FROM documents, crc_table),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+t0 AS (SELECT tree, i, leaf AS h FROM ranked),
+{_merkle_tree("t", "tree", 7)},
+r0 AS (SELECT '' AS al, tree AS name, h, row_number() OVER (ORDER BY tree) - 1 AS i FROM t7),
+{_merkle_tree("r", "al", 3)},
+whole AS (
+  SELECT doc_id, leaf, altered, r0.h AS subroot, r3.h AS root, list_concat(tpath.path, rpath.path) AS path
+  FROM ranked JOIN tpath USING (tree, i) JOIN r0 ON r0.name = ranked.tree JOIN rpath ON rpath.i = r0.i CROSS JOIN r3),
+told AS (
+  SELECT *, sha256(array_to_string([p.a || p.b FOR p IN path], '')) AS proof_sha256,
+         list_reduce(list_prepend({{'a': coalesce(altered, leaf), 'b': ''}}, path),
+           lambda x, p: {{'a': sha256(p.a || x.a || p.b), 'b': ''}}).a AS folded_root
+  FROM whole)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM told
+"""

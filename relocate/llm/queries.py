@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from relocate.llm import (
     exact_dedup,
+    merkle,
     mixing,
     piece_codec,
     quality_classifier,
@@ -135,3 +136,10 @@ def op10_quality_classifier(spark, sf):
     )
     held_out = sample_class(F.col("doc_id")) == 1
     return found.select("doc_id", held_out.alias("held_out"), "score", "text_score", "meta_score", "kept")
+
+
+@query
+def op11_merkle_manifest(spark, sf):
+    """Leaf, proof and verdict of every document; a third of them are tampered with."""
+    found = merkle.proofs(merkle.manifest(documents(spark, sf)))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
