@@ -156,3 +156,31 @@ told AS (
   FROM whole)
 SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM told
 """
+
+ORACLES["op13_prefix_trie"] = f"""
+WITH {CRC_TABLE},
+own AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+drawn AS (SELECT conv_id, turns, CAST({crc32('CAST(conv_id AS VARCHAR)')} % 6 AS INT) AS h FROM own, crc_table),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns[1:h], []), a.turns[h + 1 :]) AS turns
+  FROM drawn a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+prefixes AS (
+  SELECT conv_id, d, turns[1:d] AS seq, len(turns) = d AS ended
+  FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT seq, CAST(d AS BIGINT) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256
+  FROM prefixes GROUP BY seq, d),
+children AS (SELECT seq[1 : depth - 1] AS seq, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (seq)),
+below AS (
+  SELECT seq[1:k] AS seq, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+         sum(CASE WHEN depth > 0 THEN (n_convs - 1) * length(seq[depth].t) ELSE 0 END) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS k FROM counted) GROUP BY 1)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN below b ON b.seq = c.seq
+LEFT JOIN counted p ON c.depth > 0 AND p.seq = c.seq[1 : c.depth - 1]
+"""

@@ -12,6 +12,7 @@ from relocate.llm import (
     merkle,
     mixing,
     piece_codec,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     secrets,
@@ -143,3 +144,9 @@ def op11_merkle_manifest(spark, sf):
     """Leaf, proof and verdict of every document; a third of them are tampered with."""
     found = merkle.proofs(merkle.manifest(documents(spark, sf)))
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query
+def op13_prefix_trie(spark, sf):
+    """The trie of all conversations, rebuilt on the openings they share."""
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations"))
