@@ -184,3 +184,75 @@ SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
 FROM counted c JOIN below b ON b.seq = c.seq
 LEFT JOIN counted p ON c.depth > 0 AND p.seq = c.seq[1 : c.depth - 1]
 """
+
+
+def _level(k: int) -> str:
+    """One level of the template tree: ``t<k-1>(host, shape, n, m, g, prefix)`` to ``t<k>``."""
+    gap = "(acc.g * x.m - x.g * acc.m)::DOUBLE"
+    all_m, all_g = "(acc.m + x.m)::DOUBLE", "(acc.g + x.g)::DOUBLE"
+    same = f"{gap} * {gap} * {all_m} <= acc.m::DOUBLE * x.m::DOUBLE * {all_g} * ({all_m} - {all_g}) * 3.84::DOUBLE"
+    step = f"""CASE WHEN {same}
+      THEN {{'m': acc.m + x.m, 'g': acc.g + x.g, 'c': acc.c, 'told': list_append(acc.told, {{'token': x.token, 'c': acc.c}})}}
+      ELSE {{'m': x.m, 'g': x.g, 'c': acc.c + 1, 'told': list_append(acc.told, {{'token': x.token, 'c': acc.c + 1}})}} END"""
+    item = "STRUCT(rate DOUBLE, token VARCHAR, m BIGINT, g BIGINT, c BIGINT, told STRUCT(token VARCHAR, c BIGINT)[])"
+    return f"""c{k} AS (
+  SELECT host, prefix, string_split(shape, '/')[{k + 1}] AS seg, sum(n) AS n, sum(m) AS m, sum(g) AS g
+  FROM t{k - 1} WHERE len(string_split(shape, '/')) > {k} GROUP BY ALL),
+w{k} AS (
+  SELECT *, CASE WHEN count(*) OVER o > 1 AND (n < 2 OR n * 32 < sum(n) OVER o) THEN '*' ELSE seg END AS token,
+         sum(m) OVER o AS all_m, sum(g) OVER o AS all_g
+  FROM c{k} WINDOW o AS (PARTITION BY host, prefix)),
+f{k} AS (
+  SELECT host, prefix, token, CAST(sum(m) AS BIGINT) AS m, CAST(sum(g) AS BIGINT) AS g,
+         (sum(g) + CASE WHEN all_m > 0 THEN all_g::DOUBLE / all_m::DOUBLE ELSE 0.5::DOUBLE END * 5.0::DOUBLE)
+           / (sum(m) + 5.0::DOUBLE) AS rate
+  FROM w{k} GROUP BY host, prefix, token, all_m, all_g),
+b{k} AS (
+  SELECT host, prefix, list(CAST({{'rate': rate, 'token': token, 'm': m, 'g': g, 'c': 0,
+           'told': []}} AS {item}) ORDER BY rate, token, m, g) AS branches FROM f{k} GROUP BY host, prefix),
+m{k} AS (
+  SELECT host, prefix, list_reduce(branches, lambda acc, x: CAST({step.replace("{'m'", "{'rate': 0, 'token': '', 'm'")} AS {item}),
+           CAST({{'rate': 0, 'token': '', 'm': 0, 'g': 0, 'c': 0, 'told': []}} AS {item})).told AS told FROM b{k}),
+u{k} AS (SELECT host, prefix, told, unnest(told) AS x FROM m{k}),
+n{k} AS (
+  SELECT host, prefix, x.token AS token, CASE WHEN len(told) > 1 AND told[-1].c = 0 THEN '*'
+         ELSE array_to_string(list_sort([y.token FOR y IN told IF y.c = x.c]), '|') END AS name FROM u{k}),
+t{k} AS (
+  SELECT t.host, t.shape, t.n, t.m, t.g, CASE WHEN s.name IS NULL THEN t.prefix ELSE t.prefix || '/' || s.name END AS prefix
+  FROM t{k - 1} t LEFT JOIN (SELECT w.host, w.prefix, w.seg, n.name FROM w{k} w JOIN n{k} n USING (host, prefix, token)) s
+    ON s.host = t.host AND s.prefix = t.prefix AND s.seg = string_split(t.shape, '/')[{k + 1}])"""
+
+
+ORACLES["op12_url_filters"] = rf"""
+WITH cut AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)\A.*?://([^/?#]*)', 1), '{UPPER}', '{UPPER.lower()}') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)\A.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+formed AS (
+  SELECT *, [CASE WHEN regexp_matches(s, '\A[0-9A-Fa-f-]{{16,}}\z') THEN '{{id}}' ELSE regexp_replace(s, '[0-9]+', '{{n}}', 'g') END
+             FOR s IN string_split(path, '/')] AS parts FROM cut),
+p AS (
+  SELECT page_id, host, path, array_to_string(CASE WHEN len(parts) > 9 THEN list_append(parts[1:9], '**') ELSE parts END, '/') AS shape
+  FROM formed),
+known AS (SELECT doc_id, min(quality) AS good FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+t0 AS (
+  SELECT host, shape, count(*) AS n, count(good) AS m, coalesce(sum(good), 0) AS g, '' AS prefix
+  FROM p LEFT JOIN known ON known.doc_id = p.page_id GROUP BY host, shape),
+{", ".join(_level(k) for k in range(1, 10))},
+found AS (SELECT host, prefix, sum(m) AS m, sum(g) AS g FROM t9 GROUP BY host, prefix),
+hosts AS (
+  SELECT host, (sum(g) + (SELECT CASE WHEN sum(m) > 0 THEN sum(g)::DOUBLE / sum(m)::DOUBLE ELSE 0.5::DOUBLE END FROM found) * 5.0::DOUBLE)
+           / (sum(m) + 5.0::DOUBLE) AS rate FROM found GROUP BY host),
+judged AS (
+  SELECT host, prefix, CASE WHEN (g + rate * 5.0::DOUBLE) / (m + 5.0::DOUBLE) >= 0.7::DOUBLE THEN 'allow' ELSE 'block' END AS learned
+  FROM found JOIN hosts USING (host)),
+ruled AS (
+  SELECT p.*, t9.prefix AS template, learned,
+         CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+              WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+              WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+              WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM p JOIN t9 USING (host, shape) JOIN judged USING (host, prefix))
+SELECT page_id, host, path, rule, template, CASE rule WHEN 'net/' THEN 'block' WHEN 'example.com/de/' THEN 'block'
+         WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow' ELSE learned END AS verdict
+FROM ruled
+"""

@@ -20,6 +20,7 @@ from relocate.llm import (
     suffix_dedup,
     token_counts,
     toxicity,
+    url_filters,
 )
 from relocate.llm.common import documents, sample_class, table, whole
 from relocate.session import configure, settle
@@ -146,6 +147,13 @@ def op11_merkle_manifest(spark, sf):
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+@query
+def op12_url_filters(spark, sf):
+    """Host, path, rule and verdict of every page."""
+    found = url_filters.judge(table(spark, sf, "pages"), table(spark, sf, "labels"))
+    return found.select("page_id", "host", "path", "rule", "verdict", "template")
+
+
 @query
 def op13_prefix_trie(spark, sf):
     """The trie of all conversations, rebuilt on the openings they share."""
