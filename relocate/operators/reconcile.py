@@ -109,7 +109,7 @@ def reconcile_fingerprint(
     return left.join(right, "bucket", "full_outer").withColumn("equal", same)
 
 
-def _plain(df: DataFrame, columns: list[str]) -> list[Column]:
+def plain_values(df: DataFrame, columns: list[str]) -> list[Column]:
     """Values to hash, with marks for nulls, which the hash would pass over."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
     nested = (T.MapType, T.VariantType)
@@ -131,10 +131,10 @@ def reconcile_unequal_buckets(
     columns = sorted(source.columns)
 
     def bucketed(side: DataFrame) -> DataFrame:
-        return side.withColumn("_bucket", F.pmod(F.xxhash64(*_plain(side, keys)), F.lit(buckets)))
+        return side.withColumn("_bucket", F.pmod(F.xxhash64(*plain_values(side, keys)), F.lit(buckets)))
 
     def summed(side: DataFrame, sign: int) -> DataFrame:
-        image = F.xxhash64(*_plain(side, columns)).cast("decimal(20,0)")
+        image = F.xxhash64(*plain_values(side, columns)).cast("decimal(20,0)")
         return bucketed(side).select("_bucket", (image * sign).alias("_v"), F.lit(sign).alias("_n"))
 
     sums = summed(source, 1).unionByName(summed(target, -1)).groupBy("_bucket")

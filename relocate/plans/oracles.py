@@ -624,6 +624,10 @@ ORACLES = {
         SELECT * REPLACE (CAST(rows_missing AS BIGINT) AS rows_missing,
                           CAST(rows_extra AS BIGINT) AS rows_extra)
         FROM ({ORDER_DIFF})""",
+    "reconcile_tree": f"""
+        SELECT * REPLACE (CAST(rows_missing AS BIGINT) AS rows_missing,
+                          CAST(rows_extra AS BIGINT) AS rows_extra)
+        FROM ({ORDER_DIFF})""",
     "reconcile_fingerprint": f"""
         WITH sides AS (
           SELECT 's' AS side, {ORDER_KEY_HASH} % 256 AS bucket,

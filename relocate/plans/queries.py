@@ -12,6 +12,7 @@ from relocate.functions.hashing import hex_number, row_text
 from relocate.operators import (
     cdc,
     copy,
+    digests,
     health,
     lifecycle,
     parse,
@@ -574,6 +575,19 @@ def reconcile_rows(spark, sf):
     return reconcile.reconcile_diff(*_orders(spark, sf), ["o_orderkey"])
 
 
+@query
+def reconcile_tree(spark, sf):
+    """The same diff from two copies with digest trees: rows are read below unequal digests only."""
+    root = fresh_path(spark, "digested")
+    source, target = (
+        digests.write_digested(rows, ["o_orderkey"], f"{root}/{name}", depth=3, folder_digits=1)
+        for name, rows in zip(("source", "target"), _orders(spark, sf), strict=True)
+    )
+    told = settle(digests.reconcile_tree(source, target, spark), "diff")
+    paths.delete(spark, root)
+    return told
+
+
 @query
 def reconcile_after_apply(spark, sf):
     """Source and target differ only where the change log has not touched the row yet."""
