@@ -98,6 +98,8 @@ PHASES_AFTER_SCHEMA = [
     "ready_to_copy", "copying", "replicating", "switched", "cleaning_up", "completed",
 ]
 PHASES_WITH_READINESS = ["copying", "replicating", "switched"]
+# Phases in which a run that makes no progress is stalled.
+LIVE_PHASES = ["copying", "replicating"]
 MILESTONE_PHASES = [
     "starting", "configuring", "ready_to_copy", "copying", "replicating", "switched",
     "cleaning_up", "completed", "error",

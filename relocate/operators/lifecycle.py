@@ -99,7 +99,11 @@ def milestones(
     ``Unknown error`` without one. ``ready_to_copy`` tells the number of tables where the log
     has ``tables_in_sync``.
     """
-    prior = with_previous(log, {"_before": "phase"}, span_rows)
+    return milestones_of(with_previous(log, {"_before": "phase"}, span_rows), max_chars)
+
+
+def milestones_of(prior: DataFrame, max_chars: int | None = fixed.MILESTONE_CHARS) -> DataFrame:
+    """The milestones of rows that bring the phase of the row before along as ``_before``."""
     changed = ~F.col("phase").eqNullSafe(F.col("_before"))
     told = F.col("phase").isin(fixed.MILESTONE_PHASES) & (
         (F.col("phase") != "starting") | F.col("_before").isNull()
@@ -107,7 +111,7 @@ def milestones(
     text = F.when(F.trim("error") != "", F.col("error"))
     text = F.coalesce(text if max_chars is None else F.substring(text, 1, max_chars), F.lit(fixed.NO_ERROR_TEXT))
     detail = F.when(F.col("phase") == "error", text)
-    if "tables_in_sync" in log.columns:
+    if "tables_in_sync" in prior.columns:
         tables = F.concat(F.col("tables_in_sync").cast("string"), F.lit(" tables"))
         detail = detail.when(F.col("phase") == "ready_to_copy", tables)
     return prior.filter(changed & told).select(

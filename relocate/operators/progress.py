@@ -260,7 +260,7 @@ def add_stall(df: DataFrame) -> DataFrame:
     """
     seconds = age_seconds(F.col("obs_us"), F.col("last_progress_us"))
     minutes = F.floor((seconds + 3) / 6) / 10
-    live = F.col("phase").isin("copying", "replicating")
+    live = F.col("phase").isin(fixed.LIVE_PHASES)
     return df.withColumn("no_progress_minutes", minutes).withColumn(
         "stalled", live & (F.col("no_progress_minutes") >= fixed.STALL_MINUTES)
     )

@@ -23,6 +23,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path))
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern with ``*`` fits."""
+    fs, hadoop_path = _open(spark, pattern)
+    return sorted(str(s.getPath().toString()) for s in fs.globStatus(hadoop_path) or [])
+
+
 def byte_length(spark: SparkSession, path: str) -> int:
     """Stored bytes of a file or folder, from file metadata only."""
     fs, hadoop_path = _open(spark, path)

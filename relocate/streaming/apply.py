@@ -1,14 +1,19 @@
-"""Streaming apply of a change log, and milestones of a phase log."""
+"""Streaming apply of a change log, milestones of a phase log, and runs that fall silent."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+
+from relocate import fixed
+from relocate.operators.lifecycle import milestones_of
+from relocate.streaming.buckets import BucketedTable
 
-from relocate.operators.lifecycle import milestones
-from relocate.streaming.store import KeyedTable, exactly_once
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_changes(
@@ -27,8 +32,22 @@ def _start(writer, interval: str | None) -> StreamingQuery:
     return writer.trigger(**trigger).start()
 
 
+def first_of_repeats(
+    changes: DataFrame, delay: str, at: str = "commit_us", names: tuple[str, ...] = ("seq",)
+) -> DataFrame:
+    """Drop changes that came before, where ``names`` agree and no more than ``delay`` lies between.
+
+    What the stream remembers of a change ages out with the watermark, so state does not grow with
+    the log. The watermark also drops any change committed more than ``delay`` before the newest
+    one of earlier batches: choose ``delay`` above the disorder of the log, or leave this step out;
+    a table that changes are applied to ignores repeats by itself.
+    """
+    timed = changes.withColumn("_at", F.timestamp_micros(at)).withWatermark("_at", delay)
+    return timed.dropDuplicatesWithinWatermark(list(names)).drop("_at")
+
+
 def apply_stream(
-    changes: DataFrame, table: KeyedTable, checkpoint: str, interval: str | None = None
+    changes: DataFrame, table: BucketedTable, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
     """Keep ``table`` up to date with a change stream.
 
@@ -37,75 +56,117 @@ def apply_stream(
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        table.merge(batch_id, batch.select(*table.columns))
+        table.apply(batch_id, batch.select(*table.columns))
 
-    return _start(
-        changes.writeStream.foreachBatch(exactly_once(table, work)).option(
-            "checkpointLocation", checkpoint
-        ),
-        interval,
-    )
+    return _start(changes.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint), interval)
 
 
-PHASE_SCHEMA = (
-    T.StructType()
-    .add("run_id", "long")
-    .add("seq", "long")
-    .add("op", "string")
-    .add("at_us", "long")
-    .add("phase", "string")
-    .add("error", "string")
-)
+class PhaseBefore(StatefulProcessor):
+    """Per run, the newest ``seq`` and its phase; rows leave with the phase before them.
 
+    Rows of one run and batch are sorted here; a batch is as large as its files.
+    """
 
-def phase_table(spark: SparkSession, root: str, buckets: int = 16) -> KeyedTable:
-    """The last phase row of each run, kept between batches."""
-    return KeyedTable(
-        spark, root, ["run_id"], ["at_us", "phase", "error"], PHASE_SCHEMA, buckets
-    )
+    def init(self, handle) -> None:
+        self.newest = handle.getValueState("newest", "seq long, phase string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        seen = self.newest.get() if self.newest.exists() else None
+        last, before = seen or (None, None)
+        for r in sorted(rows, key=lambda r: r.seq):
+            late = last is not None and r.seq <= last
+            yield Row(**r.asDict(), _before=None if late else before, _late=late)
+            if not late:
+                last, before = r.seq, r.phase
+        if last is not None:
+            self.newest.update((last, before))
+
+    def close(self) -> None:
+        pass
 
 
 def milestone_stream(
-    log: DataFrame,
-    last: KeyedTable,
+    log: DataFrame, out: str, checkpoint: str, interval: str | None = None, late: str | None = None
+) -> StreamingQuery:
+    """Write milestones of ``run_id, seq, at_us, phase, error`` rows to ``out``, a folder per batch.
+
+    A row whose ``seq`` is not above the last one seen of its run came late: milestones told since
+    then would have to be taken back, so it goes to ``late`` (``out`` with ``-late`` unless named) as
+    it is, and the batch operator over the whole log tells what it means. What a run was last seen
+    in is state of the stream. A batch that runs again writes the same folder again.
+    """
+    names = ["run_id", "seq", "at_us", "phase", "error"]
+    spark = log.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    rows = log.select(*names)
+    schema = T.StructType([*rows.schema.fields, T.StructField("_before", T.StringType()), T.StructField("_late", T.BooleanType())])
+    prior = rows.groupBy("run_id").transformWithState(PhaseBefore(), schema, "append", "none")
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()
+        try:
+            tardy = held.filter("_late").select(*names)
+            tardy.write.mode("overwrite").parquet(f"{late or out + '-late'}/batch={batch_id}")
+            told = milestones_of(held.filter("not _late"))
+            told.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        finally:
+            held.unpersist()
+
+    return _start(prior.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint), interval)
+
+
+class Silence(StatefulProcessor):
+    """Per run, the newest look; a timer fires when no other look follows it in time."""
+
+    def __init__(self, minutes: float):
+        self.wait_ms = int(minutes * 60_000)
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.newest = handle.getValueState("newest", "tick long, obs_us long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        newest = max(rows, key=lambda r: r.tick)
+        if self.newest.exists() and self.newest.get()[0] >= newest.tick:
+            return
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.newest.update((newest.tick, newest.obs_us))
+        if newest.phase in fixed.LIVE_PHASES:
+            self.handle.registerTimer(newest.obs_us // 1000 + self.wait_ms)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        tick, obs_us = self.newest.get()
+        yield Row(run_id=key[0], tick=tick, obs_us=obs_us, silent_from_us=expiredTimerInfo.getExpiryTimeInMs() * 1000)
+
+    def close(self) -> None:
+        pass
+
+
+def silence_stream(
+    looks: DataFrame,
     out: str,
     checkpoint: str,
+    minutes: float = fixed.STALL_MINUTES,
+    delay: str = "0 seconds",
     interval: str | None = None,
-    late: str | None = None,
 ) -> StreamingQuery:
-    """Write milestones of ``run_id, seq, at_us, phase, error`` rows to ``out``.
+    """Write ``run_id, tick, obs_us, silent_from_us`` of runs that no look came from for ``minutes``.
 
-    A row whose ``seq`` is not above the last one seen of its run came late: milestones told
-    since then would have to be taken back, so it goes to ``late`` (``out`` with ``-late``
-    unless named) as it is, and the batch operator over the whole log tells what it means.
-
-    Each batch joins the last row seen of its runs and goes through the batch operator, so
-    a run with most of a batch is split like in a batch job. A batch writes to its own
-    folder, before the last rows are published: run again, it writes the same.
+    The batch measure sees a stall when a look says so; this one needs no look. Time is that of the
+    looks of all runs, ``delay`` behind the newest. A run is told once per silence, and only if its
+    last look had it copying or replicating.
     """
+    spark = looks.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    timed = looks.select("run_id", "tick", "obs_us", "phase", F.timestamp_micros("obs_us").alias("_at"))
+    schema = "run_id long, tick long, obs_us long, silent_from_us long"
+    silent = timed.withWatermark("_at", delay).groupBy("run_id").transformWithState(
+        Silence(minutes), schema, "append", "eventTime"
+    )
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("run_id", "seq", "at_us", "phase", "error")
-        seen = last.state().select("run_id", "seq", "at_us", "phase", "error")
-        floor = seen.select("run_id", F.col("seq").alias("_seen"))
-        runs = rows.select("run_id").distinct()
-        fresh = rows.join(floor, "run_id", "left").filter(
-            F.col("_seen").isNull() | (F.col("seq") > F.col("_seen"))
-        )
-        tardy = rows.join(floor, "run_id").filter(F.col("seq") <= F.col("_seen")).drop("_seen")
-        tardy.write.mode("overwrite").parquet(f"{late or out + '-late'}/batch={batch_id}")
-        both = fresh.drop("_seen").unionByName(seen.join(runs, "run_id", "left_semi"))
-        # The row carried over was told in its own batch.
-        told = milestones(both).join(floor, "run_id", "left").filter(
-            F.col("_seen").isNull() | (F.col("seq") > F.col("_seen"))
-        )
-        told.drop("_seen").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        last.merge(batch_id, rows.withColumn("op", F.lit("U")))
-
-    return _start(
-        log.writeStream.foreachBatch(exactly_once(last, work)).option(
-            "checkpointLocation", checkpoint
-        ),
-        interval,
-    )
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
+    return _start(silent.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint), interval)
