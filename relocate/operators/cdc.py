@@ -6,9 +6,10 @@ A change row holds the key columns, ``seq`` (unique and rising per key), ``op``
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from relocate.operators.ordered import arrange, running_sum
 from relocate.session import settle
 
 DELETE = "D"
@@ -97,6 +98,30 @@ def resume_from_snapshot(
     return apply_changes(snapshot, changes.filter(F.col(seq) > bound), keys, payload, seq, op)
 
 
+#: Positions that one folder of a stored log spans.
+LOG_SPAN = 10_000_000
+_SPAN = "_span"
+
+
+def write_log(changes: DataFrame, path: str, span: int = LOG_SPAN, seq: str = "seq") -> None:
+    """Append changes to a log that is clustered by position: a folder per span, sorted within.
+
+    Tasks get equal shares by ranges of ``seq``, however uneven the spans are filled.
+    """
+    placed = changes.withColumn(_SPAN, F.floor(F.col(seq) / span).cast("bigint"))
+    in_order = placed.repartitionByRange(seq).sortWithinPartitions(_SPAN, seq)
+    in_order.write.mode("append").partitionBy(_SPAN).parquet(path)
+
+
+def read_log_after(
+    spark: SparkSession, path: str, position: int, span: int = LOG_SPAN, seq: str = "seq"
+) -> DataFrame:
+    """The changes after ``position``. Folders before it are not opened, and in the one that holds
+    it only the row groups that reach beyond."""
+    tail = (F.col(_SPAN) >= position // span) & (F.col(seq) > position)
+    return spark.read.parquet(path).filter(tail).drop(_SPAN)
+
+
 def overlay(base: DataFrame, last: DataFrame, keys: list[str]) -> DataFrame:
     """Of two states with one row per key, the row with the larger ``seq``; ties go to ``base``.
 
@@ -146,60 +171,32 @@ def pending_backlog(changes: DataFrame, applied: DataFrame, group: list[str]) ->
 # --- write fence -------------------------------------------------------------------
 
 
-def merge_fences(fences: DataFrame, run: str = "run_id") -> DataFrame:
-    """Disjoint intervals per run; a null ``to_us`` is a fence still up."""
-    end = F.coalesce(F.col("to_us"), F.lit(2**63 - 1))
-    order = Window.partitionBy(run).orderBy("from_us", "_end")
-    before = F.max("_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return (
-        fences.select(run, "from_us", end.alias("_end"))
-        .filter(F.col("from_us") < F.col("_end"))
-        .withColumn("_new", (before.isNull() | (F.col("from_us") > before)).cast("int"))
-        .withColumn("_group", F.sum("_new").over(order))
-        .groupBy(run, "_group")
-        .agg(F.min("from_us").alias("from_us"), F.max("_end").alias("to_us"))
-        .drop("_group")
-    )
-
-
 def write_fence_split(
     changes: DataFrame,
     fences: DataFrame,
     run: str = "run_id",
     at: str = "commit_us",
-    bin_us: int = 86_400_000_000,
+    span_rows: int | None = None,
 ) -> DataFrame:
     """All changes with ``quarantined``: committed while the run's writes were fenced off.
 
-    Fences are cut into time bins, so the range test is an equi-join on run and bin. A fence
-    still up, or up for ages, is cut to the times the changes span, so it has no more bins than
-    they have. Merged fences of a run do not overlap, so a bin holds a list of short ones or one
-    long one.
+    ``fences`` has ``from_us`` (inside) and ``to_us`` (outside, null while still up). A sweep: edges of
+    fences and changes lie in one order per run, and a running count tells how many fences are up at
+    a change, however many, long or overlapping they are. The log is read once. ``span_rows`` cuts
+    runs of very many changes into spans. A change without a time is not quarantined.
     """
-    first, last = changes.agg(F.min(at)).scalar(), changes.agg(F.max(at)).scalar()
-    start = F.greatest(F.col("from_us"), first)
-    end = F.least(F.col("to_us"), last + 1)
-    merged = (
-        merge_fences(fences, run)
-        .select(run, start.alias("from_us"), end.alias("to_us"))
-        .filter(F.col("from_us") < F.col("to_us"))
-    )
-    bins = F.sequence(
-        F.floor(F.col("from_us") / bin_us).cast("bigint"),
-        F.floor((F.col("to_us") - 1) / bin_us).cast("bigint"),
-    )
-    bounded = (
-        merged.select(run, F.explode(bins).alias("_bin"), "from_us", "to_us")
-        .groupBy(run, "_bin")
-        .agg(F.collect_list(F.struct("from_us", "to_us")).alias("_fences"))
-    )
-    inside = F.exists("_fences", lambda f: (F.col(at) >= f.from_us) & (F.col(at) < f.to_us))
-    return (
-        changes.withColumn("_bin", F.floor(F.col(at) / bin_us).cast("bigint"))
-        .join(bounded, [run, "_bin"], "left")
-        .withColumn("quarantined", F.coalesce(inside, F.lit(False)))
-        .drop("_bin", "_fences")
-    )
+    up = fences.filter(F.col("to_us").isNull() | (F.col("from_us") < F.col("to_us")))
+
+    def edge(time: str, step: int) -> DataFrame:
+        return up.filter(F.col(time).isNotNull()).select(run, (F.col(time) * 2).alias("_time"), F.lit(step).alias("_edge"))
+
+    # Edges come before changes of the same time.
+    edges = edge("from_us", 1).unionByName(edge("to_us", -1))
+    timed = changes.withColumns({"_time": F.col(at) * 2 + 1, "_edge": F.lit(0)})
+    both = timed.unionByName(edges, allowMissingColumns=True)
+    swept = running_sum(arrange(both, [run], "_time", span_rows), "_up", F.col("_edge")).done()
+    fenced = F.col("_time").isNotNull() & (F.coalesce(F.col("_up"), F.lit(0)) > 0)
+    return swept.filter("_edge = 0").withColumn("quarantined", fenced).select(*changes.columns, "quarantined")
 
 
 def cleanup_residue(

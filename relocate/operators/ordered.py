@@ -112,6 +112,26 @@ def running_max(ordered: Ordered, values: dict[str, Column], *, before: bool = F
     return ordered.having(joined.drop(*[f"_c_{name}" for name in values])).settled()
 
 
+def running_sum(ordered: Ordered, name: str, value: Column) -> Ordered:
+    """Add the sum of a value over all rows up to each row's place; rows of one place share it.
+
+    Here ``(keys, order)`` need not be unique: a span never ends inside a place.
+    """
+    frame = ordered.window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    within = F.sum(value).over(frame)
+    if not ordered.split:
+        return ordered.add({name: within})
+    earlier = (
+        Window.partitionBy(*ordered.keys).orderBy(SPAN).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    sums = ordered.rows.groupBy(*ordered.parts).agg(F.sum(value).alias("_sum"))
+    carried = sums.select(*ordered.parts, F.sum("_sum").over(earlier).alias("_carried"))
+    joined = _beside(ordered.rows, carried, ordered.parts)
+    return ordered.having(
+        joined.withColumn(name, within + F.coalesce("_carried", F.lit(0))).drop("_carried")
+    )
+
+
 def running_last(ordered: Ordered, name: str, value: Column) -> Ordered:
     """Add the latest non-null value up to each row."""
     frame = ordered.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)

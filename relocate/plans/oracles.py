@@ -305,6 +305,7 @@ ORACLES = {
         SELECT 'events', (SELECT max(event_id) FROM events), NULL,
           (SELECT max(event_id) FROM events) + 1""",
     "cdc_resume_from_snapshot": f"WITH {APPLIED} SELECT * FROM moved",
+    "cdc_resume_from_log": f"WITH {APPLIED} SELECT * FROM moved",
     "pending_backlog": """
         SELECT c.run_id, count(*) AS pending,
           count(*) FILTER (op = 'D') AS pending_deletes,

@@ -138,6 +138,21 @@ def cdc_resume_from_snapshot(spark, sf):
     return cdc.resume_from_snapshot(copied, changes, position, KEY, PAYLOAD)
 
 
+@query
+def cdc_resume_from_log(spark, sf):
+    """The same from a log stored by position: only what lies after the snapshot is read."""
+    changes, start = view(spark, sf, "changes"), view(spark, sf, "snapshot")
+    half = table(spark, sf, "events").agg(F.floor(F.max("event_id") / 2).cast("bigint")).first()[0]
+    root, span = fresh_path(spark, "log"), max(half // 8, 1)
+    cdc.write_log(changes, root, span)
+    whole = cdc.read_log_after(spark, root, -1, span)
+    held = cdc.apply_changes(start, whole.filter(F.col("seq") <= half), KEY, PAYLOAD)
+    tail = cdc.read_log_after(spark, root, half, span)
+    told = settle(cdc.apply_changes(held, tail, KEY, PAYLOAD), "resumed")
+    paths.delete(spark, root)
+    return told
+
+
 @query
 def pending_backlog(spark, sf):
     return cdc.pending_backlog(
