@@ -17,7 +17,8 @@ import numpy as np
 
 from relocate.llm.piece_model import SPACE_MARK, PieceModel
 
-NONE = np.iinfo(np.int64).max
+#: Above every rank and place; ranks are counted in steps of 2**32.
+NONE = 1 << 62
 #: Longer sequences go through a heap, whose work does not grow with the square of the length.
 LONG = 512
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -38,6 +39,8 @@ class Merger:
         self.size = model.symbols
         self.limit = np.uint64(min(int(dropout * 2.0**64), 2**64 - 1))
         self.dropout = dropout > 0
+        #: Ranks of pairs in steps of 2**32; the last entry, at -1, is that of no pair.
+        self.rank_step = np.append(model.pair_rank << 32, NONE)
         top = 0x110000
         self.char_symbol = np.full(top, self.size - 1, np.int32)
         for text, symbol in model.symbol_of.items():
@@ -70,7 +73,7 @@ class Merger:
     def _find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The merge of each pair of symbols, or -1."""
         keys = left.astype(np.int64) * self.size + right
-        out = np.full(len(keys), -1, np.int64)
+        out = np.full(len(keys), -1, np.int32)
         todo = np.arange(len(keys))
         base = mixed(keys.view(np.uint64) * _A)
         for probe in range(self.probes):
@@ -83,12 +86,19 @@ class Merger:
                 break
         return out
 
-    def _skipped(self, key: np.ndarray, start: np.ndarray, made: np.ndarray) -> np.ndarray:
+    def skipped(self, key: np.ndarray, start: np.ndarray, made: np.ndarray) -> np.ndarray:
+        """Whether a candidate is skipped, by the sequence's key, its first character and what it makes."""
         h = mixed(key + start.astype(np.uint64) * _A) ^ (made.astype(np.uint64) * _C)
         return mixed(h) < self.limit
 
-    def merge(self, texts: list[str], keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Symbols of all texts end to end, where each symbol starts, and the symbols per text."""
+    def merge(
+        self, texts: list[str], keys: np.ndarray | None = None, looked: list | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols of all texts end to end, where each symbol starts, and the symbols per text.
+
+        With ``looked`` nothing is skipped, and every candidate looked at is added to it: text, first
+        character and symbol made. Texts must not be longer than ``LONG`` then.
+        """
         count = len(texts)
         lengths = np.fromiter(map(len, texts), np.int64, count)
         chars = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
@@ -98,36 +108,39 @@ class Merger:
         for i in np.flatnonzero(lengths > LONG):
             found = self._by_heap(self.char_symbol[chars[first[i] : first[i] + lengths[i]]], keys[i])
             parts.append((np.full(len(found[0]), i), *found))
-        seq = np.repeat(np.arange(count), lengths)
-        start = np.arange(len(chars)) - first[seq]
+        seq = np.repeat(np.arange(count, dtype=np.int32), lengths)
+        start = (np.arange(len(chars)) - first[seq]).astype(np.int32)
         short = lengths[seq] <= LONG
-        self._rounds(seq[short], self.char_symbol[chars[short]], start[short], keys, parts)
+        self._rounds(seq[short], self.char_symbol[chars[short]], start[short], keys, parts, looked)
         seq = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
         order = np.argsort(seq, kind="stable")
         symbols = np.concatenate([p[1] for p in parts])[order] if parts else np.zeros(0, np.int32)
         starts = np.concatenate([p[2] for p in parts])[order] if parts else np.zeros(0, np.int64)
         return symbols, starts, np.bincount(seq, minlength=count)
 
-    def _candidates(self, seq, symbol, start, keys, at) -> np.ndarray:
+    def _candidates(self, seq, symbol, start, keys, at, looked=None) -> np.ndarray:
         """The merge that begins at each place, or -1 at the end of a sequence."""
-        pair = np.full(len(at), -1, np.int64)
+        pair = np.full(len(at), -1, np.int32)
         inside = np.flatnonzero(at + 1 < len(seq))
         inside = inside[seq[at[inside]] == seq[at[inside] + 1]]
         here = at[inside]
         pair[inside] = self._find(symbol[here], symbol[here + 1])
-        if self.dropout and len(inside):
+        if looked is not None:
+            known = inside[pair[inside] >= 0]
+            looked.append((seq[at[known]], start[at[known]], self.model.pair_symbol[pair[known]]))
+        elif self.dropout and len(inside):
             known = inside[pair[inside] >= 0]
             made = self.model.pair_symbol[pair[known]]
-            skip = self._skipped(keys[seq[at[known]]], start[at[known]], made)
+            skip = self.skipped(keys[seq[at[known]]], start[at[known]], made)
             pair[known[skip]] = -1
         return pair
 
-    def _rounds(self, seq, symbol, start, keys, parts) -> None:
-        rank_of, made_of = self.model.pair_rank, self.model.pair_symbol
-        pair = self._candidates(seq, symbol, start, keys, np.arange(len(seq)))
+    def _rounds(self, seq, symbol, start, keys, parts, looked) -> None:
+        made_of = self.model.pair_symbol
+        pair = self._candidates(seq, symbol, start, keys, np.arange(len(seq)), looked)
         while len(seq):
             head = np.flatnonzero(np.concatenate([[True], seq[1:] != seq[:-1]]))
-            cost = np.where(pair >= 0, (rank_of[pair] << 32) + np.arange(len(seq)), NONE)
+            cost = self.rank_step[pair] + np.arange(len(seq))
             least = np.minimum.reduceat(cost, head)
             going = least < NONE
             if not going.all():
@@ -150,7 +163,7 @@ class Merger:
             # One merge a sequence: no place is both beside a merge and a merge.
             before = at[at > 0] - 1
             changed = np.concatenate([before[seq[before] == seq[before + 1]], at])
-            pair[changed] = self._candidates(seq, symbol, start, keys, changed)
+            pair[changed] = self._candidates(seq, symbol, start, keys, changed, looked)
 
     def _by_heap(self, symbol: np.ndarray, key: np.uint64) -> tuple[np.ndarray, np.ndarray]:
         """One long sequence through an agenda of candidates, best first."""
@@ -178,7 +191,7 @@ class Merger:
                 found = merge_of.get(symbols[left] * self.size + symbols[right], -1)
                 if found < 0:
                     continue
-                if self.dropout and self._skipped(keys, np.array([left]), made_of[found : found + 1])[0]:
+                if self.dropout and self.skipped(keys, np.array([left]), made_of[found : found + 1])[0]:
                     continue
                 heapq.heappush(agenda, (int(rank_of[found]), left, symbols[left], symbols[right]))
         kept = np.array([i for i in range(n) if symbols[i] >= 0], np.int64)

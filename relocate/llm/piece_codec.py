@@ -3,14 +3,16 @@
 Every candidate merge may be skipped by a keyed hash while the agenda is worked off, so a text
 gets another segmentation for every seed and epoch, and the same one again for the same seed.
 The key of a pre-token is its document and its place there, so a word that recurs is cut anew each
-time. With ``variants`` every stretch draws one of so many keys instead, and what a pre-token
-becomes under a key is remembered in the task. Decoding joins the text of the pieces: characters without a
-piece, and a literal space mark, travel as byte pieces, so every text comes back unchanged.
+time. Every candidate's fate is drawn anew at every place; only where none of those that the plain
+merge looks at is skipped, which leaves the agenda as it is, the remembered plain pieces stand.
+Decoding joins the text of the pieces: characters without a piece, and a literal space mark, travel
+as byte pieces, so every text comes back unchanged.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,22 +22,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relocate.llm.common import fresh_names, in_batches, text_bytes
-from relocate.llm.merge_arrays import Merger, mixed
+from relocate.llm.merge_arrays import LONG, Merger, mixed
 from relocate.llm.piece_model import BYTE, PieceModel
 from relocate.llm.token_counts import merger, vocabulary_path
 
 DROPOUT = 0.1
 SEED = 42
-#: Pre-tokens that draw one key together, and what a worker remembers under all keys.
-STRETCH = 16
-KEPT_TOKENS = 200_000
+#: Pre-tokens merged in one step, and pre-tokens whose plain merge a worker remembers.
 STEP_TOKENS = 20_000
+KEPT_TOKENS = 200_000
 IDS = "piece_ids"
 
 
-def _ids(tokens: list[str], m: Merger, keys: np.ndarray) -> list[bytes]:
-    """The ids of each pre-token under its key, as 32-bit numbers."""
-    symbols, starts, per_token = m.merge(tokens, keys)
+def _ids(tokens: list[str], m: Merger, keys: np.ndarray | None, looked: list | None = None) -> list[bytes]:
+    """The ids of each pre-token under its key, as 32-bit numbers; see :meth:`Merger.merge`."""
+    if not tokens:
+        return []
+    symbols, starts, per_token = m.merge(tokens, keys, looked)
     lone = symbols >= len(m.model.pieces)
     ids, ends = symbols.astype("<i4"), np.cumsum(per_token)
     begins = ends - per_token
@@ -54,12 +57,70 @@ def _lossless(m: Merger) -> None:
         raise ValueError("decoding is lossless only with all byte pieces")
 
 
+class Plain:
+    """What the plain merge makes of pre-tokens, and the candidates it looks at on the way."""
+
+    def __init__(self, m: Merger):
+        self.merger = m
+        self.clear()
+
+    def clear(self) -> None:
+        self.row: dict[str, int] = {}
+        self.ids = np.empty(0, object)
+        self.ends = np.zeros(1, np.int64)
+        self.start, self.made = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def learn(self, tokens: list[str]) -> None:
+        if len(self.row) + len(tokens) > KEPT_TOKENS:
+            self.clear()
+        looked: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        ids = _ids(tokens, self.merger, None, looked)
+        self.row.update(zip(tokens, range(len(self.ids), len(self.ids) + len(tokens)), strict=True))
+        told = np.empty(len(ids), object)
+        told[:] = ids
+        self.ids = np.concatenate([self.ids, told])
+        whose, start, made = (np.concatenate(x) for x in zip(*looked, strict=True))
+        order = np.argsort(whose, kind="stable")
+        counts = np.cumsum(np.bincount(whose, minlength=len(tokens)))
+        self.ends = np.concatenate([self.ends, self.ends[-1] + counts])
+        self.start, self.made = np.concatenate([self.start, start[order]]), np.concatenate([self.made, made[order]])
+
+    def untouched(self, rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Whether no candidate that the plain merge looks at is skipped under the key."""
+        begin, count = self.ends[rows], self.ends[rows + 1] - self.ends[rows]
+        ends = np.cumsum(count)
+        flat = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + count, count)
+        skips = self.merger.skipped(np.repeat(keys, count), self.start[flat], self.made[flat])
+        total = np.concatenate([[0], np.cumsum(skips)])
+        return total[ends] == total[ends - count]
+
+
 class PlaceEncoder:
     """Encodes texts with a key of its own for every pre-token: the text's key and the place."""
 
     def __init__(self, m: Merger):
         _lossless(m)
-        self.merger = m
+        self.merger, self.plain, self.met = m, Plain(m), set()
+
+    def _encoded(self, tokens: list[str], keys: np.ndarray) -> list[bytes]:
+        """The ids of pre-tokens; those met before are merged anew only where a skip touches them."""
+        plain, met = self.plain, set(tokens)
+        new = [t for t in met.difference(plain.row) if t in self.met and len(t) <= LONG]
+        if new:
+            plain.learn(new)
+        if len(self.met) > KEPT_TOKENS:
+            self.met.clear()
+        self.met |= met
+        rows = np.fromiter(map(plain.row.get, tokens, repeat(-1)), np.int64, len(tokens))
+        known = np.flatnonzero(rows >= 0)
+        same = known[plain.untouched(rows[known], keys[known])]
+        cut = np.ones(len(tokens), bool)
+        cut[same] = False
+        others = np.flatnonzero(cut)
+        out = np.empty(len(tokens), object)
+        out[same] = plain.ids[rows[same]]
+        out[others] = _ids(list(compress(tokens, cut)), self.merger, keys[others])
+        return out.tolist()
 
     def encode_all(self, texts: list[str], keys: list[int]) -> list[bytes]:
         model, out = self.merger.model, [[] for _ in texts]
@@ -68,9 +129,10 @@ class PlaceEncoder:
 
         def work() -> None:
             tokens = [t for _, part, _ in step for t in part]
-            ids = iter(_ids(tokens, self.merger, np.concatenate([k for _, _, k in step])))
+            ids, at = self._encoded(tokens, np.concatenate([k for _, _, k in step])), 0
             for i, part, _ in step:
-                out[i].append(b"".join(next(ids) for _ in part))
+                out[i].append(b"".join(ids[at : at + len(part)]))
+                at += len(part)
             step.clear()
 
         for i, (text, key) in enumerate(zip(texts, keys, strict=True)):
@@ -88,44 +150,6 @@ class PlaceEncoder:
         return [b"".join(parts) for parts in out]
 
 
-class Encoder:
-    """Encodes texts under a few shared keys, remembering what pre-tokens become under each."""
-
-    def __init__(self, m: Merger, seed: int, variants: int):
-        _lossless(m)
-        self.merger, self.seed, self.known = m, seed, [{} for _ in range(variants)]
-
-    def learn(self, variant: int, needed: set[str]) -> None:
-        known = self.known[variant]
-        new = list(needed.difference(known))
-        if len(known) + len(new) > KEPT_TOKENS // len(self.known):
-            known.clear()
-            new = list(needed)
-        for i in range(0, len(new), STEP_TOKENS):
-            step = new[i : i + STEP_TOKENS]
-            seed = self.seed + 1 + variant
-            keys = np.fromiter((xxhash.xxh64_intdigest(t.encode(), seed) for t in step), np.uint64, len(step))
-            known.update(zip(step, _ids(step, self.merger, keys), strict=True))
-
-    def encode_all(self, texts: list[str], keys: list[int]) -> list[bytes]:
-        cut, model, variants = [], self.merger.model, len(self.known)
-        needed: list[set[str]] = [set() for _ in range(variants)]
-        for text, key in zip(texts, keys, strict=True):
-            tokens = model.splitter.findall((" " if model.dummy_prefix else "") + text) if text else []
-            stretches = [tokens[i : i + STRETCH] for i in range(0, len(tokens), STRETCH)]
-            place = np.arange(len(stretches), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            draw = (mixed(np.uint64(key) + place) % np.uint64(variants)).tolist()
-            for variant, stretch in zip(draw, stretches, strict=True):
-                needed[variant].update(stretch)
-            cut.append((draw, stretches))
-        for variant, tokens in enumerate(needed):
-            self.learn(variant, tokens)
-        look = [known.__getitem__ for known in self.known]
-        return [
-            b"".join([b"".join(map(look[v], stretch)) for v, stretch in zip(*row, strict=True)]) for row in cut
-        ]
-
-
 def _model(path: str | None) -> bytes:
     with open(path or vocabulary_path(), "rb") as f:
         return f.read()
@@ -149,7 +173,6 @@ def encode(
     dropout: float = DROPOUT,
     seed: int = SEED,
     epoch: int = 0,
-    variants: int | None = None,
 ) -> DataFrame:
     """The input columns and ``piece_ids`` (array of int) for every row.
 
@@ -164,7 +187,7 @@ def encode(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = merger(model, dropout)
-        encoder = PlaceEncoder(m) if variants is None else Encoder(m, seed, variants)
+        encoder = PlaceEncoder(m)
         for b in batches:
             texts = [x.decode() for x in text_bytes(b.column(at))]
             keys = [((i or 0) * 0x94D049BB133111EB ^ salt) % 2**64 for i in b.column(id_at).to_pylist()]

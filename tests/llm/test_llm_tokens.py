@@ -89,17 +89,16 @@ def test_token_query(spark, library):
 # --- codec -------------------------------------------------------------------------
 
 
-def plain_encode(m, text, doc_key, seed, variants, dropout, salt):
-    """A text through a textbook agenda, one pre-token at a time."""
+def plain_encode(m, text, doc_key, dropout, salt):
+    """A text through a textbook agenda, one pre-token at a time, each with the key of its place."""
     tokens = m.splitter.findall(" " + text) if text else []
     key = (doc_key * 0x94D049BB133111EB ^ salt) % 2**64
-    stretch = np.arange(len(tokens), dtype=np.uint64) // np.uint64(piece_codec.STRETCH)
-    draw = mixed(np.uint64(key) + stretch * np.uint64(0x9E3779B97F4A7C15))
+    place = np.arange(len(tokens), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    draw = mixed(mixed(np.array([key], np.uint64)) + place)
     score = {p: (s, i) for i, (p, s, k) in enumerate(zip(m.pieces, m.scores, m.kinds, strict=True)) if k == 1}
     limit, out = np.uint64(int(dropout * 2.0**64)), []
     a, c = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x94D049BB133111EB)
-    for token, v in zip(tokens, (draw % np.uint64(variants)).tolist(), strict=True):
-        token_key = np.uint64(xxhash.xxh64_intdigest(token.encode(), seed + 1 + v))
+    for token, token_key in zip(tokens, draw, strict=True):
         parts = [(i, ch.replace(" ", "▁") if ch == " " else ("" if ch == "▁" else ch)) for i, ch in enumerate(token)]
         agenda, alive = [], {i: p for i, p in parts}
 
@@ -135,13 +134,14 @@ def plain_encode(m, text, doc_key, seed, variants, dropout, salt):
 
 @pytest.mark.filterwarnings("ignore::RuntimeWarning")
 def test_dropout_is_the_plain_agenda_s(model):
-    texts = [t for t in ODD if len(t) < 2000] + noise(150, 6)
+    words = " ".join(["the international thing", "of governments"] * 40)
+    texts = [t for t in ODD if len(t) < 2000] + noise(150, 6) + [words, words]
     salt = xxhash.xxh64_intdigest(b"42/0", 42)
     keys = [((i or 0) * 0x94D049BB133111EB ^ salt) % 2**64 for i in range(len(texts))]
     for dropout in (0.1, 0.5):
-        encoder = piece_codec.Encoder(Merger(model, dropout), 42, 4)
+        encoder = piece_codec.PlaceEncoder(Merger(model, dropout))
         found = [np.frombuffer(b, "<i4").tolist() for b in encoder.encode_all(texts, keys)]
-        assert found == [plain_encode(model, t, i, 42, 4, dropout, salt) for i, t in enumerate(texts)]
+        assert found == [plain_encode(model, t, i, dropout, salt) for i, t in enumerate(texts)]
 
 
 def test_without_dropout_it_is_the_library_s(spark, library):
