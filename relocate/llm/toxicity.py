@@ -9,8 +9,8 @@ Landmark words span the feature space (Nyström); a linear machine over it is tr
 sentences. Every word of a clean document's sentences is clean. A toxic document says only that
 some sentence is toxic: training starts with the words that set toxic documents apart most, and
 moves to the words that the machine itself finds worst until that settles. A sentence is as bad
-as its worst word, a document as its worst sentence, and that value is calibrated on the training
-documents.
+as its worst word, a document as its worst sentence, and that value is calibrated on documents that
+the machine did not see.
 
 A machine over landmarks is a weighted sum of kernels, so it is the same as one weight per
 triple: scoring looks triples up in a table and never meets a landmark.
@@ -29,8 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relocate.llm.common import batch, in_batches, sample_class, whole
+from relocate.llm.common import batch, in_batches, row_key, sample_class, whole
 from relocate.llm.merge_arrays import mixed
+from relocate.session import settle
 
 GRAM = 3
 SPAN = 6
@@ -41,6 +42,8 @@ LANDMARKS = 192
 SAMPLE_DOCS = 1200
 SAMPLE_BYTES = 6000
 ROUNDS = 4
+#: Parts of the sample that are judged by a machine of the others, to calibrate the odds.
+FOLDS = 3
 #: Worst words of a toxic document that training takes as toxic, and clean words it starts with.
 WITNESSES = 2
 CLEAN_WORDS = 20_000
@@ -187,7 +190,7 @@ def _landmark_features(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return place_of, dense / _norms(np.array([len(w) + 2 for w in landmarks]))[None, :].astype(np.float32)
 
 
-def _contrast(docs: list[set[str]], labels: np.ndarray) -> dict[str, float]:
+def _contrast(docs: list[list[str]], labels: np.ndarray) -> dict[str, float]:
     """How much more often a word is in toxic documents, weighed by how sure that is."""
     toxic, clean = Counter(), Counter()
     for words, label in zip(docs, labels, strict=True):
@@ -228,18 +231,39 @@ def _calibrate(worst: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 
 
 def _garbled(word: str) -> list[str]:
-    """A toxic word as it is also written: with a foreign letter in the middle of it."""
-    cut = (len(word) + 1) // 2
-    return [f"{word[:cut]}{letter}{word[cut:]}" for letter in "xz"] if len(word) > 3 else []
+    """A toxic word as it is also written: with a foreign letter at each place inside it."""
+    cuts = range(1, len(word)) if len(word) > 3 else ()
+    return [f"{word[:cut]}{'xz'[cut % 2]}{word[cut:]}" for cut in cuts]
 
 
-def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS) -> ToxicModel:
-    """Train on labelled texts. Without both classes every text gets the share of toxic ones."""
+def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, folds: int = FOLDS) -> ToxicModel:
+    """Train on labelled texts. Without both classes every text gets the share of toxic ones.
+
+    The odds are calibrated on texts that the machine did not see: each of ``folds`` parts is judged
+    by a machine of the others. Nothing depends on anything but texts and labels in their order.
+    """
     y = np.array(labels, bool)
-    bags = [{folded(t) for s in sentences(x) for t in s} - {""} for x in texts]
+    bags = [sorted({folded(t) for s in sentences(x) for t in s} - {""}) for x in texts]
     if y.all() or not y.any() or not any(bags):
         share = float(np.clip(y.mean() if len(y) else 0.0, 0.01, 0.99))
         return ToxicModel(np.zeros(0, np.int64), np.zeros(0), 0.0, 1e-6, float(np.log(share / (1 - share))))
+    model, part = _trained(bags, y, landmarks), np.arange(len(y)) % folds
+    seen, told = [], []
+    for k in range(folds):
+        train, held = np.flatnonzero(part != k), np.flatnonzero(part == k)
+        if not len(held) or y[train].all() or not y[train].any():
+            continue
+        other = _trained([bags[i] for i in train], y[train], landmarks)
+        seen.append(Scorer(other).worst([texts[i] for i in held]) + other.bias)
+        told.append(y[held])
+    if not seen or not np.concatenate(told).any() or np.concatenate(told).all():
+        seen, told = [Scorer(model).worst(texts) + model.bias], [y]
+    model.slope, model.intercept = _calibrate(np.concatenate(seen), np.concatenate(told))
+    return model
+
+
+def _trained(bags: list[list[str]], y: np.ndarray, landmarks: int) -> ToxicModel:
+    """The machine of texts given by their folded words in order, its odds not calibrated yet."""
     contrast = _contrast(bags, y)
     apart = sorted(contrast, key=lambda w: (-contrast[w], w))[: landmarks // 2]
     common = Counter(w for b, label in zip(bags, y, strict=True) if not label for w in b)
@@ -259,7 +283,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS) -> Toxi
     draw = np.random.default_rng(42).permutation(np.flatnonzero(clean))
     against = draw[:CLEAN_WORDS]
     place_of, dense = _landmark_features(chosen)
-    beta, garbled = np.zeros(z.shape[1] + 1), []
+    beta = np.zeros(z.shape[1] + 1)
     for _ in range(ROUNDS):
         worst = [b[np.argsort(-value[b], kind="stable")[:WITNESSES]] for b in toxic_bags]
         witness = np.unique(np.concatenate(worst))
@@ -274,39 +298,37 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS) -> Toxi
         hard = np.flatnonzero(clean & (value > -0.5))
         against = np.union1d(against, hard[np.argsort(-value[hard], kind="stable")[:CLEAN_WORDS]])
     weights = dense.astype(np.float64) @ (root @ beta[:-1])
-    model = ToxicModel(np.flatnonzero(place_of >= 0), weights, float(beta[-1]), 1.0, 0.0)
-    as_written = Scorer(model).worst(texts)
-    spoilt = word_values(garbled, model.table())
-    spoilt = spoilt[spoilt > np.median(as_written[~y])]
-    worst = np.concatenate([as_written, spoilt]) + model.bias
-    model.slope, model.intercept = _calibrate(worst, np.concatenate([y, np.ones(len(spoilt), bool)]))
-    return model
+    return ToxicModel(np.flatnonzero(place_of >= 0), weights, float(beta[-1]), 1.0, 0.0)
 
 
 def training_sample(
     docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sample_docs: int, sample_bytes: int
 ) -> tuple[list[str], list[int]]:
     """Up to ``sample_docs`` labelled texts of each class outside the held-out fold, by hash of
-    their id, none longer than ``sample_bytes``. Only their ids are sent to the tasks."""
+    their id, none longer than ``sample_bytes``; longer ones do not count towards the limit. Rows
+    equal in id and text count once. Only keys of the sample are sent to the tasks."""
     known = (
         labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull() & (sample_class(F.col(key)) != 1))
         .groupBy(F.col(key).alias("_id"))
         .agg((F.max(label) > 0).cast("int").alias("_label"))
     )
+    body = whole(text)
+    short = docs.filter(F.octet_length(body) <= sample_bytes).select(F.col(key).alias("_id"), row_key(body).alias("_row"))
+    found = settle(short.distinct().join(known, "_id"), "labelled")
     ids = [
         r
         for value in (0, 1)
-        for r in known.filter(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(sample_docs).collect()
+        for r in found.filter(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id", "_row").limit(sample_docs).collect()
     ]
     if not ids:
         return [], []
-    wanted = docs.sparkSession.createDataFrame(ids, known.schema)
-    body = whole(text)
+    wanted = docs.sparkSession.createDataFrame(ids, found.schema).withColumnsRenamed({"_id": "_own", "_row": "_key"})
+    same = (F.col("_id") == F.col("_own")) & (F.col("_row") == F.col("_key"))
     rows = (
-        docs.filter(F.octet_length(body) <= sample_bytes)
-        .join(F.broadcast(wanted), F.col(key) == F.col("_id"))  # at most 2 * sample_docs ids
-        .select("_id", body.alias("_text"), "_label")
-        .orderBy("_id", "_text")
+        docs.select(F.col(key).alias("_id"), row_key(body).alias("_row"), body.alias("_text"))
+        .join(F.broadcast(wanted), same)  # at most 2 * sample_docs keys
+        .dropDuplicates(["_id", "_row"])
+        .orderBy("_id", "_row")
         .collect()
     )
     return [r["_text"] for r in rows], [r["_label"] for r in rows]

@@ -1,6 +1,9 @@
 """Trained operators and rules: held-out accuracy, odd documents, SQL counterparts."""
 
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -128,6 +131,38 @@ def plain_kernel(a, b):
     return sum(v * g.get(key, 0) for key, v in f.items()) / n / m
 
 
+def test_fit_does_not_depend_on_the_hash_seed(tmp_path):
+    """The same texts give the same weights in driver processes with different seeds."""
+    code = """
+import os
+import random
+import subprocess
+import sys
+from relocate.llm import toxicity
+draw = random.Random(3)
+words = ["".join(draw.choices("abcdefgh", k=draw.randint(3, 7))) for _ in range(300)]
+texts = [" ".join(draw.choices(words, k=30)) + (" grobvile" if i % 4 == 0 else "") for i in range(120)]
+model = toxicity.fit(texts, [int(i % 4 == 0) for i in range(120)])
+print(model.weights.sum(), model.bias, model.slope, model.intercept)
+"""
+    told = {
+        subprocess.run(
+            [sys.executable, "-c", code], env={**os.environ, "PYTHONHASHSEED": seed}, capture_output=True, text=True, check=True
+        ).stdout
+        for seed in ("1", "2", "3")
+    }
+    assert len(told) == 1 and told != {""}
+
+
+def test_long_labelled_texts_do_not_use_up_the_sample(spark):
+    rows = [(i, "long " * 2000 if i % 2 else f"short {i}", "en", "s", 1) for i in range(80)]
+    docs = odd_documents(spark, rows + rows[:4])
+    labels = spark.createDataFrame([(i, int(i < 40)) for i in range(80)], "doc_id long, toxic int")
+    texts, known = toxicity.training_sample(docs, labels, "doc_id", "text", "toxic", 10, 6000)
+    assert sum(known) == 10 and len(known) == 20 and all(t.startswith("short") for t in texts)
+    assert len(set(texts)) == 20
+
+
 def test_toxicity_of_odd_documents(spark):
     labels = spark.createDataFrame([(3, 0), (5, 1), (5, 1), (None, 1), (8, None), (99, 1)], "doc_id long, toxic int")
     for known in (labels, labels.limit(0)):
