@@ -246,3 +246,17 @@ def status_record(observations: DataFrame, span_rows: int | None = None) -> Data
             F.struct("stalled", "no_progress_minutes").alias("stall_detection"),
         ).alias("progress_signals"),
     )
+
+
+def status_document(records: DataFrame) -> DataFrame:
+    """``run_id, tick, document``: each record as one JSON text, null fields included."""
+    whole = F.struct(*[F.col(c) for c in records.columns])
+    return records.select("run_id", "tick", F.to_json(whole, {"ignoreNullFields": "false"}).alias("document"))
+
+
+def status_variant(documents: DataFrame) -> DataFrame:
+    """``document`` as VARIANT: fields are read by path, whatever version of the record wrote them.
+
+    A text that is no JSON becomes null.
+    """
+    return documents.withColumn("document", F.try_parse_json("document"))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relocate.functions.text import is_user_schema
+from relocate.session import settle
+from relocate.sources import paths
 
 TABLE = ["db_id", "schema_name", "table_name"]
 
@@ -128,15 +130,34 @@ def preflight_findings(
     return no_key.unionByName(generated)
 
 
+def _null_in(keys: list[str]) -> Column:
+    any_null = F.lit(False)
+    for key in keys:
+        any_null = any_null | F.col(key).isNull()
+    return any_null
+
+
+def _copies(rows: DataFrame, candidates: list[list[str]]) -> list[DataFrame]:
+    """Rows per key of every candidate: a key whose columns are in a larger one is counted from it."""
+    counted: dict[int, DataFrame] = {}
+    for i in sorted(range(len(candidates)), key=lambda i: -len(set(candidates[i]))):
+        wider = [j for j in counted if set(candidates[i]) < set(candidates[j])]
+        held, number = rows, F.count(F.lit(1))
+        if wider:
+            held, number = counted[min(wider, key=lambda j: len(candidates[j]))], F.sum("_n")
+        counted[i] = held.groupBy(*candidates[i]).agg(number.alias("_n"))
+    return [counted[i] for i in range(len(candidates))]
+
+
 def key_violations(tables: Mapping[str, tuple[DataFrame, list[list[str]]]]) -> DataFrame:
-    """Does a declared key identify rows? Per key: rows, duplicate groups, rows in them, null keys."""
+    """Does a declared key identify rows? Per key: rows, duplicate groups, rows in them, null keys.
+
+    Nested keys of a table share one count of its rows.
+    """
     parts = []
     for name, (rows, candidates) in tables.items():
-        for keys in candidates:
-            any_null = F.lit(False)
-            for key in keys:
-                any_null = any_null | F.col(key).isNull()
-            copies = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        for keys, copies in zip(candidates, _copies(rows, candidates), strict=True):
+            any_null = _null_in(keys)
             repeated = (F.col("_n") > 1) & ~any_null
             parts.append(
                 copies.agg(
@@ -155,6 +176,54 @@ def key_violations(tables: Mapping[str, tuple[DataFrame, list[list[str]]]]) -> D
     return union_all(parts)
 
 
+#: Size of a sketch (its binary logarithm) and the standard deviations it is trusted within.
+SKETCH_BITS = 14
+SKETCH_TRUST = 6.0
+
+
+def key_sketches(rows: DataFrame, candidates: list[list[str]]) -> DataFrame:
+    """``key, rows, null_key_rows, distinct``, a row per candidate: one scan for all of them.
+
+    ``distinct`` is the estimate of a sketch over the rows without a null in the key.
+    """
+    parts = []
+    for keys in candidates:
+        full = F.when(~_null_in(keys), F.xxhash64(*keys))
+        parts.append(
+            F.struct(
+                F.lit(",".join(keys)).alias("key"),
+                F.count(F.lit(1)).alias("rows"),
+                F.count_if(_null_in(keys)).alias("null_key_rows"),
+                F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(full, SKETCH_BITS)), F.lit(0)).alias("distinct"),
+            )
+        )
+    return rows.agg(F.array(*parts).alias("_keys")).select(F.inline("_keys"))
+
+
+def candidate_keys(tables: Mapping[str, tuple[DataFrame, list[list[str]]]]) -> DataFrame:
+    """Which of many candidate keys identify rows: ``table_name, key, rows, null_key_rows, unique``.
+
+    A key that a sketch puts six standard deviations below the number of rows has repeats; only
+    the others are counted exactly. Rows with a null in the key are left out of the question.
+    """
+    trust = 1 - SKETCH_TRUST * 1.04 / 2 ** (SKETCH_BITS / 2)
+    parts = []
+    for name, (rows, candidates) in tables.items():
+        told = settle(key_sketches(rows, candidates), "sketches")
+        open_keys = told.filter("distinct > 0").filter(F.col("distinct") >= (F.col("rows") - F.col("null_key_rows")) * trust)
+        names = {r.key for r in open_keys.select("key").collect()}  # at most the candidates
+        maybe = [keys for keys in candidates if ",".join(keys) in names]
+        verdict = F.col("rows") == F.col("null_key_rows")
+        if maybe:
+            exact = key_violations({name: (rows, maybe)}).select("key", (F.col("duplicate_groups") == 0).alias("_unique"))
+            told = told.join(exact, "key", "left")
+            verdict = F.coalesce("_unique", verdict)
+        parts.append(
+            told.select(F.lit(name).alias("table_name"), "key", "rows", "null_key_rows", verdict.alias("unique"))
+        )
+    return union_all(parts)
+
+
 def _width(kind: T.DataType, value: Column) -> Column:
     """Bytes of a value; nested values are the sum of what they hold, nulls nothing."""
     if isinstance(kind, (T.StringType, T.BinaryType)):
@@ -205,17 +274,36 @@ def relation_size(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def relation_files(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Files and stored bytes per table read from files, and a total row with a null name.
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """``path, length`` of the files below a path, from the listing; no file is opened.
+
+    Files without rows count; files without a single byte, which hold no table, are not listed.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return files.load(path).select("path", "length")
+
+
+def relation_folders(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
+    """``table_name, folder, files, bytes`` per folder of tables stored as files.
 
-    Only the metadata of the rows' files is read, no column of the table.
+    ``folder`` is relative to the table's path; '' is the path itself.
     """
+    parts = []
+    for name, path in tables.items():
+        inside = F.substring("path", len(paths.qualified(spark, path)) + 2, 2**31 - 1)
+        rows = _listed(spark, path).withColumn("folder", F.regexp_replace(inside, "/?[^/]*$", ""))
+        folders = rows.groupBy("folder").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+        parts.append(folders.select(F.lit(name).alias("table_name"), "*"))
+    return union_all(parts)
+
+
+def relation_files(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
+    """Files and stored bytes per table stored as files, and a total row with a null name."""
     parts = [
-        rows.select("_metadata.file_path", "_metadata.file_size")
-        .distinct()
-        .agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"))
+        _listed(spark, path)
+        .agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
         .select(F.lit(name).alias("table_name"), "*")
-        for name, rows in tables.items()
+        for name, path in tables.items()
     ]
     return (
         union_all(parts)
@@ -244,20 +332,23 @@ def object_diff(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFr
 def invalid_encoding(tables: Mapping[str, tuple[DataFrame, str, list[str]]]) -> DataFrame:
     """Rows whose text is not valid UTF-8: ``table_name, column_name, bad_rows, first_key``.
 
-    Maps a table to its rows, key column and text columns (binary, or strings read as such).
+    Maps a table to its rows, key column and text columns (binary, or strings read as such). A
+    table is read once for all its columns.
     """
     parts = []
     for name, (rows, key, columns) in tables.items():
+        found = []
         for column in columns:
             bad = ~F.is_valid_utf8(F.col(column).cast("binary"))
-            parts.append(
-                rows.agg(
+            found.append(
+                F.struct(
+                    F.lit(column).alias("column_name"),
                     F.count_if(bad).alias("bad_rows"),
                     F.min(F.when(bad, F.col(key))).cast("string").alias("first_key"),
-                ).select(
-                    F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), "*"
                 )
             )
+        told = rows.agg(F.array(*found).alias("_found"))
+        parts.append(told.select(F.lit(name).alias("table_name"), F.inline("_found")))
     return union_all(parts)
 
 

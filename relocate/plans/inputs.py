@@ -20,6 +20,13 @@ BASE = [
 
 RESIDUE_PREFIX = "syncer_"
 
+#: Columns, joined by commas, that may identify the rows of a table.
+CANDIDATES = {
+    "lineitem": ["l_orderkey", "l_partkey", "l_orderkey,l_linenumber", "l_partkey,l_suppkey", "l_orderkey,l_partkey"],
+    "orders": ["o_orderkey", "o_custkey", "o_custkey,o_orderdate", "o_totalprice"],
+    "events": ["event_id", "user_id", "ts", "user_id,ts"],
+}
+
 VIEWS = {
     # The target as first copied; missing keys make later inserts real.
     "snapshot": "SELECT * FROM {customer} WHERE c_custkey % 7 <> 0",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from relocate.plans.inputs import RESIDUE_PREFIX, with_views
+from relocate.plans.inputs import CANDIDATES, RESIDUE_PREFIX, with_views
 
 # Hash helpers shared by several texts.
 ORDER_TEXT = """concat_ws('|',
@@ -262,6 +262,52 @@ DONE_ANYWHERE = """
         AND ((user_id, 't' || (event_id % 13)) IN (SELECT (run_id, table_name) FROM {table_sizes})
              OR user_id NOT IN (SELECT run_id FROM {table_sizes})))"""
 
+RECORD = f"""        WITH looks AS (SELECT * REPLACE (
+            CAST(floor(last_good_us / 1000000.0) AS BIGINT) * 1000000 AS last_good_us)
+          FROM {{ticks}}), {HEALTH}, {COPIED}, {MOVED_ON}, {TREND}, {RATE},
+        stored AS (
+          SELECT * REPLACE (CASE WHEN tick % 5 = 1 AND phase = 'replicating' THEN 'copying'
+              WHEN tick % 11 = 3 THEN 'switched' WHEN tick % 11 = 5 THEN 'ready_to_copy'
+              ELSE phase END AS phase) FROM judged),
+        begun AS (
+          SELECT *, phase = 'ready_to_copy' AND copy_phase = 'in-progress'
+              AND state <> 'not-yet-started' AS began FROM stored),
+        moved AS (
+          SELECT * REPLACE (CASE WHEN began THEN 'copying'
+              WHEN phase = 'copying' AND copy_phase = 'finished' AND replication_ok
+              THEN 'replicating' ELSE phase END AS phase),
+            CASE WHEN began THEN 'initial_copy' WHEN phase = 'copying' AND copy_phase = 'finished'
+              THEN CASE WHEN replication_ok THEN 'running' ELSE 'copy_health_check_failed' END
+              END AS run_state FROM begun),
+        r AS (
+          SELECT *, phase IN ('copying', 'replicating') AS live,
+            phase IN ('replicating', 'switched') AS landed,
+            CASE WHEN phase = 'ready_to_copy' THEN 'not_ready' WHEN phase = 'switched' THEN 'ready'
+              WHEN copy_phase <> 'finished' THEN 'blocked' WHEN NOT replication_ok THEN 'warning'
+              ELSE 'ready' END AS readiness FROM moved),
+        record AS (
+        SELECT r.run_id, r.tick, r.phase, r.run_state AS state, r.tick * 2 AS started_us, r.total_bytes,
+          r.state AS reported_state, r.rows_changed * 1234 AS rows_changed, r.last_error,
+          r.readiness, r.tables_completed, s.copied_bytes, s.percent, s.estimate_mode,
+          CAST(floor((r.obs_us - r.last_good_us) / 1000000.0) AS BIGINT)
+            AS seconds_since_last_good,
+          t.backlog_trend,
+          CASE WHEN NOT replication_ok THEN 'blocked' WHEN recent_good THEN 'healthy'
+               ELSE 'degraded' END AS health_state,
+          CASE WHEN live AND r.copy_phase <> 'finished' THEN 'initial_copy_not_finished'
+               WHEN NOT replication_ok THEN 'replication_not_healthy' END AS blocker_reason,
+          CAST(round(rate) AS BIGINT) AS bytes_per_min,
+          live AND s.no_progress_minutes >= 10 AS stalled,
+          'complete,complete,' || CASE WHEN r.copy_phase = 'in-progress' THEN 'current,'
+               WHEN landed THEN 'complete,' ELSE 'pending,' END
+            || CASE WHEN r.copy_phase = 'finished' OR landed THEN 'complete,' ELSE 'pending,' END
+            || CASE WHEN replication_ok AND recent_good THEN 'complete'
+                    WHEN landed THEN 'current' ELSE 'pending' END AS steps,
+          CAST((length(steps) - length(replace(steps, 'complete', ''))) / 8 AS BIGINT) AS completed
+        FROM r JOIN stalls s USING (run_id, tick) JOIN trends t USING (run_id, tick)
+          JOIN rates g USING (run_id, tick))
+        """
+
 ORACLES = {
     "scan_source": """
         SELECT l_linestatus, count(*) AS rows,
@@ -350,6 +396,15 @@ ORACLES = {
             ("documents", "doc_id"),
         ]
     ),
+    "candidate_keys": "\nUNION ALL\n".join(
+        f"""
+        SELECT '{name}' AS table_name, '{key}' AS key, CAST(sum(n) AS BIGINT) AS rows,
+          CAST(coalesce(sum(n) FILTER ({' OR '.join(f'{k} IS NULL' for k in key.split(','))}), 0) AS BIGINT) AS null_key_rows,
+          count(*) FILTER (n > 1 AND {' AND '.join(f'{k} IS NOT NULL' for k in key.split(','))}) = 0 AS "unique"
+        FROM (SELECT {key}, count(*) AS n FROM {name} GROUP BY {key})"""
+        for name, keys in CANDIDATES.items()
+        for key in keys
+    ),
     "preflight_gate": GATE,
     "generated_columns": GENERATED,
     "relation_size": """
@@ -505,50 +560,14 @@ ORACLES = {
           copied_bytes AS raw_copied_bytes, estimate_mode AS raw_mode, current_table
         FROM {{run_status}} r LEFT JOIN counted USING (run_id) LEFT JOIN bytes USING (run_id)
           LEFT JOIN current USING (run_id)""",
-    "status_record": f"""
-        WITH looks AS (SELECT * REPLACE (
-            CAST(floor(last_good_us / 1000000.0) AS BIGINT) * 1000000 AS last_good_us)
-          FROM {{ticks}}), {HEALTH}, {COPIED}, {MOVED_ON}, {TREND}, {RATE},
-        stored AS (
-          SELECT * REPLACE (CASE WHEN tick % 5 = 1 AND phase = 'replicating' THEN 'copying'
-              WHEN tick % 11 = 3 THEN 'switched' WHEN tick % 11 = 5 THEN 'ready_to_copy'
-              ELSE phase END AS phase) FROM judged),
-        begun AS (
-          SELECT *, phase = 'ready_to_copy' AND copy_phase = 'in-progress'
-              AND state <> 'not-yet-started' AS began FROM stored),
-        moved AS (
-          SELECT * REPLACE (CASE WHEN began THEN 'copying'
-              WHEN phase = 'copying' AND copy_phase = 'finished' AND replication_ok
-              THEN 'replicating' ELSE phase END AS phase),
-            CASE WHEN began THEN 'initial_copy' WHEN phase = 'copying' AND copy_phase = 'finished'
-              THEN CASE WHEN replication_ok THEN 'running' ELSE 'copy_health_check_failed' END
-              END AS run_state FROM begun),
-        r AS (
-          SELECT *, phase IN ('copying', 'replicating') AS live,
-            phase IN ('replicating', 'switched') AS landed,
-            CASE WHEN phase = 'ready_to_copy' THEN 'not_ready' WHEN phase = 'switched' THEN 'ready'
-              WHEN copy_phase <> 'finished' THEN 'blocked' WHEN NOT replication_ok THEN 'warning'
-              ELSE 'ready' END AS readiness FROM moved)
-        SELECT r.run_id, r.tick, r.phase, r.run_state AS state, r.tick * 2 AS started_us,
-          r.state AS reported_state, r.rows_changed * 1234 AS rows_changed, r.last_error,
-          r.readiness, r.tables_completed, s.copied_bytes, s.percent, s.estimate_mode,
-          CAST(floor((r.obs_us - r.last_good_us) / 1000000.0) AS BIGINT)
-            AS seconds_since_last_good,
-          t.backlog_trend,
-          CASE WHEN NOT replication_ok THEN 'blocked' WHEN recent_good THEN 'healthy'
-               ELSE 'degraded' END AS health_state,
-          CASE WHEN live AND r.copy_phase <> 'finished' THEN 'initial_copy_not_finished'
-               WHEN NOT replication_ok THEN 'replication_not_healthy' END AS blocker_reason,
-          CAST(round(rate) AS BIGINT) AS bytes_per_min,
-          live AND s.no_progress_minutes >= 10 AS stalled,
-          'complete,complete,' || CASE WHEN r.copy_phase = 'in-progress' THEN 'current,'
-               WHEN landed THEN 'complete,' ELSE 'pending,' END
-            || CASE WHEN r.copy_phase = 'finished' OR landed THEN 'complete,' ELSE 'pending,' END
-            || CASE WHEN replication_ok AND recent_good THEN 'complete'
-                    WHEN landed THEN 'current' ELSE 'pending' END AS steps,
-          CAST((length(steps) - length(replace(steps, 'complete', ''))) / 8 AS BIGINT) AS completed
-        FROM r JOIN stalls s USING (run_id, tick) JOIN trends t USING (run_id, tick)
-          JOIN rates g USING (run_id, tick)""",
+    "status_record": RECORD + "SELECT * EXCLUDE (total_bytes) FROM record",
+    "status_document": RECORD
+    + """
+        SELECT run_id, tick, phase, state, started_us, reported_state, rows_changed, last_error, readiness, percent,
+          blocker_reason, bytes_per_min, stalled, split_part(steps, ',', 5) AS last_step,
+          '{"copied_bytes":' || copied_bytes || ',"estimate_mode":"' || estimate_mode || '","percent":'
+            || regexp_replace(CAST(percent AS VARCHAR), '\\.0$', '') || ',"total_bytes":' || total_bytes || '}' AS byte_weighted
+        FROM record""",
     "progress_signals_split": f"""
         WITH {LOOKS}, {COPIED}, {MOVED_ON}, {TREND}, {RATE}
         SELECT s.run_id, s.tick, s.copied_bytes, s.estimate_mode, s.percent, s.advanced,

@@ -21,9 +21,10 @@ from relocate.operators import (
     reconcile,
     sizing,
 )
-from relocate.plans.inputs import RESIDUE_PREFIX, broken_text, status_text, table, view
+from relocate.plans.inputs import CANDIDATES, RESIDUE_PREFIX, broken_text, status_text, table, view
 from relocate.session import configure, fresh_path, settle
 from relocate.sources import paths
+from relocate.sources.documents import read_document_texts, write_document_texts
 from relocate.sources.snapshot import (
     read_snapshot,
     snapshot_copy as copy_tables,
@@ -210,6 +211,18 @@ def key_violations(spark, sf):
     )
 
 
+@query
+def candidate_keys(spark, sf):
+    """Many candidates at once: sketches in one scan of each table, exact counts for the likely ones."""
+    return preflight.candidate_keys(
+        {
+            "lineitem": (table(spark, sf, "lineitem"), [k.split(",") for k in CANDIDATES["lineitem"]]),
+            "orders": (table(spark, sf, "orders"), [k.split(",") for k in CANDIDATES["orders"]]),
+            "events": (table(spark, sf, "events"), [k.split(",") for k in CANDIDATES["events"]]),
+        }
+    )
+
+
 @query
 def preflight_gate(spark, sf):
     return preflight.preflight_gate(
@@ -244,7 +257,7 @@ def relation_size(spark, sf):
 @query
 def relation_files(spark, sf):
     names = ["customer", "orders", "lineitem", "events", "documents", "embeddings"]
-    return preflight.relation_files({n: spark.read.parquet(f"{sf}/{n}.parquet") for n in names})
+    return preflight.relation_files(spark, {n: f"{sf}/{n}.parquet" for n in names})
 
 
 @query
@@ -468,14 +481,8 @@ def observation(spark, sf):
     )
 
 
-@query
-def status_record(spark, sf):
-    """From printed status text to the nested record, flattened for comparison.
-
-    What is stored of a run lags behind or is ahead of what its status says.
-    """
-    s = "progress_signals"
-    steps = F.col(f"{s}.event_checklist.steps")
+def _records(spark, sf):
+    """Records from printed status text. What is stored of a run lags behind or is ahead of it."""
     stored = (
         F.when((F.col("tick") % 5 == 1) & (F.col("phase") == "replicating"), "copying")
         .when(F.col("tick") % 11 == 3, "switched")
@@ -483,7 +490,15 @@ def status_record(spark, sf):
         .otherwise(F.col("phase"))
     )
     looks = _parsed(spark, sf).withColumns({"phase": stored, "started_us": F.col("tick") * 2})
-    return health.status_record(looks).select(
+    return health.status_record(looks)
+
+
+@query
+def status_record(spark, sf):
+    """From printed status text to the nested record, flattened for comparison."""
+    s = "progress_signals"
+    steps = F.col(f"{s}.event_checklist.steps")
+    return _records(spark, sf).select(
         "run_id",
         "tick",
         "phase",
@@ -508,6 +523,40 @@ def status_record(spark, sf):
     )
 
 
+@query
+def status_document(spark, sf):
+    """Records written as JSON, read back as VARIANT and asked by path; two parts stay JSON texts."""
+    root = fresh_path(spark, "documents")
+    record = health.status_document(_records(spark, sf))
+    write_document_texts(record, root)
+    found = health.status_variant(read_document_texts(spark, root))
+    signals = "$.progress_signals"
+
+    def at(path: str, kind: str):
+        return F.variant_get("document", path, kind)
+
+    told = found.select(
+        at("$.run_id", "bigint").alias("run_id"),
+        at("$.tick", "bigint").alias("tick"),
+        at("$.phase", "string").alias("phase"),
+        at("$.state", "string").alias("state"),
+        at("$.started_us", "bigint").alias("started_us"),
+        at("$.status.state", "string").alias("reported_state"),
+        at("$.status.rows_changed", "bigint").alias("rows_changed"),
+        at("$.status.last_error", "string").alias("last_error"),
+        at("$.cutover_readiness.level", "string").alias("readiness"),
+        at(f"{signals}.byte_weighted.percent", "double").alias("percent"),
+        at(f"{signals}.replication_delay.blocker_reason", "string").alias("blocker_reason"),
+        at(f"{signals}.throughput_eta.bytes_per_min", "bigint").alias("bytes_per_min"),
+        at(f"{signals}.stall_detection.stalled", "boolean").alias("stalled"),
+        at(f"{signals}.event_checklist.steps[4].status", "string").alias("last_step"),
+        F.to_json(at(f"{signals}.byte_weighted", "variant")).alias("byte_weighted"),
+    )
+    kept = settle(told, "documents")
+    paths.delete(spark, root)
+    return kept
+
+
 # --- lifecycle ---------------------------------------------------------------------
 
 

@@ -87,3 +87,13 @@ def progress_history(documents: DataFrame) -> DataFrame:
 def write_documents(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One JSON document per row."""
     df.write.mode(mode).json(path)
+
+
+def write_document_texts(documents: DataFrame, path: str, column: str = "document", mode: str = "errorifexists") -> None:
+    """Documents that are JSON texts already, one per line."""
+    documents.select(column).write.mode(mode).text(path)
+
+
+def read_document_texts(spark: SparkSession, path: str, column: str = "document") -> DataFrame:
+    """One JSON text per line, not parsed."""
+    return spark.read.text(path).select(F.col("value").alias(column))

@@ -23,6 +23,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as listings print it, with its scheme and without a slash at the end."""
+    fs, hadoop_path = _open(spark, path)
+    return fs.makeQualified(hadoop_path).toString()
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that a pattern with ``*`` fits."""
     fs, hadoop_path = _open(spark, pattern)

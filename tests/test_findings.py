@@ -1,5 +1,6 @@
 """Inputs that registered queries hardly meet: missing sides, twins, null keys, nested values."""
 
+import os
 import re
 
 from pyspark.sql import functions as F
@@ -141,12 +142,63 @@ def test_nested_values_have_a_size(spark):
     assert sizes == {"t": (2, 16 + 5 + 5 + 12), None: (2, 38)}
 
 
-def test_sizes_from_file_metadata(spark, tmp_path):
-    spark.range(100).repartition(3).write.parquet(str(tmp_path / "t"))
-    bytes_there = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
-    sized = preflight.relation_files({"t": spark.read.parquet(str(tmp_path / "t"))})
-    assert {r.table_name: (r.files, r.bytes) for r in sized.collect()} == {"t": (3, bytes_there), None: (3, bytes_there)}
-    assert "ReadSchema: struct<>" in plan_of(sized)
+def test_sizes_from_the_listing(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 3 AS part").repartition(3).write.partitionBy("part").parquet(str(tmp_path / "t"))
+    # A file without rows has a footer and counts; one without bytes is not listed.
+    spark.range(0).write.mode("append").parquet(str(tmp_path / "t" / "part=1"))
+    (tmp_path / "t" / "part=1" / "nothing.txt").touch()
+    (tmp_path / "none").mkdir()
+    files = [f for f in (tmp_path / "t").glob("*/*.parquet")]
+    stored = sum(os.stat(f).st_size for f in files)
+    where = {"t": str(tmp_path / "t"), "none": str(tmp_path / "none")}
+    sized = preflight.relation_files(spark, where)
+    assert {r.table_name: (r.files, r.bytes) for r in sized.collect()} == {
+        "t": (len(files), stored), "none": (0, 0), None: (len(files), stored),
+    }
+    assert "binaryFile" in plan_of(sized) and "parquet" not in plan_of(sized).split("ReadSchema")[0].lower().replace("/t", "")
+    folders = {r.folder: (r.files, r.bytes) for r in preflight.relation_folders(spark, where).collect()}
+    assert folders == {
+        f"part={p}": (
+            len([f for f in files if f.parent.name == f"part={p}"]),
+            sum(os.stat(f).st_size for f in files if f.parent.name == f"part={p}"),
+        )
+        for p in range(3)
+    }
+    one = str(files[0])
+    assert [tuple(r) for r in preflight.relation_folders(spark, {"f": one}).collect()] == [("f", "", 1, os.stat(one).st_size)]
+
+
+def test_many_candidates_take_one_scan(spark, tmp_path):
+    spark.range(5000).selectExpr("id", "id % 50 AS a", "id div 50 AS b", "if(id % 9 = 0, null, id) AS c").write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    keys = [["id"], ["a"], ["b"], ["a", "b"], ["c"], ["a", "c"]]
+    sketches = preflight.key_sketches(rows, keys)
+    assert plan_of(sketches).count("FileScan parquet") == 1 and "Expand" not in plan_of(sketches)
+    near = {r.key: r.distinct for r in sketches.collect()}
+    assert abs(near["id"] - 5000) < 300 and abs(near["a"] - 50) < 5
+    found = {r.key: (r.rows, r.null_key_rows, r.unique) for r in preflight.candidate_keys({"t": (rows, keys)}).collect()}
+    nulls = 556
+    assert found == {
+        "id": (5000, 0, True), "a": (5000, 0, False), "b": (5000, 0, False), "a,b": (5000, 0, True),
+        "c": (5000, nulls, True), "a,c": (5000, nulls, True),
+    }
+    empty = preflight.candidate_keys({"t": (rows.limit(0), [["id"]])}).collect()
+    assert [tuple(r) for r in empty] == [("t", "id", 0, 0, True)]
+
+
+def test_nested_keys_share_one_count(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 7 AS a", "id % 2 AS b").write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    found = preflight.key_violations({"t": (rows, [["a"], ["a", "b"], ["b"], ["a", "b", "id"]])})
+    assert {r.key: (r.rows, r.duplicate_groups) for r in found.collect()} == {
+        "a": (100, 7), "a,b": (100, 14), "b": (100, 2), "a,b,id": (100, 0),
+    }
+
+
+def test_a_document_that_is_no_json(spark):
+    rows = spark.createDataFrame([('{"a": {"b": [1, null]}}',), ("{broken",), (None,)], "document string")
+    found = health.status_variant(rows).selectExpr("variant_get(document, '$.a.b[0]', 'int') AS x").collect()
+    assert [r.x for r in found] == [1, None, None]
 
 
 def test_the_record_judges_the_phase_moved_to(spark):
