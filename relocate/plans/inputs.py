@@ -222,11 +222,22 @@ VIEWS = {
           WHEN 5 THEN concat('public', CAST(o_orderkey AS STRING))
           END AS raw_name
         FROM {orders}""",
-    "requests": """
-        SELECT run_id, tick, obs_us, state, status_seen, copy_phase, last_good_us, last_error,
-          CASE WHEN tick % 9 = 0 THEN 'copying' ELSE phase END AS phase,
-          CASE tick % 4 WHEN 0 THEN '1' WHEN 1 THEN 'YES' WHEN 2 THEN 'no' END AS force
+    # Looks in every phase, some without a status, some with a copy that runs on while replicating.
+    "all_looks": """
+        SELECT run_id, tick, obs_us, tick % 7 <> 3 AS status_seen,
+          CASE WHEN tick % 7 <> 3 THEN state END AS state,
+          CASE WHEN tick % 7 <> 3 THEN CASE WHEN tick % 13 = 5 THEN 'in-progress'
+               WHEN tick % 17 = 4 THEN 'unknown' ELSE copy_phase END END AS copy_phase,
+          CASE WHEN tick % 7 <> 3 THEN last_good_us END AS last_good_us,
+          CASE WHEN tick % 7 <> 3 THEN last_error END AS last_error,
+          CASE WHEN tick % 101 = 7 THEN NULL WHEN tick % 9 = 1 THEN 'waiting'
+               WHEN tick % 9 = 2 THEN 'switched' WHEN tick % 9 = 3 THEN 'error'
+               WHEN tick % 9 = 4 AND tick % 2 = 0 THEN 'completed' WHEN tick % 9 = 5 THEN 'copying'
+               ELSE phase END AS phase
         FROM {ticks}""",
+    "requests": """
+        SELECT *, CASE tick % 4 WHEN 0 THEN '1' WHEN 1 THEN 'YES' WHEN 2 THEN 'no' END AS force
+        FROM {all_looks}""",
     "moves": """
         SELECT run_id, tick, obs_us, state, status_seen, last_good_us, last_error,
           CASE WHEN tick % 17 = 0 THEN 'unknown' ELSE copy_phase END AS copy_phase,

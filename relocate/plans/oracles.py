@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from relocate import fixed
 from relocate.plans.inputs import CANDIDATES, RESIDUE_PREFIX, with_views
 
 # Hash helpers shared by several texts.
@@ -104,12 +105,24 @@ HEALTH = """
           WHEN last_error IS NOT NULL THEN false
           ELSE state IN ('good', 'applying_changes') END AS replication_ok FROM h)"""
 
-READINESS = """
+# The same over looks of any phase, with or without a status.
+JUDGED = """
+    h AS (
+      SELECT *, last_good_us IS NOT NULL AND (obs_us - last_good_us) < 121000000 AS recent_good,
+        phase IS NOT NULL AND phase IN ('copying', 'replicating') AS live FROM looks),
+    judged AS (
+      SELECT *, CASE WHEN NOT status_seen THEN false WHEN recent_good THEN true
+          WHEN last_error IS NOT NULL THEN false
+          ELSE state IN ('good', 'applying_changes') END AS replication_ok FROM h),
+    blocked AS (
+      SELECT *, CASE WHEN NOT live THEN '' WHEN NOT status_seen THEN 'STATUS_UNAVAILABLE'
+          WHEN copy_phase <> 'finished' THEN 'initial_copy_not_finished' ELSE '' END AS hard_blockers,
+        CASE WHEN live AND status_seen AND NOT replication_ok THEN 'replication_not_healthy' ELSE '' END
+          AS soft_blockers FROM judged),
     ready AS (
-      SELECT *,
-        CASE WHEN copy_phase <> 'finished' THEN 'blocked' WHEN NOT replication_ok THEN 'warning'
-             ELSE 'ready' END AS readiness
-      FROM judged)"""
+      SELECT *, CASE WHEN NOT live AND (phase IS NULL OR phase <> 'switched') THEN 'not_ready'
+          WHEN hard_blockers <> '' THEN 'blocked' WHEN soft_blockers <> '' THEN 'warning'
+          ELSE 'ready' END AS readiness FROM blocked)""".replace("STATUS_UNAVAILABLE", fixed.STATUS_UNAVAILABLE)
 
 # Progress per look, with plain windows per run.
 COPIED = """
@@ -528,20 +541,17 @@ ORACLES = {
           CAST(floor((obs_us - last_good_us) / 1000000.0) AS BIGINT) AS seconds_since_last_good,
           COALESCE(obs_us - last_good_us >= 61000000, false) AS delayed FROM {ticks}""",
     "replication_health": f"""
-        WITH {LOOKS}, {HEALTH}
+        WITH looks AS (SELECT * FROM {{all_looks}}), {JUDGED}
         SELECT run_id, tick, recent_good, replication_ok,
           CASE WHEN NOT replication_ok THEN 'blocked' WHEN recent_good THEN 'healthy'
                ELSE 'degraded' END AS health,
-          CASE WHEN copy_phase <> 'finished' THEN 'initial_copy_not_finished'
+          CASE WHEN hard_blockers <> '' THEN hard_blockers
                WHEN NOT replication_ok THEN 'replication_not_healthy' END AS blocker
-        FROM judged""",
-    "cutover_readiness": f"""
-        WITH {LOOKS}, {HEALTH}, {READINESS}
-        SELECT run_id, tick, readiness, readiness <> 'blocked' AS can_force,
-          CASE WHEN copy_phase <> 'finished' THEN 'initial_copy_not_finished' ELSE '' END
-            AS hard_blockers,
-          CASE WHEN replication_ok THEN '' ELSE 'replication_not_healthy' END AS soft_blockers
         FROM ready""",
+    "cutover_readiness": f"""
+        WITH looks AS (SELECT * FROM {{all_looks}}), {JUDGED}
+        SELECT run_id, tick, readiness, readiness IN ('warning', 'ready') AS can_force,
+          hard_blockers, soft_blockers FROM ready""",
     "preflight_findings": f"""
         WITH named AS ({GENERATED})
         SELECT db_id, 'generated_columns' AS finding, table_name, columns FROM named
@@ -615,9 +625,9 @@ ORACLES = {
             WHEN 'ready_to_copy' THEN tables_in_sync || ' tables' END AS detail FROM log
         WHERE phase IS DISTINCT FROM before AND (phase <> 'starting' OR before IS NULL)""",
     "switch_gate": f"""
-        WITH looks AS (SELECT * FROM {{requests}}), {HEALTH}, {READINESS},
+        WITH looks AS (SELECT * FROM {{requests}}), {JUDGED},
         decided AS (
-          SELECT run_id, tick, CASE WHEN phase <> 'replicating' THEN 'phase_not_allowed'
+          SELECT run_id, tick, CASE WHEN phase IS NULL OR phase <> 'replicating' THEN 'phase_not_allowed'
             WHEN readiness = 'blocked' THEN 'cutover_blocked'
             WHEN readiness = 'warning' AND tick % 4 IN (2, 3) THEN 'cutover_override_required'
             ELSE 'allowed' END AS decision FROM ready)

@@ -453,14 +453,14 @@ def progress_signals_split(spark, sf):
 
 @query
 def replication_health(spark, sf):
-    return health.replication_health(view(spark, sf, "ticks")).select(
+    return health.replication_health(view(spark, sf, "all_looks")).select(
         "run_id", "tick", "recent_good", "replication_ok", "health", "blocker"
     )
 
 
 @query
 def cutover_readiness(spark, sf):
-    return health.cutover_readiness(view(spark, sf, "ticks")).select(
+    return health.cutover_readiness(view(spark, sf, "all_looks")).select(
         "run_id",
         "tick",
         "readiness",

@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from relocate import fixed
 from relocate.functions import text as tx
 from relocate.operators import health, lifecycle, parse
+from relocate.plans.queries import QUERIES
 
 NOW_US = 1_800_000_000_000_000
 RECENT = "Jan 15, 2027 07:59:58"  # two seconds before NOW_US
@@ -294,3 +296,16 @@ def test_milestones(spark):
         (0, "starting"), (2, "copying"), (4, "error"), (7, "copying"),
     ]
     assert len(rows[2].detail) == 200
+
+
+def test_queries_reach_every_outcome(spark):
+    """Readiness, blockers and decisions that the rules know all occur in registered queries."""
+    def values(name, column):
+        return {r[0] for r in QUERIES[name](spark, "/root/testdata/sf0.01").select(column).distinct().collect()}
+
+    assert values("cutover_readiness", "readiness") == {"ready", "warning", "blocked", "not_ready"}
+    assert values("cutover_readiness", "hard_blockers") == {"", fixed.STATUS_UNAVAILABLE, fixed.COPY_NOT_FINISHED}
+    assert values("replication_health", "health") == {"healthy", "degraded", "blocked"}
+    assert values("switch_gate", "decision") == {
+        fixed.SWITCH_ALLOWED, fixed.SWITCH_BLOCKED, fixed.SWITCH_NEEDS_OVERRIDE, fixed.SWITCH_WRONG_PHASE,
+    }
