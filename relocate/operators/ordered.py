@@ -1,15 +1,14 @@
 """Ordered computations per key, over whole keys or over spans of them.
 
 A window over a whole key puts all rows of that key into one task. Where keys may be large, the
-caller names ``span_rows``: rows of a key are then cut into contiguous spans of about that many
-rows, windows run per span, and a short table with one row per span carries what earlier spans
+caller names ``span_rows``: rows of a key are then cut into contiguous spans of that many rows,
+windows run per span, and a short table with one row per span carries what earlier spans
 contribute, either a running maximum or the few rows just before the span. The plan depends on
 that parameter alone, never on counts; results are those of the plain window for any value.
 
-The order column is a number and ``(keys, order)`` is unique. Keys may be null: null is a key
-like any other. Spans are cut at quantiles of the order column per key, so rows far off do not
-make the others share a span. Steps over spans are written to the shared folder, so that each
-is computed once and a task that is lost starts again from there.
+``(keys, order)`` is unique. Keys may be null: null is a key like any other. Spans are cut by the
+places of the rows, so a key has as many as it needs and rows far off do not make the others
+share one. The cut rows are written to the shared folder: a lost task starts again from there.
 """
 
 from __future__ import annotations
@@ -23,8 +22,7 @@ from relocate.session import settle
 
 SPAN = "_span"
 HALO = "_halo"
-#: Places a key can be cut at: spans hold about ``span_rows`` rows up to so many spans a key.
-CUTS = 1000
+_SLICE = "_slice"
 
 
 @dataclass(frozen=True)
@@ -61,25 +59,23 @@ class Ordered:
 
 
 def arrange(df: DataFrame, keys: list[str], order: str, span_rows: int | None = None) -> Ordered:
-    """Lay rows out by whole keys, or cut every key into spans of about ``span_rows`` rows."""
+    """Lay rows out by whole keys, or cut every key into spans of ``span_rows`` rows.
+
+    To cut, rows are dealt out by ranges of key and order and written. Each slice counts its rows
+    per key; with the counts of the slices before it, places within a slice are places within the
+    key. Rows of one place share a span.
+    """
     if span_rows is None:
         return Ordered(df, tuple(keys), order, split=False)
-    places = F.percentile_approx(order, F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)]), 20 * CUTS)
-    spans = F.least(F.ceil(F.col("_n") / span_rows), F.lit(CUTS)).cast("int")
-    cuts = F.transform(
-        F.sequence(F.lit(1), spans - 1),
-        lambda i: F.element_at("_places", F.floor(i * CUTS / spans).cast("int")),
-    )
-    table = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), places.alias("_places"))
-        .select(*keys, F.when(spans > 1, F.array_distinct(cuts)).alias("_cuts"))
-    )
-    place = F.size(F.filter("_cuts", lambda cut: cut < F.col(order))).cast("bigint")
-    spanned = _beside(df, table, keys).withColumn(
-        SPAN, F.when(F.col("_cuts").isNull(), F.lit(0).cast("bigint")).otherwise(place)
-    )
-    return Ordered(spanned.drop("_cuts"), tuple(keys), order, split=True).settled()
+    dealt = df.repartitionByRange(*keys, order).withColumn(_SLICE, F.spark_partition_id())
+    dealt = settle(dealt, "slices")
+    counts = dealt.groupBy(*keys, _SLICE).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_first"))
+    earlier = Window.partitionBy(*keys).orderBy("_first", _SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    placed = _beside(dealt, counts.select(*keys, _SLICE, before.alias("_before")), [*keys, _SLICE])
+    place = F.col("_before") + F.rank().over(Window.partitionBy(*keys, _SLICE).orderBy(order)) - 1
+    spanned = placed.withColumn(SPAN, F.floor(place / span_rows).cast("bigint"))
+    return Ordered(spanned.drop(_SLICE, "_before"), tuple(keys), order, split=True).settled()
 
 
 def _beside(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
@@ -109,7 +105,7 @@ def running_max(ordered: Ordered, values: dict[str, Column], *, before: bool = F
     joined = _beside(ordered.rows, carried, ordered.parts).withColumns(
         {n: F.greatest(F.max(v).over(frame), F.col(f"_c_{n}")) for n, v in values.items()}
     )
-    return ordered.having(joined.drop(*[f"_c_{name}" for name in values])).settled()
+    return ordered.having(joined.drop(*[f"_c_{name}" for name in values]))
 
 
 def running_sum(ordered: Ordered, name: str, value: Column) -> Ordered:
