@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from relocate import fixed
 from relocate.functions.text import strip
-from relocate.operators.parse import log_completed_tables, log_current_table
+from relocate.operators.parse import DONE, completed_of, current_of, fold_log
 from relocate.operators.progress import (
     age_seconds,
     copy_progress,
     progress_signals,
 )
+from relocate.session import settle
 
 def _sure(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
@@ -161,11 +162,13 @@ def observe(
 
     ``status``: one parsed status row per run; ``sizes``: ``run_id, table_name, source_bytes,
     target_bytes``; ``completed``: tables remembered as done; ``lines``: the log. Tables the log
-    reports as done count too. Adds the columns the progress measures take in.
+    reports as done count too. Adds the columns the progress measures take in. The log is read
+    once; what it mentions, a row per run and table, is written before the two questions to it.
     """
     known = sizes.select("run_id", "table_name")
+    folded = settle(fold_log(lines), "mentions")
     done = completed.select("run_id", "table_name").unionByName(
-        log_completed_tables(lines, known).select("run_id", "table_name")
+        completed_of(folded, known).select("run_id", "table_name")
     )
     told = status.select("run_id", "tables_in_sync", "copy_phase")
     measured = copy_progress(sizes, done, told).select(
@@ -177,7 +180,7 @@ def observe(
         F.col("estimate_mode").alias("raw_mode"),
     )
     return status.join(measured, "run_id", "left").join(
-        log_current_table(lines, known), "run_id", "left"
+        current_of(folded.filter(F.col("kind") != DONE), known), "run_id", "left"
     )
 
 

@@ -216,7 +216,7 @@ def candidate_keys(tables: Mapping[str, tuple[DataFrame, list[list[str]]]]) -> D
         verdict = F.col("rows") == F.col("null_key_rows")
         if maybe:
             exact = key_violations({name: (rows, maybe)}).select("key", (F.col("duplicate_groups") == 0).alias("_unique"))
-            told = told.join(exact, "key", "left")
+            told = told.join(settle(exact, "counted"), "key", "left")
             verdict = F.coalesce("_unique", verdict)
         parts.append(
             told.select(F.lit(name).alias("table_name"), "key", "rows", "null_key_rows", verdict.alias("unique"))

@@ -62,3 +62,24 @@ def test_diff_joins_nothing(spark):
     orders = table(spark, SF_DIR, "orders")
     plan = plan_of(reconcile.reconcile_diff(orders, orders, ["o_orderkey"]))
     assert "Join" not in plan and plan.count("Exchange") <= 2
+
+
+def test_a_look_reads_the_log_once_and_folds_it_by_hashing(spark, tmp_path):
+    """The fold scans the log once without sorting; the look itself does not meet the log again."""
+    view(spark, SF_DIR, "log_lines").write.parquet(str(tmp_path / "log"))
+    lines = spark.read.parquet(str(tmp_path / "log"))
+    folded = plan_of(parse.fold_log(lines, every_run=True))
+    assert folded.count("FileScan parquet") == 1 and "SortAggregate" not in folded and "HashAggregate" in folded
+    look = plan_of(
+        health.observe(
+            view(spark, SF_DIR, "run_status"), view(spark, SF_DIR, "table_sizes"), view(spark, SF_DIR, "remembered"), lines
+        )
+    )
+    assert str(tmp_path / "log") not in look and "SortAggregate" not in look
+
+
+def test_rows_line_is_matched_once(spark, tmp_path):
+    view(spark, SF_DIR, "ticks").write.parquet(str(tmp_path / "ticks"))
+    blocks = status_text(spark.read.parquet(str(tmp_path / "ticks")))
+    plan = plan_of(blocks.select(parse.rows_changed(blocks.block).alias("rows")))
+    assert plan.count("regexp_extract_all(") == 1
