@@ -44,6 +44,7 @@ def op1_secret_scan(spark, sf):
     return found.select(
         "doc_id",
         "position",
+        "part",
         F.sha2(F.col("finding").cast("binary"), 256).alias("finding_sha256"),
         F.length("finding").alias("n_chars"),
         (sample_class(F.col("doc_id")) == 1).alias("held_out"),

@@ -1,7 +1,9 @@
 """Secret scans: candidates judged by a random forest, in DataFrame functions only.
 
-A candidate is a long run of key characters with a figure in it. What a scan of shapes alone
-reports is mostly not a secret: numbers, addresses, file names, hashes in prose. A forest trained
+A candidate is a long run of key characters with a figure in it, or a shorter one that is assigned
+to a name that announces a secret; a word of minified JSON or a query string may hold several. What
+a scan of shapes alone reports is mostly not a secret: numbers, addresses, file names, hashes in
+prose. A forest trained
 on labelled findings sorts them out by length, transitions between kinds of characters, how much
 of the candidate is made of dictionary words, its path, and the words beside it. The dictionary
 is the corpus' own: words of letters in at least ``MIN_DOCS`` documents.
@@ -19,6 +21,8 @@ from relocate.llm.common import sample_class, whole, words
 from relocate.session import settle
 
 MIN_LENGTH = 16
+#: Least length of a value that an announcing name is given.
+MIN_ASSIGNED = 8
 #: Labelled findings of each class that training reads, by the hash of their text and place.
 SAMPLE_FINDINGS = 10_000
 TREES, DEPTH, SEED = 40, 8, 42
@@ -31,19 +35,31 @@ WORD_LETTERS = (3, 16)
 ANNOUNCES = r"(?i)(pass(word|wd|phrase)?|pwd|token|secret|api[_-]?key|access[_-]?key|auth|bearer|credential)"
 TAKES_BACK = r"(?i)(example|sample|dummy|test|fake|placeholder|changeme|xxxx)"
 EDGES = " \t\n\x0b\x0c\r.,;:!?()[]{}<>"
-CANDIDATE = f"(?=[A-Za-z0-9+/_=.\"'-]*[0-9])[A-Za-z0-9+/_=.\"'-]{{{MIN_LENGTH},}}"
-PLACE = ["doc_id", "row", "position"]
+CANDIDATE = f"(?=[A-Za-z0-9+/_.-]*[0-9])[A-Za-z0-9+/_.-]{{{MIN_LENGTH},}}"
+#: What stands between names and values inside a word.
+BETWEEN = r"[\"'=:?;,{}()<>\[\]|]+|&(?=[A-Za-z0-9_-]+=)"
+NAMED = ANNOUNCES + "[A-Za-z0-9_-]*"
+#: Formats that public services give their keys.
+KEY_FORMATS = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36}$|^xox[abprs]-[0-9A-Za-z-]{10,}$|^sk_live_[0-9A-Za-z]{16,}$"
+PLACE = ["doc_id", "row", "position", "part"]
 FEATURES = [
     "length", "figures", "upper", "lower", "hex_only", "figures_only", "upper_only", "transitions", "letter_runs",
     "dots", "slashes", "equals", "quotes", "distinct", "dictionary", "announced_in", "announced_before",
-    "announced_after", "taken_back", "path_depth", "path_test", "before_length", "after_length",
+    "announced_after", "assigned", "taken_back", "path_depth", "path_test", "before_length", "after_length",
 ]
 
 
+def _given(before_2: Column, before: Column) -> Column:
+    """Whether the words before give a value: a name and ``=`` or ``:``, or the word bearer."""
+    said = F.concat_ws(" ", before_2, before)
+    return said.rlike(NAMED + "[\"']? ?(=>|:=|[=:])[\"']?$") | before.rlike("(?i)^bearer$")
+
+
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """``doc_id, row, position, finding, before, after, path``: one row per candidate.
+    """``doc_id, row, position, part, finding, name, before_2, before, after, path``: one row per candidate.
 
-    ``position`` counts words from 0. Texts are read whole; null texts have none.
+    ``position`` counts words from 0, ``part`` the pieces of a word between quotes, ``=``, ``:`` and
+    the like; ``name`` is the piece before. Texts are read whole; null texts have none.
     """
     body = F.col(text)
     rows = docs.select(
@@ -52,22 +68,39 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
         whole(path).alias("path"),
         words(body).alias("_words"),
     )
-    looks = lambda w: (F.length(w) >= MIN_LENGTH) & w.rlike(CANDIDATE)
+
+    def looks(w: Column, i: Column) -> Column:
+        long = (F.length(w) >= MIN_LENGTH) & w.rlike(CANDIDATE)
+        sign = w.rlike("[=:]") & w.rlike(NAMED + "[\"']?[=:]")
+        after = F.get("_words", i - 1).rlike("(?i)([=:][\"']?|^bearer)$")
+        short = (F.length(w) >= MIN_ASSIGNED) & w.rlike("[0-9]") & (sign | F.coalesce(after, F.lit(False)))
+        return long | short
+
     found = F.filter(
-        F.transform("_words", lambda w, i: F.when(looks(w), i)), lambda i: i.isNotNull()
+        F.transform("_words", lambda w, i: F.when(looks(w, i), i)), lambda i: i.isNotNull()
     )
     # Of texts without a candidate no word goes on.
     placed = rows.withColumn("_found", found).filter(F.size("_found") > 0)
-    return placed.select("doc_id", "row", "path", "_words", F.explode("_found").alias("position")).select(
+    beside = lambda step: F.coalesce(F.get("_words", F.col("position") + step), F.lit(""))
+    cut = placed.select("doc_id", "row", "path", "_words", F.explode("_found").alias("position")).select(
         "doc_id",
         "row",
         "position",
-        F.btrim(F.get("_words", "position"), F.lit(EDGES)).alias("finding"),
-        F.coalesce(F.get("_words", F.col("position") - 1), F.lit("")).alias("before"),
-        F.coalesce(F.get("_words", F.col("position") - 2), F.lit("")).alias("before_2"),
-        F.coalesce(F.get("_words", F.col("position") + 1), F.lit("")).alias("after"),
+        F.split(F.get("_words", "position"), BETWEEN).alias("_parts"),
+        beside(-1).alias("before"),
+        beside(-2).alias("before_2"),
+        beside(1).alias("after"),
         "path",
     )
+    pieces = cut.select("*", F.posexplode("_parts").alias("part", "_piece"))
+    named = F.when(F.col("part") > 0, F.get("_parts", F.col("part") - 1)).otherwise("")
+    pieces = pieces.withColumns({"name": named, "finding": F.btrim("_piece", F.lit(EDGES))})
+    first = F.size(F.filter(F.slice("_parts", F.lit(1), F.col("part")), lambda x: x != "")) == 0
+    given = F.col("name").rlike(NAMED + "$") | (first & _given(F.col("before_2"), F.col("before")))
+    pieces = pieces.withColumn("given", given)
+    long = (F.length("finding") >= MIN_LENGTH) & F.col("finding").rlike(CANDIDATE)
+    short = (F.length("finding") >= MIN_ASSIGNED) & F.col("finding").rlike("[0-9]") & F.col("given")
+    return pieces.filter(long | short).drop("_parts", "_piece")
 
 
 def _letter_runs(finding: Column) -> Column:
@@ -100,14 +133,17 @@ def featured(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame
     """Candidates with the numbers the forest reads."""
     runs = found.select(F.explode(_letter_runs(F.col("finding"))).alias("run")).distinct()
     known = dictionary(docs, runs, text)
-    place = [F.col(c) for c in PLACE]
     covered = (
-        found.select(*place, F.explode(_letter_runs(F.col("finding"))).alias("run"))
+        found.distinct()
+        .select(*PLACE, F.explode(_letter_runs(F.col("finding"))).alias("run"))
         .join(known, "run")
-        .groupBy(*PLACE)
+        .groupBy(*[F.col(c).alias(f"_{c}") for c in PLACE])
         .agg(F.sum(F.length("run")).alias("_covered"))
     )
-    rows = found.distinct().join(covered, PLACE, "left")
+    same = F.lit(True)
+    for c in PLACE:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    rows = found.distinct().join(covered, same, "left").drop(*[f"_{c}" for c in PLACE])
     f, length = F.col("finding"), F.greatest(F.length("finding"), F.lit(1)).cast("double")
     beside = F.concat_ws(" ", "before_2", "before")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(f, "[0-9]+", "9"), "[A-Z]+", "A"), "[a-z]+", "a")
@@ -127,10 +163,11 @@ def featured(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame
         "quotes": F.regexp_count(f, F.lit("[\"']")),
         "distinct": F.size(F.array_distinct(F.split(f, ""))) / length,
         "dictionary": F.coalesce("_covered", F.lit(0)) / length,
-        "announced_in": f.rlike(ANNOUNCES),
+        "announced_in": F.concat_ws(" ", "name", f).rlike(ANNOUNCES),
         "announced_before": beside.rlike(ANNOUNCES),
         "announced_after": F.col("after").rlike(ANNOUNCES),
-        "taken_back": F.concat_ws(" ", beside, f, "after").rlike(TAKES_BACK),
+        "assigned": F.col("given"),
+        "taken_back": F.concat_ws(" ", beside, "name", f, "after").rlike(TAKES_BACK),
         "path_depth": F.size(F.split("path", "/")),
         "path_test": F.col("path").rlike(TAKES_BACK),
         "before_length": F.length("before"),
@@ -170,15 +207,14 @@ def judge(found: DataFrame, model: RandomForestClassificationModel | None, thres
 
 
 def format_label() -> Column:
-    """Labels for findings without a reviewer: 1 where the format itself is proof.
+    """Labels for findings without a reviewer, null where nothing is proof.
 
-    A cloud access key, or a long value that is assigned to a name that announces a secret.
+    1 for the key formats of public services and for values given to a name that announces a
+    secret; 0 where a word takes it back, and where no word beside it announces a secret.
     """
-    access_key = F.col("finding").rlike("^AKIA[0-9A-Z]{16}$")
-    inside = F.col("finding").rlike(ANNOUNCES + "=[\"']?[0-9A-Za-z+/_-]{16,}")
-    assigned = F.concat_ws(" ", "before_2", "before").rlike(ANNOUNCES + " ?[=:]$")
-    taken_back = F.concat_ws(" ", "before_2", "before", "finding", "after").rlike(TAKES_BACK)
-    return ((access_key | inside | assigned) & ~taken_back).cast("int")
+    proof = F.col("finding").rlike(KEY_FORMATS) | F.col("given")
+    told = F.concat_ws(" ", "before_2", "before", "name", "finding", "after")
+    return F.when(told.rlike(TAKES_BACK), 0).when(proof, 1).when(~told.rlike(ANNOUNCES), 0)
 
 
 def scan(
@@ -191,7 +227,7 @@ def scan(
 ) -> DataFrame:
     """Every candidate of every document with its features, ``score`` and ``secret``.
 
-    ``labelled`` has ``doc_id, position, label``. Without it, candidates of documents outside
+    ``labelled`` has ``doc_id, position, label``; a label holds for all pieces of its word. Without it, candidates of documents outside
     fold 1 (crc32 of the id as text, modulo 3) are labelled by :func:`format_label`. Documents
     without candidates have no row. Rows that repeat id and text are one document.
     """
@@ -200,6 +236,7 @@ def scan(
     found = settle(featured(docs, found, text), "features")
     if labelled is None:
         known = found.withColumn("label", format_label()).filter(sample_class(F.col("doc_id")) != 1)
+        known = known.filter(F.col("label").isNotNull())
     else:
         reviewed = labelled.groupBy("doc_id", "position").agg(F.max("label").alias("label"))
         known = found.join(reviewed, ["doc_id", "position"])
