@@ -28,6 +28,11 @@ TREE = ["domain", "language", "leaf"]
 #: Hex digits of the order hash that name a slice.
 SLICE_DIGITS = 4
 ADDED = ["epoch", "domain", "n_tokens", "leaf_target"]
+#: Names the work itself uses; input columns of these names are set aside meanwhile.
+_INSIDE = [
+    "_key", "_domain", "_language", "_leaf", "_tokens", "_given", "_whole", "_rest", "_slice", "_before", "_order",
+    "_in_rest",
+]
 
 
 @dataclass(frozen=True)
@@ -140,6 +145,9 @@ def mix_documents(
     names of added ones are replaced.
     """
     docs = fresh_names(docs, ADDED)
+    held = {c: f"_own_{c}" for c in docs.columns if c.lower() in _INSIDE}
+    docs = docs.withColumnsRenamed(held)
+    key, text, lang, source = (held.get(c, c) for c in (key, text, lang, source))
     place = {
         "_domain": mix.weights.domain(F.col(source)),
         "_language": whole(lang),
@@ -202,7 +210,7 @@ def mix_documents(
         F.col("_domain").alias("domain"),
         F.col("_tokens").alias("n_tokens"),
         F.col("_given").alias("leaf_target"),
-    )
+    ).withColumnsRenamed({name: c for c, name in held.items()})
 
 
 def take_mix(docs: DataFrame, mix: Mix = Mix(), **columns: str) -> DataFrame:

@@ -106,7 +106,7 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", host_limit:
     Rows without a host share the host ''. Input columns with the names of added ones are
     replaced. Rows that repeat count each.
     """
-    docs = fresh_names(docs, [*ADDED, "_host_of"])
+    docs = fresh_names(docs, [*ADDED, "_host_of", "_host"])
     measured = measures(docs.withColumn("_host_of", whole(host)), text).drop(text)
     judged = settle(measured.withColumn("base_failed", base_failed()), "measures")
     rates = settle(host_rates(judged, "_host_of"), "rates")

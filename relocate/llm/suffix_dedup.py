@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relocate.llm.common import batch, in_batches, text_bytes, whole
+from relocate.llm.common import batch, in_batches, row_key, text_bytes, whole
 from relocate.llm.merge_arrays import mixed
 from relocate.session import settle
 
@@ -41,9 +41,9 @@ STEP = 16
 STRETCH = 1 << 18
 #: Rows that a task folds before it hands them on.
 FOLD_ROWS = 400_000
-ROWS = "digit long, content long, copies int, doc_id long, row int, anchor int, lo int, hi int"
+ROWS = "digit long, content long, copies int, doc_id long, row long, anchor int, lo int, hi int"
 NAMES = [c.split()[0] for c in ROWS.split(", ")]
-FOUND = "repeated boolean, doc_id long, row int, anchor int, lo int, hi int"
+FOUND = "repeated boolean, doc_id long, row long, anchor int, lo int, hi int"
 PLACE = NAMES[3:]
 
 Rows = dict[str, np.ndarray]
@@ -214,7 +214,7 @@ def _joined_runs(rows: Rows) -> np.ndarray:
 
 
 def _arrow(rows: Rows, names: list[str]) -> pa.RecordBatch:
-    small = {"copies", "row", "anchor", "lo", "hi"}
+    small = {"copies", "anchor", "lo", "hi"}
     return batch(**{n: rows[n].astype(np.int32) if n in small else rows[n] for n in names})
 
 
@@ -294,7 +294,7 @@ def _produce_cells(b: pa.RecordBatch) -> list[Rows]:
         if len(text) >= DEPTH:
             found = cells(np.frombuffer(text, np.uint8))
             size = len(found["lo"])
-            out.append(found | {"doc_id": np.full(size, doc_id, np.int64), "row": np.full(size, row, np.int32)})
+            out.append(found | {"doc_id": np.full(size, doc_id, np.int64), "row": np.full(size, row, np.int64)})
     return out
 
 
@@ -344,7 +344,7 @@ def _contexts(docs: DataFrame, open_cells: DataFrame) -> DataFrame:
                 ),
             )
 
-    schema = "doc_id long, row int, anchor int, lo int, hi int, begin int, context binary"
+    schema = "doc_id long, row long, anchor int, lo int, hi int, begin int, context binary"
     return settle(in_batches(joined.select("doc_id", "row", "text", "cells"), work, schema), "contexts")
 
 
@@ -393,7 +393,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     null_id = np.iinfo(np.int64).min
     base = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(null_id)).alias("doc_id"),
-        F.hash(whole(F.col(text).cast("string"))).alias("row"),
+        row_key(F.col(text).cast("string")).alias("row"),
         whole(F.col(text).cast("string")).alias("text"),
     )
     spans = repeated_windows(base).groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(

@@ -432,3 +432,17 @@ def test_pipeline_stages_take_anything(spark):
             assert found.count() <= docs.count(), name
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert found.columns == docs.columns, name
+
+
+def test_columns_with_inside_names(spark):
+    """Input columns named like those the work uses neither break it nor change its result."""
+    docs = documents(spark, SF_DIR)
+    odd = docs.withColumns({"_leaf": F.lit("own"), "_HOST": F.lit(3), "_order": F.lit(1)})
+    mixed = mixing.mix_documents(odd)
+    assert {(r["_leaf"], r["_order"]) for r in mixed.collect()} == {("own", 1)}
+    plain = sorted(r.doc_id for r in mixing.mix_documents(docs).collect())
+    assert sorted(r.doc_id for r in mixed.collect()) == plain
+    judged = quality_rules.judge(odd)
+    assert sorted((r.doc_id, r.kept) for r in judged.collect()) == sorted(
+        (r.doc_id, r.kept) for r in quality_rules.judge(docs).collect()
+    )
