@@ -17,12 +17,15 @@ each content. Bytes are compared through two independent 64-bit hashes.
 
 Rows of a digit stream by in sorted order and only one row is held, so a large group needs no
 memory; equal rows are folded in the task that finds them, so that a passage that a third of all
-documents share meets the shuffle once per task.
+documents share meets the shuffle once per task. A short phrase that very many documents share
+among different surroundings is a digit with very many contents: such digits show in a sample, and
+their rows are dealt out by content. That they have several contents is known then, so whatever
+the sample shows, the result is the same; at worst a row goes on that could have stopped.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,9 @@ STEP = 16
 STRETCH = 1 << 18
 #: Rows that a task folds before it hands them on.
 FOLD_ROWS = 400_000
+#: Rows of its source that a pass looks at for crowded digits, the contents that make one, and how
+#: many digits are dealt out by content.
+SAMPLE_ROWS, CROWD, CROWDED_DIGITS = 4_000, 16, 1_000
 ROWS = "digit long, content long, copies int, doc_id long, row long, anchor int, lo int, hi int"
 NAMES = [c.split()[0] for c in ROWS.split(", ")]
 FOUND = "repeated boolean, doc_id long, row long, anchor int, lo int, hi int"
@@ -222,11 +228,13 @@ def _columns(b: pa.RecordBatch) -> Rows:
     return {n: c.to_numpy(zero_copy_only=False) for n, c in zip(b.schema.names, b.columns, strict=True)}
 
 
-def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def judge(batches: Iterator[pa.RecordBatch], crowded: Sequence[int] = ()) -> Iterator[pa.RecordBatch]:
     """One pass over rows in order of digit and content.
 
-    Yields places that are repeated, and one row of each content of a digit that has several.
+    Yields places that are repeated, and one row of each content of a digit that has several;
+    digits in ``crowded`` are known to.
     """
+    known = np.array(crowded, np.int64)
     held: Rows | None = None
     several = False  # the held row's digit is known to have several contents
 
@@ -254,6 +262,8 @@ def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_digit = np.repeat(contents > 1, contents)
         if several:
             open_digit[: contents[0]] = True
+        if len(known):
+            open_digit |= np.isin(rows["digit"][head], known)
         done = open_digit[:-1]
         if done.any():
             yield found(_take(rows, head[:-1][done]), False)
@@ -264,9 +274,25 @@ def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found(held, False)
 
 
-def _pass(rows: DataFrame, name: str) -> DataFrame:
-    ordered = rows.repartition("digit").sortWithinPartitions("digit", "content")
-    return settle(ordered.mapInArrow(judge, FOUND), name)
+def _crowded(sample: DataFrame, produce: Callable[[pa.RecordBatch], list[Rows]]) -> list[int]:
+    """Digits with many contents in a sample of a pass's source, the most crowded first."""
+    rows = in_batches(sample, _folded(produce), ROWS).filter("copies > 0")
+    counts = rows.groupBy("digit").agg(F.countDistinct("content").alias("n")).filter(F.col("n") >= CROWD)
+    return [r.digit for r in counts.orderBy(F.desc("n"), "digit").limit(CROWDED_DIGITS).collect()]
+
+
+def _sampled(rows: DataFrame) -> DataFrame:
+    """Some ``SAMPLE_ROWS`` rows; all of a small source."""
+    return rows.sample(min(1.0, SAMPLE_ROWS / max(rows.count(), 1)), seed=42)
+
+
+def _pass(source: DataFrame, sample: DataFrame, produce: Callable[[pa.RecordBatch], list[Rows]], name: str) -> DataFrame:
+    crowded = _crowded(sample, produce)
+    rows, share = in_batches(source, _folded(produce), ROWS), F.col("digit")
+    if crowded:
+        share = F.when(F.col("digit").isin(crowded), F.xxhash64("digit", "content")).otherwise(F.col("digit"))
+    ordered = rows.repartition(share).sortWithinPartitions("digit", "content")
+    return settle(ordered.mapInArrow(lambda batches: judge(batches, crowded), FOUND), name)
 
 
 def _folded(produce: Callable[[pa.RecordBatch], list[Rows]]):
@@ -353,17 +379,21 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
 
     ``docs`` has ``doc_id``, ``row`` (tells apart rows with one id) and ``text``.
     """
-    first = _pass(in_batches(docs, _folded(_produce_cells), ROWS), "cells")
+    first = _pass(docs, _sampled(docs), _produce_cells, "cells")
     contexts = _contexts(docs, first.filter("not repeated"))
-    second = _pass(in_batches(contexts, _folded(_produce_refined(STEP)), ROWS), "blocks")
+    some = _sampled(contexts)
+    second = _pass(contexts, some, _produce_refined(STEP), "blocks")
     open_blocks = second.filter("not repeated").select(*[F.col(n).alias(f"_{n}") for n in PLACE])
     same = (F.col("doc_id") == F.col("_doc_id")) & (F.col("row") == F.col("_row"))
     same &= F.col("anchor") == F.col("_anchor")
     inside = (F.col("_lo") >= F.col("lo")) & (F.col("_hi") <= F.col("hi"))
-    blocks = contexts.join(open_blocks, same & inside).select(
-        "doc_id", "row", "anchor", F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), "begin", "context"
-    )
-    third = _pass(in_batches(blocks, _folded(_produce_refined(1)), ROWS), "windows")
+
+    def blocks(rows: DataFrame) -> DataFrame:
+        return rows.join(open_blocks, same & inside).select(
+            "doc_id", "row", "anchor", F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), "begin", "context"
+        )
+
+    third = _pass(blocks(contexts), blocks(some), _produce_refined(1), "windows")
     found = first.unionByName(second).unionByName(third)
     return found.filter("repeated").select("doc_id", "row", "lo", "hi")
 

@@ -1,6 +1,7 @@
 """Exact, near and passage dedup against plain Python."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -253,6 +254,27 @@ def test_judging_does_not_depend_on_batches(spark):
     assert all(sorted(pairs[d] for r, d in result if not r) == sorted(open_pairs) for result in results)
 
 
+    # Of a crowded digit one row of each content goes on, however many contents it has.
+    crowded = list(range(0, 60, 7))
+    told = [b for b in suffix_dedup.judge((whole.slice(i, 50) for i in range(0, n, 50)), crowded)]
+    more = sorted(pairs[d] for b in told for r, d in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if not r)
+    assert more == sorted(p for p in groups if contents[p[0]] > 1 or p[0] in crowded)
+
+
+def test_a_phrase_among_different_surroundings(spark):
+    """One phrase in most texts is a crowded digit, dealt out by content; what repeats is the same."""
+    draw = random.Random(4)
+    text = lambda n: "".join(draw.choices("abcdefgh ", k=n))
+    phrase, whole = text(90), text(260)
+    rows = [(i, text(150) + phrase + text(150)) for i in range(60)]
+    rows += [(100 + i, text(40) + whole[:130] + phrase + whole[130:] + text(40)) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    base = docs.selectExpr("doc_id", "0L AS row", "text")
+    assert suffix_dedup._crowded(base, suffix_dedup._produce_cells)
+    assert removed(docs) == expected(rows)
+    assert sum(r[2] > 0 for r in removed(docs)) == 4
+
+
 def test_passage_query(spark):
     docs = documents(spark, SF_DIR, "doc_id", "text").collect()
     found = {r.doc_id: r for r in QUERIES["op4_suffix_dedup"](spark, SF_DIR).collect()}
