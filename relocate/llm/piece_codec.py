@@ -29,7 +29,7 @@ from relocate.llm.token_counts import merger, vocabulary_path
 DROPOUT = 0.1
 SEED = 42
 #: Pre-tokens merged in one step, and pre-tokens whose plain merge a worker remembers.
-STEP_TOKENS = 20_000
+STEP_TOKENS = 60_000
 KEPT_TOKENS = 200_000
 IDS = "piece_ids"
 
@@ -57,6 +57,14 @@ def _lossless(m: Merger) -> None:
         raise ValueError("decoding is lossless only with all byte pieces")
 
 
+def _put(held: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+    """The array with values written from a place on, twice as long where it is too short."""
+    if at + len(values) > len(held):
+        held = np.concatenate([held[:at], np.empty(max(at, len(values)) + len(values), held.dtype)])
+    held[at : at + len(values)] = values
+    return held
+
+
 class Plain:
     """What the plain merge makes of pre-tokens, and the candidates it looks at on the way."""
 
@@ -66,24 +74,25 @@ class Plain:
 
     def clear(self) -> None:
         self.row: dict[str, int] = {}
-        self.ids = np.empty(0, object)
-        self.ends = np.zeros(1, np.int64)
-        self.start, self.made = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.ends = np.empty(1024, object), np.zeros(1025, np.int64)
+        self.start, self.made = np.zeros(8192, np.int32), np.zeros(8192, np.int32)
 
     def learn(self, tokens: list[str]) -> None:
         if len(self.row) + len(tokens) > KEPT_TOKENS:
             self.clear()
         looked: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         ids = _ids(tokens, self.merger, None, looked)
-        self.row.update(zip(tokens, range(len(self.ids), len(self.ids) + len(tokens)), strict=True))
-        told = np.empty(len(ids), object)
-        told[:] = ids
-        self.ids = np.concatenate([self.ids, told])
+        have = len(self.row)
+        self.row.update(zip(tokens, range(have, have + len(tokens)), strict=True))
         whose, start, made = (np.concatenate(x) for x in zip(*looked, strict=True))
         order = np.argsort(whose, kind="stable")
-        counts = np.cumsum(np.bincount(whose, minlength=len(tokens)))
-        self.ends = np.concatenate([self.ends, self.ends[-1] + counts])
-        self.start, self.made = np.concatenate([self.start, start[order]]), np.concatenate([self.made, made[order]])
+        ends = self.ends[have] + np.cumsum(np.bincount(whose, minlength=len(tokens)))
+        told = np.empty(len(ids), object)
+        told[:] = ids
+        self.ids = _put(self.ids, have, told)
+        self.start = _put(self.start, self.ends[have], start[order])
+        self.made = _put(self.made, self.ends[have], made[order])
+        self.ends = _put(self.ends, have + 1, ends)
 
     def untouched(self, rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """Whether no candidate that the plain merge looks at is skipped under the key."""
