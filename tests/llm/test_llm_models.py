@@ -28,7 +28,7 @@ def test_query(spark, name):
 
 def test_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and not QUERIES.keys() & OTHERS.keys()
+    assert numbers == list(range(1, 14)) and not QUERIES.keys() & OTHERS.keys()
 
 
 def test_native_queries_run_no_python(spark):
