@@ -111,7 +111,11 @@ def byte_progress(sizes: DataFrame, completed: DataFrame, status: DataFrame) ->
 
 
 def percent(part: Column, total: Column) -> Column:
-    return F.when(total > 0, F.round(part / total * 100, 1)).otherwise(F.lit(0.0))
+    """Share in percent to one decimal, a half rounded up as the doubles are.
+
+    ``round(x, 1)`` would round the digits that x prints as: 567 of 2,000 print as 28.349999999999998.
+    """
+    return F.when(total > 0, F.round(part / total * 100 * 10) / 10).otherwise(F.lit(0.0))
 
 
 # --- measures over history ---------------------------------------------------------
